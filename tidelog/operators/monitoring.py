@@ -24,9 +24,13 @@ def run_status(logs: DataFrame) -> DataFrame:
     return logs.groupBy("pipeline_name", "status").agg(F.count(F.lit(1)).alias("runs"))
 
 
-def latest_runs(logs: DataFrame, pipeline_name: str, step: str | None = None) -> DataFrame:
-    """Execution-log rows of one pipeline (optionally one step), newest first."""
-    cond = F.col("pipeline_name").like(pipeline_name)
+def latest_runs(logs: DataFrame, pipeline_name: str, step: str | None = None, like: bool = False) -> DataFrame:
+    """Execution-log rows of one pipeline (optionally one step), newest first.
+
+    ``like=True`` matches the name as a SQL LIKE pattern instead of exactly.
+    """
+    name = F.col("pipeline_name")
+    cond = name.like(pipeline_name) if like else name == F.lit(pipeline_name)
     if step is not None:
         cond = cond & (F.col("step") == step)
     return logs.filter(cond).orderBy(F.col("execution_time").desc_nulls_last())

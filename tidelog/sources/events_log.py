@@ -68,3 +68,37 @@ def event_lines_duckdb(noisy: bool = False) -> str:
     if noisy:
         full = f"CASE WHEN event_type = 'error' AND event_id % 3 = 0 THEN {head} ELSE {full} END"
     return f"SELECT {full} AS value FROM events"
+
+
+# --- execution-log rows derived from events (for the monitoring views) ------
+_STEP_ARRAY = "array('landing', 'bronze', 'silver', 'gold')"
+
+
+def execution_rows(events: DataFrame) -> DataFrame:
+    """Execution-log rows (audit schema), one per event: pipeline from the
+    user, step from the event id, NOTOK for error events, duration in
+    quarter seconds from ``value`` (exactly summable)."""
+    step = F.element_at(F.expr(_STEP_ARRAY), (F.col("event_id") % 4 + 1).cast("int"))
+    is_error = F.col("event_type") == "error"
+    return events.select(
+        F.col("ts").cast("timestamp").alias("execution_time"),
+        F.concat(F.lit("pipeline_"), (F.col("user_id") % 3).cast("string")).alias("pipeline_name"),
+        step.alias("step"),
+        F.when(is_error, F.lit("NOTOK")).otherwise(F.lit("OK")).alias("status"),
+        F.when(is_error, F.concat(F.lit("failure in event "), F.col("event_id").cast("string")))
+        .otherwise(F.lit(""))
+        .alias("error_message"),
+        F.concat(F.lit("/lake/"), step).alias("processed_file_path"),
+        (F.floor(F.col("value") * 4) / 4).cast("double").alias("time_elapsed"),
+    )
+
+
+def execution_rows_duckdb() -> str:
+    step = "(['landing', 'bronze', 'silver', 'gold'])[event_id % 4 + 1]"
+    return (
+        "SELECT ts AS execution_time, concat('pipeline_', user_id % 3) AS pipeline_name, "
+        f"{step} AS step, CASE WHEN event_type = 'error' THEN 'NOTOK' ELSE 'OK' END AS status, "
+        "CASE WHEN event_type = 'error' THEN concat('failure in event ', event_id) ELSE '' END AS error_message, "
+        f"concat('/lake/', {step}) AS processed_file_path, "
+        "CAST(floor(value * 4) / 4 AS DOUBLE) AS time_elapsed FROM events"
+    )
