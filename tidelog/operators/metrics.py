@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.functions.http import event_day, is_client_error, is_page, weekday_name
+from tidelog.functions.http import event_day, is_client_error, is_page, response_category, weekday_name
 
 # --- fixed values: report sizes ---------------------------------------------
 TOP_CLIENT_IPS = 10
@@ -49,9 +49,19 @@ def hits_by_client_ip(silver: DataFrame) -> DataFrame:
 
 
 def page_hits(silver: DataFrame) -> DataFrame:
-    """Hits per cleaned endpoint, static assets and robots.txt excluded."""
-    pages = silver.select("endpoint_clean").filter(is_page(F.col("endpoint_clean")))
-    return hits_by(pages, "endpoint_clean", "endpoint")
+    """Hits per cleaned endpoint, static assets and robots.txt excluded.
+
+    The page test depends only on the key, so it is applied as a conditional
+    count inside the aggregation (non-page keys count 0 and are dropped
+    afterwards).  A plain filter would be pushed below the parse projection
+    by the optimizer and re-evaluate the parse regexes for every reference.
+    """
+    page = F.coalesce(is_page(F.col("endpoint_clean")), F.lit(False))
+    return (
+        silver.groupBy(F.col("endpoint_clean").alias("endpoint"))
+        .agg(F.count_if(page).alias("access_count"))
+        .filter(F.col("access_count") > 0)
+    )
 
 
 def top_client_ips(silver: DataFrame, k: int = TOP_CLIENT_IPS) -> DataFrame:
@@ -116,6 +126,4 @@ def worst_error_weekday(silver: DataFrame) -> DataFrame:
 
 def response_categories(silver: DataFrame) -> DataFrame:
     """Adds ``response_category`` (Informational … Server Error, Unknown)."""
-    from tidelog.functions.http import response_category
-
     return silver.withColumn("response_category", response_category(F.col("status_code")))

@@ -39,6 +39,7 @@ from tidelog.plans.tables import (
 )
 from tidelog.sources.landing import landing_format, log_column, read_landing
 from tidelog.sources.ledger import landing_files, read_unseen, record_files
+from tidelog.sources.parallelism import spread_small_input
 
 CONTROL_COLUMNS = ("processed_timestamp", "processed_date")
 SILVER_STEP = "bronze_to_silver"
@@ -77,7 +78,7 @@ def build_silver(spark: SparkSession, spec: PipelineSpec, run_ts: dt.datetime) -
     """The silver frame (lazy): parsed log lines, or the result of ``sql_silver``."""
     if spec.is_log:
         bronze = read_layer(spark, spec.bronze_table, spec.bronze_path, spec.table_format)
-        silver = parse_access_log(bronze, log_column(spec.file_name))
+        silver = parse_access_log(spread_small_input(bronze), log_column(spec.file_name))
     else:
         silver = spark.sql(require_sql(spec.sql_silver, "silver"))
     return with_control_columns(silver.drop(*CONTROL_COLUMNS), run_ts)

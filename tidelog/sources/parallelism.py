@@ -1,0 +1,19 @@
+"""Input parallelism for CPU-heavy row work (regex parsing)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Round-robin a frame that has fewer partitions than the cluster has cores.
+
+    A small landing file or a single-row-group table is scanned by one task,
+    so the parse would run on one core.  Large inputs are already split into
+    many more partitions than cores (one per file split), and are returned
+    unchanged: no shuffle is added at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df

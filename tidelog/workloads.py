@@ -42,6 +42,7 @@ from tidelog.session import scratch_path
 from tidelog.sources.events_log import access_lines, execution_rows
 from tidelog.sources.landing import read_landing
 from tidelog.sources.ledger import landing_files, read_unseen, record_files
+from tidelog.sources.parallelism import spread_small_input
 from tidelog.streaming.ingest import ingest_available
 
 # fixed run instant for the control columns of the checks
@@ -71,7 +72,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _lines(spark: SparkSession, sf_dir: str, noisy: bool = True) -> DataFrame:
     _utc(spark)
-    return access_lines(_table(spark, sf_dir, "events"), noisy=noisy)
+    return access_lines(spread_small_input(_table(spark, sf_dir, "events")), noisy=noisy)
 
 
 def _silver(spark: SparkSession, sf_dir: str, noisy: bool = True) -> DataFrame:
