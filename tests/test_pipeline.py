@@ -43,6 +43,13 @@ def test_full_run_writes_every_layer_and_audits_each_stage(spark, tmp_path):
     steps, rows = audit(spark, "full")
     assert steps == [("bronze", "OK"), ("gold", "OK"), ("landing", "OK"), ("silver", "OK")]
     assert all(r.time_elapsed >= 0 and r.error_message == "" for r in rows)
+    frames = P.log_analysis(spark, spec)
+    assert [tuple(r) for r in frames["top_ips"].collect()] == [("192.168.1.1", 1)]
+    assert [tuple(r) for r in frames["top_endpoints"].collect()] == [("/home", 1)]
+    assert frames["kpis"].first().distinct_day_count == 1
+    mon = P.monitoring_analysis(spark)
+    assert {r.step for r in mon["durations"].collect()} >= {"landing", "bronze", "silver", "gold"}
+    assert ("full", "OK") in {(r.pipeline_name, r.status) for r in mon["status"].collect()}
     q = spark.table("quality.quality_checks").filter("verified_table = 'silver.s_full'").collect()
     assert sorted(r.rule for r in q) == sorted(
         ["not_null_client_ip", "not_null_endpoint", "not_null_status_code", "not_null_timestamp", "not_zero_count"])

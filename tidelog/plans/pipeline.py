@@ -25,7 +25,9 @@ from tidelog.operators.quality import (
     results_frame,
 )
 from tidelog.plans.audit import audited_stage
-from tidelog.plans.spec import QUALITY_TABLE, PipelineSpec, require_sql
+from tidelog.operators.monitoring import run_durations, run_status
+from tidelog.operators.report import report_frames
+from tidelog.plans.spec import EXECUTION_LOG_TABLE, QUALITY_TABLE, PipelineSpec, require_sql
 from tidelog.plans.tables import (
     append_rows,
     ensure_environment,
@@ -133,3 +135,17 @@ def run(spark: SparkSession, spec: PipelineSpec, until: int = 4, run_ts: dt.date
     ensure_environment(spark, spec.base_path, spec.table_format)
     for stage in STAGES[:until]:
         stage(spark, spec, run_ts)
+
+
+def log_analysis(spark: SparkSession, spec: PipelineSpec) -> dict[str, DataFrame]:
+    """Chart data of the gold report: ``report`` (the table), exploded
+    ``top_ips`` and ``top_endpoints``, and the first row's ``kpis``."""
+    gold = spark.table(spec.gold_table)
+    return {"report": gold, **report_frames(gold)}
+
+
+def monitoring_analysis(spark: SparkSession, table: str = EXECUTION_LOG_TABLE) -> dict[str, DataFrame]:
+    """Chart data of the execution log, aggregated in Spark: mean duration
+    per step (slowest first) and stage runs per pipeline and status."""
+    logs = spark.table(table)
+    return {"logs": logs, "durations": run_durations(logs), "status": run_status(logs)}

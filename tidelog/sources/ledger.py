@@ -20,6 +20,10 @@ from pyspark.sql import types as T
 from tidelog.sources.landing import read_landing
 
 FILE_KEYS = ("file_path", "file_modification_time", "file_size")
+# the per-run file list is broadcast only below this many files (about
+# 300 bytes each, so well under the broadcast threshold); above it Spark
+# plans the semi join itself
+BROADCAST_MAX_FILES = 100_000
 
 LEDGER_SCHEMA = T.StructType(
     [
@@ -82,12 +86,13 @@ def read_unseen(spark: SparkSession, landing_path: str, ledger_path: str, fmt: s
         F.col("_metadata.file_modification_time").alias("_file_mtime"),
         F.col("_metadata.file_size").alias("_file_size"),
     )
-    # the unseen-file list is bounded by the number of files of one run
-    listed = F.broadcast(files.select(
+    listed = files.select(
         F.col("file_path").alias("_file_path"),
         F.col("file_modification_time").alias("_file_mtime"),
         F.col("file_size").alias("_file_size"),
-    ))
+    )
+    if len(listed_rows) <= BROADCAST_MAX_FILES:
+        listed = F.broadcast(listed)
     kept = meta.join(listed, ["_file_path", "_file_mtime", "_file_size"], "left_semi")
     return kept.drop("_file_path", "_file_mtime", "_file_size"), files
 

@@ -75,7 +75,8 @@ def _lines(spark: SparkSession, sf_dir: str, noisy: bool = True) -> DataFrame:
     return access_lines(spread_small_input(_table(spark, sf_dir, "events")), noisy=noisy)
 
 
-def _silver(spark: SparkSession, sf_dir: str, noisy: bool = True) -> DataFrame:
+def derived_silver(spark: SparkSession, sf_dir: str, noisy: bool = True) -> DataFrame:
+    """Silver (parsed) access log over lines derived from all of ``events``."""
     return parse_access_log(_lines(spark, sf_dir, noisy))
 
 
@@ -114,7 +115,7 @@ def unseen_files(spark, sf_dir):
 # --- parse and derived columns ---------------------------------------------------
 
 def parse_access_log_q(spark, sf_dir):
-    return _ntz(_silver(spark, sf_dir), "timestamp")
+    return _ntz(derived_silver(spark, sf_dir), "timestamp")
 
 
 def control_columns(spark, sf_dir):
@@ -122,7 +123,7 @@ def control_columns(spark, sf_dir):
 
 
 def endpoint_clean(spark, sf_dir):
-    logs = _silver(spark, sf_dir).select("endpoint", "endpoint_clean")
+    logs = derived_silver(spark, sf_dir).select("endpoint", "endpoint_clean")
     urls = _table(spark, sf_dir, "pages").select(
         F.col("url").alias("endpoint"), clean_endpoint(F.col("url")).alias("endpoint_clean")
     )
@@ -130,7 +131,7 @@ def endpoint_clean(spark, sf_dir):
 
 
 def response_category_q(spark, sf_dir):
-    return _silver(spark, sf_dir).select(
+    return derived_silver(spark, sf_dir).select(
         "status_code", response_category(F.col("status_code")).alias("response_category")
     )
 
@@ -138,61 +139,61 @@ def response_category_q(spark, sf_dir):
 # --- report metrics ---------------------------------------------------------------
 
 def top_client_ips(spark, sf_dir):
-    return M.top_client_ips(_silver(spark, sf_dir))
+    return M.top_client_ips(derived_silver(spark, sf_dir))
 
 
 def top_endpoints(spark, sf_dir):
-    return M.top_endpoints(_silver(spark, sf_dir))
+    return M.top_endpoints(derived_silver(spark, sf_dir))
 
 
 def volume_stats(spark, sf_dir):
-    return M.volume_stats(_silver(spark, sf_dir))
+    return M.volume_stats(derived_silver(spark, sf_dir))
 
 
 def distinct_counts(spark, sf_dir):
-    return M.distinct_counts(_silver(spark, sf_dir))
+    return M.distinct_counts(derived_silver(spark, sf_dir))
 
 
 def client_errors_by_weekday(spark, sf_dir):
-    return M.client_errors_by_weekday(_silver(spark, sf_dir))
+    return M.client_errors_by_weekday(derived_silver(spark, sf_dir))
 
 
 def worst_error_weekday(spark, sf_dir):
-    return M.worst_error_weekday(_silver(spark, sf_dir))
+    return M.worst_error_weekday(derived_silver(spark, sf_dir))
 
 
 def daily_rollup(spark, sf_dir):
-    return M.daily_rollup(_silver(spark, sf_dir))
+    return M.daily_rollup(derived_silver(spark, sf_dir))
 
 
 def report_scalars(spark, sf_dir):
-    return access_report(_silver(spark, sf_dir)).select(*SCALARS)
+    return access_report(derived_silver(spark, sf_dir)).select(*SCALARS)
 
 
 def report_top_ips(spark, sf_dir):
-    return report_frames(access_report(_silver(spark, sf_dir)))["top_ips"]
+    return report_frames(access_report(derived_silver(spark, sf_dir)))["top_ips"]
 
 
 def report_top_endpoints(spark, sf_dir):
-    return report_frames(access_report(_silver(spark, sf_dir)))["top_endpoints"]
+    return report_frames(access_report(derived_silver(spark, sf_dir)))["top_endpoints"]
 
 
 def report_sql_scalars(spark, sf_dir):
     """The report as SQL text over a temp view (the SQL-driven gold step)."""
     view = f"silver_lines_{uuid.uuid4().hex[:8]}"
-    _silver(spark, sf_dir).createOrReplaceTempView(view)
+    derived_silver(spark, sf_dir).createOrReplaceTempView(view)
     return spark.sql(access_report_sql(view)).select(*SCALARS)
 
 
 # --- quality ------------------------------------------------------------------------
 
 def quality_rows_clean(spark, sf_dir):
-    df = _silver(spark, sf_dir, noisy=False)
+    df = derived_silver(spark, sf_dir, noisy=False)
     return _ntz(quality_rows(df, "access_log", "bronze_to_silver", "silver.s_access_logs", RUN_TS), "timestamp")
 
 
 def quality_rows_noisy(spark, sf_dir):
-    df = _silver(spark, sf_dir, noisy=True)
+    df = derived_silver(spark, sf_dir, noisy=True)
     return _ntz(quality_rows(df, "access_log", "bronze_to_silver", "silver.s_access_logs", RUN_TS), "timestamp")
 
 
