@@ -47,6 +47,11 @@ def test_distinct_counts(spark):
     assert (d.distinct_ip_count, d.distinct_day_count) == (5, 3)
 
 
+def test_approximate_distinct_counts_opt_in(spark):
+    d = M.distinct_counts(silver(spark, ROWS), approx_rsd=0.01).first()
+    assert (d.distinct_ip_count, d.distinct_day_count) == (5, 3)
+
+
 def test_weekday_counts_keep_null_weekday(spark):
     got = {r.day_of_week: r.client_error_count for r in M.client_errors_by_weekday(silver(spark, ROWS)).collect()}
     assert got == {"Monday": 1, "Tuesday": 1, None: 1}

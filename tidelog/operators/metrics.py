@@ -102,11 +102,22 @@ def volume_stats(silver: DataFrame) -> DataFrame:
     )
 
 
-def distinct_counts(silver: DataFrame) -> DataFrame:
-    """One row: ``distinct_ip_count``, ``distinct_day_count`` (exact)."""
+def distinct_counts(silver: DataFrame, approx_rsd: float | None = None) -> DataFrame:
+    """One row: ``distinct_ip_count``, ``distinct_day_count``.
+
+    Exact by default (every distinct client is shuffled once, after a
+    map-side dedupe).  ``approx_rsd`` (e.g. ``0.01``) switches to HyperLogLog++
+    sketches, which shuffle a fixed-size sketch per task instead.
+    """
+    day = event_day(F.col("timestamp"))
+    if approx_rsd is not None:
+        return silver.agg(
+            F.approx_count_distinct("client_ip", approx_rsd).alias("distinct_ip_count"),
+            F.approx_count_distinct(day, approx_rsd).alias("distinct_day_count"),
+        )
     return silver.agg(
         F.count_distinct("client_ip").alias("distinct_ip_count"),
-        F.count_distinct(event_day(F.col("timestamp"))).alias("distinct_day_count"),
+        F.count_distinct(day).alias("distinct_day_count"),
     )
 
 

@@ -40,7 +40,7 @@ from tidelog.plans.tables import (
     write_version,
 )
 from tidelog.sources.landing import landing_format, log_column, read_landing
-from tidelog.sources.ledger import landing_files, read_unseen, record_files
+from tidelog.sources.ledger import read_unseen, record_files
 from tidelog.sources.parallelism import spread_small_input
 
 CONTROL_COLUMNS = ("processed_timestamp", "processed_date")
@@ -52,12 +52,14 @@ def _now() -> dt.datetime:
 
 
 def check_landing(spark: SparkSession, spec: PipelineSpec, run_ts: dt.datetime | None = None) -> None:
-    """Stage 1: the delivered file must be in the landing folder."""
+    """Stage 1: the delivered file must be in the landing folder.
+
+    Planning the read lists the path on the driver and fails when nothing
+    matches; no job runs.
+    """
     run_ts = run_ts or _now()
     with audited_stage(spark, spec.pipeline_name, "landing", spec.landing_dir, run_ts):
-        landing_format(spec.file_name)
-        if not landing_files(spark, spec.landing_dir, spec.file_name).take(1):
-            raise FileNotFoundError(f"landing file not found: {spec.landing_file}")
+        read_landing(spark, spec.landing_file, landing_format(spec.file_name))
 
 
 def landing_to_bronze(spark: SparkSession, spec: PipelineSpec, run_ts: dt.datetime | None = None) -> None:
