@@ -128,6 +128,17 @@ def test_quality_gate_blocks_silver_and_keeps_previous_version(spark, tmp_path):
     assert steps.count(("silver", "NOTOK")) == 1
 
 
+def test_empty_landing_file_fails_every_rule(spark, tmp_path):
+    spec = make_spec(tmp_path, "empty", content="")
+    with pytest.raises(QualityGateError):
+        P.run(spark, spec, 3, RUN_TS)
+    q = spark.table("quality.quality_checks").filter("verified_table = 'silver.s_empty'").collect()
+    assert {(r.rule, r.status, r.percentage_ok) for r in q} == {
+        (rule, "FAIL", 0.0) for rule in ("not_null_client_ip", "not_null_endpoint", "not_null_status_code",
+                                         "not_null_timestamp", "not_zero_count")}
+    assert not spark.catalog.tableExists(spec.silver_table)
+
+
 def test_sql_defined_silver(spark, tmp_path):
     spark.createDataFrame([(1, "x"), (2, "y")], "id int, name string").createOrReplaceTempView("src_rows")
     spec = make_spec(tmp_path, "nonlog", is_log=False, sql_silver="SELECT id, name FROM src_rows")
