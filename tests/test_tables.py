@@ -39,7 +39,13 @@ def test_execution_log_append_and_parameterised_insert(spark, tmp_path):
 
 
 def test_audit_failure_is_swallowed(spark):
-    assert save_execution_log(spark, T0, "p", "s", "OK", "", "/p", 1.0, "monitoring.no_such_table") is False
+    assert save_execution_log(spark, T0, "p", "s", "OK", "", "/p", 1.0, "no_such_db.no_such_table") is False
+
+
+def test_audit_table_is_created_when_missing(spark, tmp_path):
+    ensure_environment(spark, str(tmp_path / "lake"))
+    assert save_execution_log(spark, T0, "p", "s", "OK", "", "/p", 1.0, "monitoring.created_on_demand")
+    assert spark.table("monitoring.created_on_demand").count() == 1
 
 
 def test_like_without_wildcard_and_monitoring_views(spark, tmp_path):

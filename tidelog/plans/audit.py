@@ -10,6 +10,7 @@ from contextlib import contextmanager
 from pyspark.sql import SparkSession
 
 from tidelog.plans.spec import EXECUTION_LOG_TABLE, STATUS_NOTOK, STATUS_OK
+from tidelog.plans.tables import append_rows
 from tidelog.schemas import EXECUTION_LOG_SCHEMA
 
 log = logging.getLogger(__name__)
@@ -32,7 +33,7 @@ def save_execution_log(spark: SparkSession, execution_time: dt.datetime, pipelin
     """
     row = (execution_time, pipeline_name, step, status, error_message, processed_file_path, float(time_elapsed))
     try:
-        spark.createDataFrame([row], EXECUTION_LOG_SCHEMA).write.mode("append").insertInto(table)
+        append_rows(spark.createDataFrame([row], EXECUTION_LOG_SCHEMA), table)
         return True
     except Exception as first:  # noqa: BLE001
         try:

@@ -114,8 +114,13 @@ def read_layer(spark: SparkSession, table: str, path: str | None = None, table_f
 
 
 def append_rows(df: DataFrame, table: str) -> None:
-    """Append to an existing catalog table (columns matched by position)."""
-    df.write.mode("append").insertInto(table)
+    """Append to a catalog table: by position into an existing table, or
+    creating it (columns by name) when a stage runs before the environment
+    was prepared."""
+    if df.sparkSession.catalog.tableExists(table):
+        df.write.mode("append").insertInto(table)
+    else:
+        df.write.mode("append").saveAsTable(table)
 
 
 def purge_rows(spark: SparkSession, table: str, condition: Column | str, table_format: str = "parquet") -> int:
