@@ -8,6 +8,7 @@ from tidelog.operators.quality import QualityGateError
 from tidelog.operators.report import access_report, access_report_sql
 from tidelog.plans import pipeline as P
 from tidelog.plans.spec import PipelineSpec
+from tidelog.schemas import SILVER_LOG_SCHEMA
 
 LINE = '192.168.1.1 - - [10/Oct/2023:13:55:36 -0700] "GET /home HTTP/1.1" 200 1234'
 RUN_TS = dt.datetime(2024, 1, 2, 3, 4, 5, tzinfo=dt.timezone.utc)
@@ -36,6 +37,8 @@ def test_full_run_writes_every_layer_and_audits_each_stage(spark, tmp_path):
     bronze = spark.table(spec.bronze_table).collect()
     assert [r.value for r in bronze] == [LINE]
     assert str(bronze[0].processed_date) == "2024-01-02"
+    silver_types = [(f.name, f.dataType) for f in spark.table(spec.silver_table).schema.fields]
+    assert silver_types == [(f.name, f.dataType) for f in SILVER_LOG_SCHEMA.fields]
     silver = spark.table(spec.silver_table).first()
     assert silver.client_ip == "192.168.1.1" and silver.status_code == 200 and silver.response_size == 1234
     gold = spark.table(spec.gold_table).first()

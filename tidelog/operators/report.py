@@ -67,16 +67,6 @@ def ranked_list(top: DataFrame, key: str, field: str) -> DataFrame:
     return top.agg(F.array_sort(items, _by_count_then_key(field)).alias("items"))
 
 
-def weekday_errors_from_daily(daily: DataFrame) -> DataFrame:
-    """``(day_of_week, client_error_count)`` from the daily rollup (weekdays
-    without client errors are absent, as when counting 4xx lines directly)."""
-    return (
-        daily.groupBy(F.date_format(F.col("date"), WEEKDAY_PATTERN).alias("day_of_week"))
-        .agg(F.sum("client_errors").alias("client_error_count"))
-        .filter(F.col("client_error_count") > 0)
-    )
-
-
 def time_and_volume(silver: DataFrame) -> DataFrame:
     """One row: ``distinct_day_count``, ``day_with_most_client_errors`` and the
     four volume statistics, from a single scan of time, status and size.
