@@ -3,15 +3,16 @@
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
 Prints one JSON line: {"metric", "value" (sum of query seconds), "unit",
-"queries": {name: seconds}, "sf", ...}.  Each query is run twice after a
+"queries": {name: seconds}, "sf", ...}.  Each query is run three times after a
 warm-up and the faster run is kept.  Row-returning queries are forced with
 the ``noop`` sink (full execution, no transfer to the driver); one-row
 results are collected.
 
 ``report_hot_client`` runs the report with a third of all lines from one
-client (skew probe).  ``*_five_counts`` and ``report_subquery_sql`` reproduce the plan *shapes*
-of the original pipeline (one count job per quality rule; the report as
-five scalar subqueries over a CTE) so the one-pass forms can be compared.
+client (skew probe).  ``quality_gate_five_counts`` (one count job per rule,
+as the original gate ran) and ``report_separate_queries`` (one query per
+metric) are the naive shapes the one-pass forms are compared with; they are
+left out of the headline total, as is the skew probe.
 """
 
 from __future__ import annotations
@@ -80,6 +81,11 @@ def main() -> None:
         for _, col in NOT_NULL_RULES:
             df.filter(F.col(col).isNotNull()).count()
 
+    def separate_queries(df):
+        # one query per metric (five scans, two per-client shuffles)
+        for q in (M.top_client_ips, M.top_endpoints, M.distinct_counts, M.volume_stats, M.worst_error_weekday):
+            q(df).collect()
+
     def pipeline():
         run_pipeline(spark, spec, 4, RUN_TS)
 
@@ -91,7 +97,8 @@ def main() -> None:
         "distinct_counts": lambda: M.distinct_counts(silver).collect(),
         "worst_error_weekday": lambda: M.worst_error_weekday(silver).collect(),
         "report": lambda: access_report(silver).collect(),
-        "report_subquery_sql": lambda: spark.sql(access_report_sql("bench_silver")).collect(),
+        "report_sql": lambda: spark.sql(access_report_sql("bench_silver")).collect(),
+        "report_separate_queries": lambda: separate_queries(silver),
         "report_hot_client": lambda: access_report(hot_silver).collect(),
         "quality_gate_one_pass": lambda: quality_counts(silver).collect(),
         "quality_gate_five_counts": lambda: five_counts(silver),
@@ -105,14 +112,14 @@ def main() -> None:
     timings: dict[str, float] = {}
     for name, fn in queries.items():
         best = None
-        for _ in range(2):
+        for _ in range(3):
             t0 = time.perf_counter()
             fn()
             elapsed = time.perf_counter() - t0
             best = elapsed if best is None else min(best, elapsed)
         timings[name] = round(best, 4)
 
-    probes = ("report_subquery_sql", "quality_gate_five_counts", "report_hot_client")
+    probes = ("report_separate_queries", "quality_gate_five_counts", "report_hot_client")
     headline = [k for k in timings if k not in probes]
     print(json.dumps({
         "metric": "headline_queries_total",
