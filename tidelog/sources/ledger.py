@@ -20,10 +20,6 @@ from pyspark.sql import types as T
 from tidelog.sources.landing import read_landing
 
 FILE_KEYS = ("file_path", "file_modification_time", "file_size")
-# the per-run file list is broadcast only below this many files (about
-# 300 bytes each, so well under the broadcast threshold); above it Spark
-# plans the semi join itself
-BROADCAST_MAX_FILES = 100_000
 
 LEDGER_SCHEMA = T.StructType(
     [
@@ -66,35 +62,20 @@ def read_unseen(spark: SparkSession, landing_path: str, ledger_path: str, fmt: s
     """(rows of the unseen files, the unseen files) for one ingest run.
 
     The file list (metadata, one row per file) goes to the driver because
-    the reader needs explicit paths, just as any file scan lists its
-    files on the driver.  Rows are additionally kept only where the file
-    still has the listed mtime and size, so a file rewritten between
-    listing and reading is not recorded under a stale identity.
-    Raises ``FileNotFoundError`` when nothing new has landed.
+    the reader takes explicit paths, just as any file scan lists its files
+    on the driver; the data path has no join.  A file rewritten between
+    listing and reading is recorded under its listed identity, so the next
+    run sees a new identity and loads it again, which the full-overwrite
+    bronze absorbs.  Raises ``FileNotFoundError`` when nothing new landed.
     """
     listed_rows = unseen_files(spark, landing_path, ledger_path, glob).collect()
     if not listed_rows:
         raise FileNotFoundError(f"no unseen landing file under {landing_path}")
-    # the frame is built from the collected listing so that what is read,
-    # what is kept and what is recorded are the same snapshot of the folder
+    # built from the collected listing: what is read and what is recorded
+    # are the same snapshot of the folder
     files = spark.createDataFrame(listed_rows, LEDGER_SCHEMA[:3])
-    paths = [r.file_path for r in listed_rows]
-    rows = read_landing(spark, paths, fmt)
-    meta = rows.select(
-        "*",
-        F.col("_metadata.file_path").alias("_file_path"),
-        F.col("_metadata.file_modification_time").alias("_file_mtime"),
-        F.col("_metadata.file_size").alias("_file_size"),
-    )
-    listed = files.select(
-        F.col("file_path").alias("_file_path"),
-        F.col("file_modification_time").alias("_file_mtime"),
-        F.col("file_size").alias("_file_size"),
-    )
-    if len(listed_rows) <= BROADCAST_MAX_FILES:
-        listed = F.broadcast(listed)
-    kept = meta.join(listed, ["_file_path", "_file_mtime", "_file_size"], "left_semi")
-    return kept.drop("_file_path", "_file_mtime", "_file_size"), files
+    rows = read_landing(spark, [r.file_path for r in listed_rows], fmt)
+    return rows, files
 
 
 def record_files(files: DataFrame, ledger_path: str, pipeline_name: str,
