@@ -98,17 +98,20 @@ def bronze_to_silver(spark: SparkSession, spec: PipelineSpec, run_ts: dt.datetim
         # observe after the optional rebalance: the counts then live in the
         # write's result stage (exactly-once accumulator updates)
         staged = sized_for_write(silver, spec.optimize_write).observe(observation, *count_exprs(spec.is_log))
-        write_version(staged, version, spec.table_format, optimize_write=False)
-        results = evaluate_rules(observation.get, spec.is_log)
-        append_rows(
-            results_frame(spark, results, spec.pipeline_name, SILVER_STEP, spec.silver_table, run_ts),
-            QUALITY_TABLE,
-        )
-        bad = failed(results)
-        if bad:
-            remove_path(spark, version)
-            names = ", ".join(f"{r.rule} ({r.percentage_ok})" for r in bad)
-            raise QualityGateError(f"quality check failed at step {SILVER_STEP}: {names}")
+        try:
+            write_version(staged, version, spec.table_format, optimize_write=False)
+            results = evaluate_rules(observation.get, spec.is_log)
+            append_rows(
+                results_frame(spark, results, spec.pipeline_name, SILVER_STEP, spec.silver_table, run_ts),
+                QUALITY_TABLE,
+            )
+            bad = failed(results)
+            if bad:
+                names = ", ".join(f"{r.rule} ({r.percentage_ok})" for r in bad)
+                raise QualityGateError(f"quality check failed at step {SILVER_STEP}: {names}")
+        except BaseException:
+            remove_path(spark, version)  # never published: drop the partial or rejected version
+            raise
         previous = publish_version(spark, spec.silver_table, version, spec.table_format)
         if previous and previous.rstrip("/") != version.rstrip("/") and "/v=" in previous:
             remove_path(spark, previous)
