@@ -12,7 +12,9 @@ results are collected.
 client (skew probe).  ``quality_gate_five_counts`` (one count job per rule,
 as the original gate ran) and ``report_separate_queries`` (one query per
 metric) are the naive shapes the one-pass forms are compared with; they are
-left out of the headline total, as is the skew probe.
+left out of the headline total, as is the skew probe.  ``shuffle_write_bytes``
+(first run of each query) comes from Spark's event log, written to a fresh
+scratch folder.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ import json
 import os
 import re
 import sys
+import tempfile
 import time
 import uuid
 
@@ -50,8 +53,35 @@ def sf_of(path: str) -> float | str:
     return float(m.group(1)) if m else path
 
 
+def shuffle_bytes(event_log_dir: str) -> dict[str, int]:
+    """Shuffle bytes written per job group, from the event log."""
+    stage_group: dict[int, str] = {}
+    out: dict[str, int] = {}
+    files = sorted(os.path.join(root, f) for root, _, names in os.walk(event_log_dir) for f in names
+                   if not f.startswith(("appstatus", ".")))
+    for path in files:
+        with open(path) as fh:
+            for line in fh:
+                ev = json.loads(line)
+                kind = ev.get("Event")
+                if kind == "SparkListenerJobStart":
+                    group = (ev.get("Properties") or {}).get("spark.jobGroup.id")
+                    if group:
+                        for sid in ev.get("Stage IDs", []):
+                            stage_group[sid] = group
+                elif kind == "SparkListenerTaskEnd":
+                    group = stage_group.get(ev.get("Stage ID"))
+                    metrics = ev.get("Task Metrics") or {}
+                    if group:
+                        written = (metrics.get("Shuffle Write Metrics") or {}).get("Shuffle Bytes Written", 0)
+                        out[group] = out.get(group, 0) + written
+    return out
+
+
 def main() -> None:
-    spark = local_session(cores=CPUS, shuffle_partitions=max(8, 2 * int(CPUS)), app="tidelog-bench")
+    event_log_dir = tempfile.mkdtemp(prefix="tidelog-bench-events-")
+    spark = local_session(cores=CPUS, shuffle_partitions=max(8, 2 * int(CPUS)), app="tidelog-bench",
+                          event_log_dir=event_log_dir)
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     events = spread_small_input(spark.read.parquet(f"{SF_DIR}/events.parquet"))
     lines = access_lines(events, noisy=True)
@@ -112,14 +142,19 @@ def main() -> None:
     timings: dict[str, float] = {}
     for name, fn in queries.items():
         best = None
-        for _ in range(3):
+        for rep in range(3):
+            spark.sparkContext.setJobGroup(f"{name}#{rep}", name)
             t0 = time.perf_counter()
             fn()
             elapsed = time.perf_counter() - t0
             best = elapsed if best is None else min(best, elapsed)
         timings[name] = round(best, 4)
+    spark.sparkContext.setJobGroup("bench-end", "bench-end")
 
     probes = ("report_separate_queries", "quality_gate_five_counts", "report_hot_client")
+    n_events = events.count()
+    spark.stop()  # flushes the event log
+    shuffled = {k[:-2]: v for k, v in shuffle_bytes(event_log_dir).items() if k.endswith("#0")}
     headline = [k for k in timings if k not in probes]
     print(json.dumps({
         "metric": "headline_queries_total",
@@ -128,9 +163,9 @@ def main() -> None:
         "queries": timings,
         "sf": sf_of(SF_DIR),
         "cpus": int(CPUS),
-        "rows": {"events": events.count()},
+        "rows": {"events": n_events},
+        "shuffle_write_bytes": shuffled,
     }))
-    spark.stop()
 
 
 if __name__ == "__main__":

@@ -11,11 +11,17 @@ from pyspark.sql import SparkSession
 _FALLBACK_DIR: str | None = None
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tidelog") -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tidelog",
+                  event_log_dir: str | None = None) -> SparkSession:
     """A local session configured like the clusters this package targets
-    (AQE on, UTC session zone, UI off).  Tests and the bench use it."""
+    (AQE on, UTC session zone, UI off).  Tests and the bench use it;
+    ``event_log_dir`` turns on Spark's event log there (stage metrics)."""
+    builder = SparkSession.builder
+    if event_log_dir:
+        builder = (builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
+                   .config("spark.eventLog.compress", "false"))
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
