@@ -34,3 +34,24 @@ def test_gated_silver_stream(spark, tmp_path):
         silver_available(spark, str(landing), silver, str(tmp_path / "ckpt"), "stream_p", "quality.quality_checks")
     assert "quality check failed" in str(err.value) or isinstance(err.value, QualityGateError)
     assert spark.read.parquet(silver).count() == 1
+
+
+def test_consumed_files_are_archived(spark, tmp_path):
+    landing, archive = tmp_path / "landing", tmp_path / "processed"
+    landing.mkdir()
+    for i in range(3):
+        (landing / f"part{i}.txt").write_text(LINE + "\n")
+    args = (str(landing), str(tmp_path / "bronze"), str(tmp_path / "ckpt"))
+    ingest_available(spark, *args, archive_dir=str(archive))
+    assert spark.read.parquet(str(tmp_path / "bronze")).count() == 3
+    # files of a batch are archived once the stream plans its next batch
+    (landing / "part3.txt").write_text(LINE + "\n")
+    ingest_available(spark, *args, archive_dir=str(archive))
+    assert spark.read.parquet(str(tmp_path / "bronze")).count() == 4
+    import time
+    deadline = time.time() + 20
+    while time.time() < deadline and len(list(archive.rglob("*.txt"))) < 3:
+        time.sleep(0.5)
+    archived = sorted(p.name for p in archive.rglob("*.txt"))
+    assert archived == ["part0.txt", "part1.txt", "part2.txt"]
+    assert [p.name for p in landing.glob("*.txt")] == ["part3.txt"]

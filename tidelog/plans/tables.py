@@ -89,7 +89,7 @@ def publish_version(spark: SparkSession, table: str, location: str, table_format
     previous = table_location(spark, table)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(f"CREATE TABLE {table} USING {table_format} LOCATION '{location}'")
-    if partitioned:
+    if partitioned and table_format.lower() != "delta":  # Delta keeps partitions in its own log
         spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
     return previous
 

@@ -3,8 +3,11 @@
 For landing zones that receive files continuously.  The file source keeps
 the set of consumed files in its checkpoint (each file is read once), and
 ``cleanSource=archive`` moves every consumed file to an archive folder,
-as the batch pipeline's "processed" folder does.  ``trigger(availableNow)``
-turns it into an incremental batch job: consume what has landed, stop.
+as the batch pipeline's "processed" folder does (a batch's files move once
+the stream plans its next batch, so with available-now runs the last
+batch's files move during the next run that finds new data).
+``trigger(availableNow)`` turns it into an incremental batch job: consume
+what has landed, stop.
 
 ``gated_silver_writer`` is the streaming form of the silver stage: every
 micro-batch is parsed, checked with the same rules (counts observed during
