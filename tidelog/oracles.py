@@ -54,10 +54,12 @@ BY_WEEKDAY = """SELECT dayname(timestamp) AS day_of_week, COUNT(*) AS client_err
              WHERE status_code BETWEEN 400 AND 499 GROUP BY dayname(timestamp)"""
 WORST_WEEKDAY = f"""SELECT * FROM ({BY_WEEKDAY}) w
              ORDER BY client_error_count DESC, day_of_week ASC NULLS LAST LIMIT 1"""
-REPORT_SCALARS = f"""SELECT d.distinct_ip_count, d.distinct_day_count,
+REPORT_SCALARS = f"""SELECT COUNT(DISTINCT client_ip) AS distinct_ip_count,
+             COUNT(DISTINCT CAST(timestamp AS DATE)) AS distinct_day_count,
              (SELECT day_of_week FROM ({WORST_WEEKDAY}) x) AS day_with_most_client_errors,
-             v.total_volume, v.max_volume, v.min_volume, v.avg_volume
-             FROM ({DISTINCT}) d, ({VOLUME}) v"""
+             SUM(CAST(response_size AS DOUBLE)) AS total_volume, MAX(CAST(response_size AS DOUBLE)) AS max_volume,
+             MIN(CAST(response_size AS DOUBLE)) AS min_volume, AVG(CAST(response_size AS DOUBLE)) AS avg_volume
+             FROM silver"""
 
 
 def _quality(noisy: bool) -> str:
@@ -126,6 +128,7 @@ ORACLES: dict[str, str] = {
     "layer_roundtrip": f"SELECT value, {RUN_DATE_SQL} AS processed_date FROM ({LINES}) l",
     "pipeline_gold": f"{_with(noisy=False)} {REPORT_SCALARS}",
     "stream_ingest": LINES,
+    "stream_silver": f"{_with(noisy=False)} SELECT * FROM silver",
     "run_durations": f"SELECT step, AVG(time_elapsed) AS time_elapsed FROM ({AUDIT}) a GROUP BY step",
     "run_status": f"SELECT pipeline_name, status, COUNT(*) AS runs FROM ({AUDIT}) a GROUP BY pipeline_name, status",
     "latest_runs": f"SELECT * FROM ({AUDIT}) a WHERE pipeline_name LIKE 'pipeline_1' AND step = 'gold'",

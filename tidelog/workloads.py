@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.functions.http import response_category
-from tidelog.functions.logparse import clean_endpoint, parse_access_log
+from tidelog.functions.logparse import SILVER_LOG_COLUMNS, clean_endpoint, parse_access_log
 from tidelog.operators import metrics as M
 from tidelog.operators.monitoring import latest_runs, run_durations, run_status
 from tidelog.operators.quality import quality_rows
@@ -43,7 +43,7 @@ from tidelog.sources.events_log import access_lines, execution_rows
 from tidelog.sources.landing import read_landing
 from tidelog.sources.ledger import landing_files, read_unseen, record_files
 from tidelog.sources.parallelism import spread_small_input
-from tidelog.streaming.ingest import ingest_available
+from tidelog.streaming.ingest import ingest_available, silver_available
 
 # fixed run instant for the control columns of the checks
 RUN_TS = dt.datetime(2024, 2, 1, 12, 30, 0, tzinfo=dt.timezone.utc)
@@ -246,6 +246,14 @@ def stream_ingest(spark, sf_dir):
     return spark.read.parquet(f"{base}/bronze").select("value")
 
 
+def stream_silver(spark, sf_dir):
+    """Landing folder → gated silver, micro-batch by micro-batch (available-now)."""
+    base = scratch_path(spark, "stream-silver")
+    _lines(spark, sf_dir, noisy=False).write.text(f"{base}/landing")
+    silver_available(spark, f"{base}/landing", f"{base}/silver", f"{base}/_checkpoint", "check_stream")
+    return _ntz(spark.read.parquet(f"{base}/silver").select(*SILVER_LOG_COLUMNS), "timestamp")
+
+
 # --- monitoring ------------------------------------------------------------------------
 
 def _audit_table(spark, sf_dir) -> str:
@@ -306,6 +314,7 @@ QUERIES: dict[str, Query] = {
     "layer_roundtrip": layer_roundtrip,
     "pipeline_gold": pipeline_gold,
     "stream_ingest": stream_ingest,
+    "stream_silver": stream_silver,
     "run_durations": run_durations_q,
     "run_status": run_status_q,
     "latest_runs": latest_runs_q,
