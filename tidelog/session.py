@@ -46,19 +46,25 @@ def shared_dir(spark: SparkSession) -> str:
     registered as the checkpoint dir, so ``DataFrame.checkpoint`` works too.
     """
     global _FALLBACK_DIR
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    configured = None
+    try:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+    except Exception:  # noqa: BLE001 - not readable as a session conf on some versions
+        configured = None
     if not configured:
         try:
-            configured = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # noqa: BLE001 - unset conf raises on some versions
+            sc = spark.sparkContext
+            configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
             configured = None
-    if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if _FALLBACK_DIR is None:
         _FALLBACK_DIR = tempfile.mkdtemp(prefix="tidelog-shared-")
-        spark.sparkContext.setCheckpointDir(_FALLBACK_DIR)
+        try:
+            spark.sparkContext.setCheckpointDir(_FALLBACK_DIR)
+        except Exception:  # noqa: BLE001
+            pass
     return _FALLBACK_DIR
 
 

@@ -13,7 +13,9 @@ def spread_small_input(df: DataFrame) -> DataFrame:
     many more partitions than cores (one per file split), and are returned
     unchanged: no shuffle is added at scale.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        partitions = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave the plan as is
+        return df
+    return df.repartition(cores) if partitions < cores else df
