@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tidelog.operators.monitoring import latest_runs, run_durations, run_status
 from tidelog.plans.audit import insert_execution_log, save_execution_log
-from tidelog.plans.tables import ensure_environment, purge_rows, table_location, write_layer
+from tidelog.plans.tables import compact_table, ensure_environment, purge_rows, table_location, write_layer
 from tidelog.schemas import EXECUTION_LOG_SCHEMA, ddl
 from tidelog.sources.ledger import landing_files, read_unseen, record_files
 
@@ -96,3 +96,14 @@ def test_ledger_skips_seen_files(spark, tmp_path):
     rows, files = read_unseen(spark, str(landing), ledger, "text")
     assert [r.value for r in rows.collect()] == ["three"]
     assert landing_files(spark, str(landing)).count() == 2
+
+
+def test_compact_table_keeps_every_row_in_fewer_files(spark, tmp_path):
+    table = fresh_log_table(spark, tmp_path, "logs_d")
+    for i in range(6):
+        save_execution_log(spark, T0 + dt.timedelta(seconds=i), "p", "s", "OK", "", "/p", float(i), table)
+    before = sorted(tuple(r) for r in spark.table(table).collect())
+    files_before = len(spark.table(table).inputFiles())
+    assert compact_table(spark, table) == 6
+    assert sorted(tuple(r) for r in spark.table(table).collect()) == before
+    assert len(spark.table(table).inputFiles()) < files_before

@@ -30,13 +30,13 @@ from tidelog.plans.pipeline import (
     silver_to_gold,
 )
 from tidelog.plans.spec import PipelineSpec
-from tidelog.plans.tables import ensure_environment, purge_rows, read_layer, write_layer
+from tidelog.plans.tables import compact_table, ensure_environment, purge_rows, read_layer, write_layer
 from tidelog.sources.landing import read_landing
 from tidelog.sources.ledger import read_unseen, unseen_files
 
 __all__ = [
     "PipelineSpec", "QualityGateError", "access_report", "access_report_sql", "bronze_to_silver",
-    "check_landing", "clean_endpoint", "client_errors_by_weekday", "daily_rollup", "distinct_counts",
+    "check_landing", "clean_endpoint", "compact_table", "client_errors_by_weekday", "daily_rollup", "distinct_counts",
     "ensure_environment", "is_page", "landing_to_bronze", "latest_runs", "log_analysis",
     "monitoring_analysis", "parse_access_log", "parse_log_time", "purge_rows", "quality_counts",
     "quality_rows", "read_landing", "read_layer", "read_unseen", "report_frames", "response_category",

@@ -145,3 +145,9 @@ def purge_rows(spark: SparkSession, table: str, condition: Column | str, table_f
     except Exception as exc:  # noqa: BLE001 - leftover files are harmless
         log.warning("could not remove superseded data at %s: %s", location, exc)
     return n
+
+
+def compact_table(spark: SparkSession, table: str, table_format: str = "parquet") -> int:
+    """Rewrite an append-only table (one small file per appended audit row)
+    into few files, published like a purge that removes nothing."""
+    return purge_rows(spark, table, F.lit(False), table_format)
