@@ -1,10 +1,19 @@
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tidelog.operators.monitoring import latest_runs, run_durations, run_status
 from tidelog.plans.audit import insert_execution_log, save_execution_log
-from tidelog.plans.tables import compact_table, ensure_environment, purge_rows, table_location, write_layer
+from tidelog.plans.tables import (
+    compact_table,
+    ensure_environment,
+    purge_rows,
+    read_layer,
+    table_location,
+    write_layer,
+)
 from tidelog.schemas import EXECUTION_LOG_SCHEMA, ddl
 from tidelog.sources.ledger import landing_files, read_unseen, record_files
 
@@ -81,7 +90,29 @@ def test_write_layer_overwrites_and_partitions(spark, tmp_path):
     write_layer(df, "bronze.layer_t", str(tmp_path / "layer"), optimize_write=True)
     write_layer(df.limit(3), "bronze.layer_t", str(tmp_path / "layer"))
     assert spark.table("bronze.layer_t").count() == 3
-    assert (tmp_path / "layer" / "processed_date=2024-01-01").is_dir()
+    versions = [p for p in (tmp_path / "layer").iterdir() if p.name.startswith("v=")]
+    assert len(versions) == 1  # the superseded version is gone
+    assert (versions[0] / "processed_date=2024-01-01").is_dir()
+
+
+def test_failed_layer_write_keeps_previous_table(spark, tmp_path):
+    ensure_environment(spark, str(tmp_path / "lake"))
+    df = spark.range(5).withColumn("processed_date", F.lit("2024-01-01").cast("date"))
+    write_layer(df, "bronze.layer_f", str(tmp_path / "layer_f"))
+    bad = df.withColumn("id", F.expr("assert_true(id < 0)"))  # fails inside the write job
+    with pytest.raises(Exception):
+        write_layer(bad, "bronze.layer_f", str(tmp_path / "layer_f"))
+    assert spark.table("bronze.layer_f").count() == 5
+    assert len([p for p in (tmp_path / "layer_f").iterdir() if p.name.startswith("v=")]) == 1
+
+
+def test_read_layer_falls_back_to_newest_version(spark, tmp_path):
+    ensure_environment(spark, str(tmp_path / "lake"))
+    df = spark.range(4).withColumn("processed_date", F.lit("2024-01-01").cast("date"))
+    write_layer(df, "bronze.layer_r", str(tmp_path / "layer_r"))
+    spark.sql("DROP TABLE bronze.layer_r")  # e.g. a new session with an empty catalog
+    back = read_layer(spark, "bronze.layer_r", str(tmp_path / "layer_r"))
+    assert back.count() == 4 and "v" not in back.columns
 
 
 def test_ledger_skips_seen_files(spark, tmp_path):

@@ -12,7 +12,6 @@ passed is the silver table pointed at the new folder.
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
@@ -31,7 +30,8 @@ from tidelog.plans.spec import EXECUTION_LOG_TABLE, QUALITY_TABLE, PipelineSpec,
 from tidelog.plans.tables import (
     append_rows,
     ensure_environment,
-    publish_version,
+    new_version_path,
+    publish_layer,
     read_layer,
     remove_path,
     sized_for_write,
@@ -94,7 +94,7 @@ def bronze_to_silver(spark: SparkSession, spec: PipelineSpec, run_ts: dt.datetim
     with audited_stage(spark, spec.pipeline_name, "silver", spec.silver_path, run_ts):
         silver = build_silver(spark, spec, run_ts)
         observation = Observation("silver_quality")
-        version = f"{spec.silver_path}/v={run_ts.strftime('%Y%m%dT%H%M%S')}-{uuid.uuid4().hex[:8]}"
+        version = new_version_path(spec.silver_path)
         # observe after the optional rebalance: the counts then live in the
         # write's result stage (exactly-once accumulator updates)
         staged = sized_for_write(silver, spec.optimize_write).observe(observation, *count_exprs(spec.is_log))
@@ -112,9 +112,7 @@ def bronze_to_silver(spark: SparkSession, spec: PipelineSpec, run_ts: dt.datetim
         except BaseException:
             remove_path(spark, version)  # never published: drop the partial or rejected version
             raise
-        previous = publish_version(spark, spec.silver_table, version, spec.table_format)
-        if previous and previous.rstrip("/") != version.rstrip("/") and "/v=" in previous:
-            remove_path(spark, previous)
+        publish_layer(spark, spec.silver_table, version, spec.table_format, schema=silver.schema)
 
 
 def silver_to_gold(spark: SparkSession, spec: PipelineSpec, run_ts: dt.datetime | None = None) -> None:

@@ -10,12 +10,15 @@ job leaves the previous version intact.
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
+import re
 import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidelog.plans.spec import DATABASES, EXECUTION_LOG_TABLE, QUALITY_TABLE
 from tidelog.schemas import EXECUTION_LOG_SCHEMA, QUALITY_SCHEMA, ddl
@@ -48,18 +51,13 @@ def sized_for_write(df: DataFrame, optimize_write: bool) -> DataFrame:
     return df.hint("rebalance", PARTITION_COLUMN) if optimize_write else df
 
 
-def write_layer(df: DataFrame, table: str, path: str, table_format: str = "parquet",
-                optimize_write: bool = False) -> None:
-    """Full overwrite of an external layer table, partitioned by ``processed_date``,
-    with the schema replaced by the frame's."""
-    (
-        sized_for_write(df, optimize_write)
-        .write.format(table_format)
-        .mode("overwrite")
-        .partitionBy(PARTITION_COLUMN)
-        .option("path", path)
-        .saveAsTable(table)
-    )
+VERSION_PREFIX = "v="
+
+
+def new_version_path(path: str) -> str:
+    """A fresh, name-sortable version folder under a layer path."""
+    stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+    return f"{path.rstrip('/')}/{VERSION_PREFIX}{stamp}-{uuid.uuid4().hex[:8]}"
 
 
 def write_version(df: DataFrame, path: str, table_format: str = "parquet", optimize_write: bool = False) -> None:
@@ -69,6 +67,26 @@ def write_version(df: DataFrame, path: str, table_format: str = "parquet", optim
     ).save(path)
 
 
+def write_layer(df: DataFrame, table: str, path: str, table_format: str = "parquet",
+                optimize_write: bool = False) -> str:
+    """Full overwrite of a layer table, partitioned by ``processed_date``, with
+    the schema replaced by the frame's.
+
+    The data goes to a new version folder under ``path``; only after the
+    write job has committed is the table pointed there and the superseded
+    version removed, so a failed or interrupted job leaves the previous
+    table whole.  Returns the published version folder.
+    """
+    version = new_version_path(path)
+    try:
+        write_version(df, version, table_format, optimize_write)
+    except BaseException:
+        remove_path(df.sparkSession, version)
+        raise
+    publish_layer(df.sparkSession, table, version, table_format, schema=df.schema)
+    return version
+
+
 def table_location(spark: SparkSession, table: str) -> str | None:
     if not spark.catalog.tableExists(table):
         return None
@@ -79,21 +97,58 @@ def table_location(spark: SparkSession, table: str) -> str | None:
     return None
 
 
+def columns_ddl(schema: T.StructType) -> str:
+    """Column list for CREATE TABLE (names quoted, nested types kept as written)."""
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
 def publish_version(spark: SparkSession, table: str, location: str, table_format: str = "parquet",
-                    partitioned: bool = True) -> str | None:
+                    partitioned: bool = True, schema: T.StructType | None = None) -> str | None:
     """Point ``table`` at the data in ``location``; returns the previous location.
 
     The table is external, so dropping the catalog entry keeps every file;
-    partitions are registered from the folder layout.
+    partitions are registered from the folder layout.  ``schema`` (the schema
+    of the written frame) is declared explicitly so that an empty version,
+    which has no data file to infer it from, still publishes.
     """
     previous = table_location(spark, table)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"CREATE TABLE {table} USING {table_format} LOCATION '{location}'")
+    columns = f"({columns_ddl(schema)}) " if schema is not None else ""
+    partitioning = f"PARTITIONED BY ({PARTITION_COLUMN}) " if partitioned and schema is not None else ""
+    spark.sql(f"CREATE TABLE {table} {columns}USING {table_format} {partitioning}LOCATION '{location}'")
     if partitioned and table_format.lower() != "delta":  # Delta keeps partitions in its own log
         spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
     return previous
 
 
+def _bare(path: str) -> str:
+    """A path without scheme and trailing slash (catalog locations are URIs)."""
+    return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//)?", "", path.rstrip("/"))
+
+
+def publish_layer(spark: SparkSession, table: str, version: str, table_format: str = "parquet",
+                  schema: T.StructType | None = None) -> None:
+    """Publish a version folder as ``table`` and remove the version it replaces
+    (only folders this module created: last segment ``v=…``)."""
+    previous = publish_version(spark, table, version, table_format, schema=schema)
+    if previous:
+        old, new = _bare(previous), _bare(version)
+        if old != new and old.rsplit("/", 1)[-1].startswith(VERSION_PREFIX):
+            remove_path(spark, previous)
+
+
+def latest_version(spark: SparkSession, path: str) -> str | None:
+    """The newest ``v=…`` folder under a layer path (names sort by time), if any."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        return None
+    names = [st.getPath().getName() for st in fs.listStatus(hpath) if st.isDirectory()]
+    versions = sorted(n for n in names if n.startswith(VERSION_PREFIX))
+    return f"{path.rstrip('/')}/{versions[-1]}" if versions else None
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder of an unpublished or superseded version (Hadoop FS, any scheme)."""
     jvm = spark.sparkContext._jvm
@@ -104,13 +159,13 @@ def remove_path(spark: SparkSession, path: str) -> None:
 
 
 def read_layer(spark: SparkSession, table: str, path: str | None = None, table_format: str = "parquet") -> DataFrame:
-    """A layer by catalog name, falling back to its storage path."""
+    """A layer by catalog name, falling back to the newest version under its path."""
     try:
         return spark.read.table(table)
     except AnalysisException:
         if path is None:
             raise
-        return spark.read.format(table_format).load(path)
+        return spark.read.format(table_format).load(latest_version(spark, path) or path)
 
 
 def append_rows(df: DataFrame, table: str) -> None:
@@ -139,7 +194,7 @@ def purge_rows(spark: SparkSession, table: str, condition: Column | str, table_f
     kept.write.format(table_format).mode("errorifexists").save(new_location)
     published = spark.read.format(table_format).load(new_location)
     n = published.count()
-    publish_version(spark, table, new_location, table_format, partitioned=False)
+    publish_version(spark, table, new_location, table_format, partitioned=False, schema=kept.schema)
     try:
         remove_path(spark, location)
     except Exception as exc:  # noqa: BLE001 - leftover files are harmless
