@@ -53,7 +53,7 @@ def test_full_run_writes_every_layer_and_audits_each_stage(spark, tmp_path):
     mon = P.monitoring_analysis(spark)
     assert {r.step for r in mon["durations"].collect()} >= {"landing", "bronze", "silver", "gold"}
     assert ("full", "OK") in {(r.pipeline_name, r.status) for r in mon["status"].collect()}
-    q = spark.table("quality.quality_checks").filter("verified_table = 'silver.s_full'").collect()
+    q = spark.table("quality.quality_checks").filter("verified_table = 's_full'").collect()
     assert sorted(r.rule for r in q) == sorted(
         ["not_null_client_ip", "not_null_endpoint", "not_null_status_code", "not_null_timestamp", "not_zero_count"])
 
@@ -125,7 +125,7 @@ def test_quality_gate_blocks_silver_and_keeps_previous_version(spark, tmp_path):
     with pytest.raises(QualityGateError):
         P.run(spark, spec, 3, RUN_TS)
     assert spark.table(spec.silver_table).count() == 1  # the old silver is still published
-    q = spark.table("quality.quality_checks").filter("verified_table = 'silver.s_gate' AND status = 'FAIL'")
+    q = spark.table("quality.quality_checks").filter("verified_table = 's_gate' AND status = 'FAIL'")
     assert {r.rule: r.percentage_ok for r in q.collect()} == {"not_null_status_code": 50.0, "not_null_timestamp": 50.0}
     steps, _ = audit(spark, "gate")
     assert steps.count(("silver", "NOTOK")) == 1
@@ -135,7 +135,7 @@ def test_empty_landing_file_fails_every_rule(spark, tmp_path):
     spec = make_spec(tmp_path, "empty", content="")
     with pytest.raises(QualityGateError):
         P.run(spark, spec, 3, RUN_TS)
-    q = spark.table("quality.quality_checks").filter("verified_table = 'silver.s_empty'").collect()
+    q = spark.table("quality.quality_checks").filter("verified_table = 's_empty'").collect()
     assert {(r.rule, r.status, r.percentage_ok) for r in q} == {
         (rule, "FAIL", 0.0) for rule in ("not_null_client_ip", "not_null_endpoint", "not_null_status_code",
                                          "not_null_timestamp", "not_zero_count")}
@@ -147,7 +147,7 @@ def test_sql_defined_silver(spark, tmp_path):
     spec = make_spec(tmp_path, "nonlog", is_log=False, sql_silver="SELECT id, name FROM src_rows")
     P.run(spark, spec, 3, RUN_TS)
     assert sorted(r.id for r in spark.table(spec.silver_table).collect()) == [1, 2]
-    q = spark.table("quality.quality_checks").filter("verified_table = 'silver.s_nonlog'").collect()
+    q = spark.table("quality.quality_checks").filter("verified_table = 's_nonlog'").collect()
     assert [(r.rule, r.status) for r in q] == [("not_zero_count", "OK")]
 
 

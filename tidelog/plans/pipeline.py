@@ -102,7 +102,7 @@ def bronze_to_silver(spark: SparkSession, spec: PipelineSpec, run_ts: dt.datetim
             write_version(staged, version, spec.table_format, optimize_write=False)
             results = evaluate_rules(observation.get, spec.is_log)
             append_rows(
-                results_frame(spark, results, spec.pipeline_name, SILVER_STEP, spec.silver_table, run_ts),
+                results_frame(spark, results, spec.pipeline_name, SILVER_STEP, spec.table_name_silver, run_ts),
                 QUALITY_TABLE,
             )
             bad = failed(results)
