@@ -46,6 +46,7 @@ def test_full_run_writes_every_layer_and_audits_each_stage(spark, tmp_path):
     steps, rows = audit(spark, "full")
     assert steps == [("bronze", "OK"), ("gold", "OK"), ("landing", "OK"), ("silver", "OK")]
     assert all(r.time_elapsed >= 0 and r.error_message == "" for r in rows)
+    spark.sql(f"DROP TABLE {spec.gold_table}")  # e.g. a new session: found again by path
     frames = P.log_analysis(spark, spec)
     assert [tuple(r) for r in frames["top_ips"].collect()] == [("192.168.1.1", 1)]
     assert [tuple(r) for r in frames["top_endpoints"].collect()] == [("/home", 1)]

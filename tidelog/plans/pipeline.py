@@ -120,7 +120,7 @@ def silver_to_gold(spark: SparkSession, spec: PipelineSpec, run_ts: dt.datetime
     run_ts = run_ts or _now()
     with audited_stage(spark, spec.pipeline_name, "gold", spec.gold_path, run_ts):
         if spec.gold_builder is not None:
-            gold = spec.gold_builder(spark.table(spec.silver_table))
+            gold = spec.gold_builder(read_layer(spark, spec.silver_table, spec.silver_path, spec.table_format))
         else:
             gold = spark.sql(require_sql(spec.sql_gold, "gold"))
         gold = with_control_columns(gold.drop(*CONTROL_COLUMNS), run_ts)
@@ -143,7 +143,7 @@ def run(spark: SparkSession, spec: PipelineSpec, until: int = 4, run_ts: dt.date
 def log_analysis(spark: SparkSession, spec: PipelineSpec) -> dict[str, DataFrame]:
     """Chart data of the gold report: ``report`` (the table), exploded
     ``top_ips`` and ``top_endpoints``, and the first row's ``kpis``."""
-    gold = spark.table(spec.gold_table)
+    gold = read_layer(spark, spec.gold_table, spec.gold_path, spec.table_format)
     return {"report": gold, **report_frames(gold)}
 
 
