@@ -53,3 +53,6 @@ def test_query_matches_oracle(spark, duck, key):
     res = duck.sql(E.oracle_sql()[key])
     assert sorted(df.columns) == sorted(res.columns)
     assert table(df.columns, [tuple(r) for r in df.collect()]) == table(res.columns, res.fetchall())
+    plan = df.sparkSession.sparkContext._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "BatchEvalPython"):
+        assert bad not in plan, f"{key} plans {bad}"

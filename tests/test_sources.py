@@ -34,3 +34,13 @@ def test_text_keeps_blank_lines_csv_drops_them_and_cuts_at_commas(spark, tmp_pat
 def test_missing_landing_path(spark, tmp_path):
     with pytest.raises(FileNotFoundError, match="nope.txt"):
         read_landing(spark, str(tmp_path / "nope.txt"), "text")
+
+
+def test_spread_only_touches_inputs_with_fewer_splits_than_cores(spark):
+    from tidelog.sources.parallelism import spread_small_input
+
+    cores = spark.sparkContext.defaultParallelism
+    small = spark.range(100).coalesce(1)
+    large = spark.range(1000).repartition(cores * 4)
+    assert spread_small_input(small).rdd.getNumPartitions() == cores
+    assert spread_small_input(large) is large  # nothing added at scale
