@@ -97,8 +97,10 @@ def quality_rows(df: DataFrame, pipeline_name: str, step: str, verified_table: s
 
 def evaluate_rules(counts: dict, is_log: bool) -> list[RuleResult]:
     """Rule results from the count row (a dict), on the driver: five numbers in,
-    at most five rows out.  Percentages are rounded to two places; the pass
-    test is on the exact counts."""
+    at most five rows out.  Percentages are rounded to two places with
+    Python's ``round`` (as the original gate stored them; ``quality_rows``
+    uses Spark's half-up ``round``, which can differ by 0.01 on an exact
+    decimal tie).  The pass test is on the exact counts."""
     total = int(counts.get("total") or 0)
     results = []
     if is_log:
