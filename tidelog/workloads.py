@@ -31,6 +31,7 @@ from tidelog.plans.pipeline import run as run_pipeline
 from tidelog.plans.spec import PipelineSpec
 from tidelog.plans.tables import (
     append_rows,
+    compact_table,
     ensure_environment,
     purge_rows,
     read_layer,
@@ -256,13 +257,14 @@ def stream_silver(spark, sf_dir):
 
 # --- monitoring ------------------------------------------------------------------------
 
-def _audit_table(spark, sf_dir) -> str:
+def _audit_table(spark, sf_dir, appended: bool = True) -> str:
     _utc(spark)
     base = scratch_path(spark, "audit")
     ensure_environment(spark, base)
     table = f"monitoring.execution_logs_{uuid.uuid4().hex[:8]}"
     spark.sql(f"CREATE TABLE {table} ({ddl(EXECUTION_LOG_SCHEMA)}) USING parquet LOCATION '{base}/logs'")
-    append_rows(execution_rows(_table(spark, sf_dir, "events")), table)
+    if appended:
+        append_rows(execution_rows(_table(spark, sf_dir, "events")), table)
     return table
 
 
@@ -288,6 +290,16 @@ def purge_runs(spark, sf_dir):
     return _ntz(spark.table(table), "execution_time")
 
 
+def compact_runs(spark, sf_dir):
+    """Audit rows appended step by step (one small file set per append), then compacted."""
+    table = _audit_table(spark, sf_dir, appended=False)
+    rows = execution_rows(_table(spark, sf_dir, "events"))
+    for step in ("landing", "bronze", "silver", "gold"):
+        append_rows(rows.filter(F.col("step") == step), table)
+    compact_table(spark, table)
+    return _ntz(spark.table(table), "execution_time")
+
+
 QUERIES: dict[str, Query] = {
     "landing_text_scan": landing_text_scan,
     "landing_csv_scan": landing_csv_scan,
@@ -319,4 +331,5 @@ QUERIES: dict[str, Query] = {
     "run_status": run_status_q,
     "latest_runs": latest_runs_q,
     "purge_runs": purge_runs,
+    "compact_runs": compact_runs,
 }
