@@ -29,6 +29,8 @@ def test_gated_silver_stream(spark, tmp_path):
     silver_available(spark, str(landing), silver, str(tmp_path / "ckpt"), "stream_p", "quality.quality_checks")
     out = spark.read.parquet(silver)
     assert out.first().endpoint == "/home" and out.count() == 1
+    q = spark.table("quality.quality_checks").filter("pipeline_name = 'stream_p'").collect()
+    assert {r.verified_table for r in q} == {"silver"} and len(q) == 5
     (landing / "b.txt").write_text("garbage\n")
     with pytest.raises(Exception) as err:
         silver_available(spark, str(landing), silver, str(tmp_path / "ckpt"), "stream_p", "quality.quality_checks")

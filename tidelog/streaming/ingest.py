@@ -74,7 +74,8 @@ def gated_silver_writer(silver_path: str, pipeline_name: str, quality_table: str
         ).parquet(target)
         results = evaluate_rules(observation.get, True)
         if quality_table:
-            rows = results_frame(spark, results, pipeline_name, "bronze_to_silver", silver_path, run_ts)
+            table_name = silver_path.rstrip("/").rsplit("/", 1)[-1]  # bare name, as the batch gate stores it
+            rows = results_frame(spark, results, pipeline_name, "bronze_to_silver", table_name, run_ts)
             rows.write.mode("append").insertInto(quality_table)
         if failed(results):
             remove_path(spark, target)
