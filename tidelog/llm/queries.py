@@ -10,12 +10,23 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidelog.llm.common import table
+from tidelog.llm.pii import BASE_KINDS, KINDS, pii_spans, span_text
 from tidelog.llm.tokens import token_prefixes
 
 TOKENIZER = "word_bpe_49k.json"
 TOKEN_LIMIT = 2048
 
 
+def op2_pii(spark, sf_dir):
+    """Personal data in every whole text: counts and digest of the base kinds, all spans."""
+    found = pii_spans(table(spark, sf_dir, "documents"))
+    counts = {f"n_{k}": F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long") for k in BASE_KINDS}
+    return found.select("doc_id", *(c.alias(n) for n, c in counts.items()),
+                        F.sha2(span_text("spans", BASE_KINDS), 256).alias("base_sha256"),
+                        span_text("spans", KINDS).alias("spans"),
+                        F.transform("spans", lambda s: s["score"]).alias("scores"))
+
+
 def op5_token_counts(spark, sf_dir):
     """Tokens of every whole text, and the longest prefix within the limit."""
     import public_tokenizers
@@ -25,6 +36,7 @@ def op5_token_counts(spark, sf_dir):
 
 
 QUERIES = {
+    "op2_pii": op2_pii,
     "op5_token_counts": op5_token_counts,
 }
 ORACLES: dict[str, str] = {}
