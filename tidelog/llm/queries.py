@@ -12,11 +12,21 @@ from pyspark.sql import functions as F
 from tidelog.llm.common import table
 from tidelog.llm.pii import BASE_KINDS, KINDS, pii_spans, span_text
 from tidelog.llm.tokens import token_prefixes
+from tidelog.llm.warc import read_warc, write_warc
+from tidelog.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
 TOKEN_LIMIT = 2048
 
 
+def op1_warc(spark, sf_dir):
+    """Every page as a WARC record, read back from the archives."""
+    manifest = write_warc(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"), "page_id", "url", "html")
+    records = read_warc(spark, manifest)
+    return records.select(F.col("record_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest",
+                          "record_type", F.col("refers_to").cast("long").alias("refers_to"))
+
+
 def op2_pii(spark, sf_dir):
     """Personal data in every whole text: counts and digest of the base kinds, all spans."""
     found = pii_spans(table(spark, sf_dir, "documents"))
@@ -37,7 +47,22 @@ def op5_token_counts(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op2_pii": op2_pii,
     "op5_token_counts": op5_token_counts,
 }
-ORACLES: dict[str, str] = {}
+# base32 of the 40 hexadecimal digits: five of them are four letters
+ORACLES: dict[str, str] = {
+    "op1_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+        d AS (SELECT page_id, strlen(h) AS payload_bytes, sha1(h) AS x FROM p),
+        f AS (SELECT x, min(page_id) AS first_id FROM d GROUP BY x)
+        SELECT page_id, payload_bytes,
+            array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                ((('0x' || substr(d.x, (i // 4) * 5 + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INT + 1, 1)), '')
+                AS payload_digest,
+            CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+        FROM d JOIN f USING (x)
+    """,
+}
