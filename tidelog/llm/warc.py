@@ -129,7 +129,7 @@ def write_warc(df: DataFrame, folder: str, id_col: str, uri_col: str, payload_co
             for row in zip(*(batch.column(c) for c in ("id", "uri", "refers_to", "digest", "payload"))):
                 if out is None:
                     name, size, n = f"part-{uuid.uuid4().hex}.warc.gz", 0, 0
-                    out = fs.open_output_stream(f"{base}/{name}")
+                    out = fs.open_output_stream(f"{base}/{name}", compression=None)
                 data = member(*(v.as_py() for v in row), date, level)
                 out.write(data)
                 size += len(data)
