@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidelog.llm.chat import format_chats, learned_text, read_turns
 from tidelog.llm.common import table
 from tidelog.llm.pii import BASE_KINDS, KINDS, pii_spans, span_text
 from tidelog.llm.tokens import token_prefixes
@@ -17,6 +18,8 @@ from tidelog.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
 TOKEN_LIMIT = 2048
+# a conversation that says what other formats take for control strings
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 
 def op1_warc(spark, sf_dir):
@@ -46,10 +49,26 @@ def op5_token_counts(spark, sf_dir):
     return out.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op7_chat(spark, sf_dir):
+    """Every conversation formatted, and what can be read back from the output."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                  F.lit(CONTROL_TEXT).alias("text"))
+    out = format_chats(rows.unionByName(extra))
+    out = out.select("conv_id", "formatted", read_turns(F.col("formatted")).alias("turns"),
+                     learned_text(F.col("segments")).alias("learned"))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return out.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+                      F.length("learned").cast("long").alias("loss_chars"), F.sha2("learned", 256).alias("loss_sha256"),
+                      F.length("formatted").cast("long").alias("formatted_chars"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_pii": op2_pii,
     "op5_token_counts": op5_token_counts,
+    "op7_chat": op7_chat,
 }
 # base32 of the 40 hexadecimal digits: five of them are four letters
 ORACLES: dict[str, str] = {
@@ -65,4 +84,24 @@ ORACLES: dict[str, str] = {
             CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
         FROM d JOIN f USING (x)
     """,
+    "op7_chat": r"""
+        WITH c AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+        e AS (SELECT *,
+                regexp_replace(text, '([<\[])(\\*)(\||/?s>|/?INST\]|</?SYS>>)', '\1\\\2\3', 'g') AS body,
+                regexp_replace(replace(replace(role, '\', '\b'), chr(10), '\n'),
+                    '([<\[])(\\*)(\||/?s>|/?INST\]|</?SYS>>)', '\1\\\2\3', 'g') AS mark
+              FROM c)
+        SELECT conv_id, count(*) AS n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text))
+                AS turns_sha256,
+            coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+            sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
+                FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+            sum(length('<|im_start|>') + length(mark) + 1 + length(body) + length('<|im_end|>') + 1)::BIGINT
+                AS formatted_chars
+        FROM e GROUP BY conv_id
+    """,
 }
