@@ -12,12 +12,14 @@ from pyspark.sql import functions as F
 from tidelog.llm.chat import format_chats, learned_text, read_turns
 from tidelog.llm.common import table
 from tidelog.llm.pii import BASE_KINDS, KINDS, pii_spans, span_text
+from tidelog.llm.quality import quality_scores
 from tidelog.llm.tokens import token_prefixes
 from tidelog.llm.warc import read_warc, write_warc
 from tidelog.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
 TOKEN_LIMIT = 2048
+QUALITY_CUT = 0.3
 # a conversation that says what other formats take for control strings
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
@@ -64,11 +66,18 @@ def op7_chat(spark, sf_dir):
                       F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op8_quality(spark, sf_dir):
+    """Quality scores of every whole text, learned from the labels outside the held-out fold."""
+    scores = quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scores.withColumn("predicted", (F.col("score") >= QUALITY_CUT).cast("int"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_pii": op2_pii,
     "op5_token_counts": op5_token_counts,
     "op7_chat": op7_chat,
+    "op8_quality": op8_quality,
 }
 # base32 of the 40 hexadecimal digits: five of them are four letters
 ORACLES: dict[str, str] = {
