@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidelog.llm.chat import format_chats, learned_text, read_turns
 from tidelog.llm.common import table
+from tidelog.llm.mixing import mix, rake_sql
 from tidelog.llm.pii import BASE_KINDS, KINDS, pii_spans, span_text
 from tidelog.llm.quality import quality_scores
 from tidelog.llm.tokens import token_prefixes
@@ -72,12 +73,21 @@ def op8_quality(spark, sf_dir):
     return scores.withColumn("predicted", (F.col("score") >= QUALITY_CUT).cast("int"))
 
 
+def op9_mixing(spark, sf_dir):
+    """Keep probabilities of all documents, raked to source, language and topic shares."""
+    out = mix(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    return out.select("doc_id", F.coalesce("source", F.lit("")).alias("source"),
+                      F.coalesce("lang", F.lit("")).alias("lang"), "topic", "n_words",
+                      F.round("keep_probability", 6).alias("keep_probability"), "kept")
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_pii": op2_pii,
     "op5_token_counts": op5_token_counts,
     "op7_chat": op7_chat,
     "op8_quality": op8_quality,
+    "op9_mixing": op9_mixing,
 }
 # base32 of the 40 hexadecimal digits: five of them are four letters
 ORACLES: dict[str, str] = {
@@ -93,6 +103,7 @@ ORACLES: dict[str, str] = {
             CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
         FROM d JOIN f USING (x)
     """,
+    "op9_mixing": rake_sql(),
     "op7_chat": r"""
         WITH c AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
