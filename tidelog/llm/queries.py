@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidelog.llm.chat import format_chats, learned_text, read_turns
 from tidelog.llm.common import table
 from tidelog.llm.mixing import mix, rake_sql
+from tidelog.llm.ngram_join import ngram_components
 from tidelog.llm.pii import BASE_KINDS, KINDS, pii_spans, span_text
 from tidelog.llm.quality import quality_scores
 from tidelog.llm.tokens import token_prefixes
@@ -52,6 +53,11 @@ def op5_token_counts(spark, sf_dir):
     return out.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op6_ngram_join(spark, sf_dir):
+    """Components of documents whose sets of four-word shingles have a Jaccard similarity of 0.85 or more."""
+    return ngram_components(table(spark, sf_dir, "documents"), size=4, threshold=(85, 100))
+
+
 def op7_chat(spark, sf_dir):
     """Every conversation formatted, and what can be read back from the output."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -85,6 +91,7 @@ QUERIES = {
     "op1_warc": op1_warc,
     "op2_pii": op2_pii,
     "op5_token_counts": op5_token_counts,
+    "op6_ngram_join": op6_ngram_join,
     "op7_chat": op7_chat,
     "op8_quality": op8_quality,
     "op9_mixing": op9_mixing,
