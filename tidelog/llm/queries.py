@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from tidelog.llm.chat import format_chats, learned_text, read_turns
 from tidelog.llm.common import table
+from tidelog.llm.decontam import ORACLE as OVERLAPS_SQL
+from tidelog.llm.decontam import overlaps
 from tidelog.llm.mixing import mix, rake_sql
 from tidelog.llm.ngram_join import ngram_components
 from tidelog.llm.pii import BASE_KINDS, KINDS, pii_spans, span_text
@@ -87,6 +89,11 @@ def op9_mixing(spark, sf_dir):
                       F.round("keep_probability", 6).alias("keep_probability"), "kept")
 
 
+def op10_decontamination(spark, sf_dir):
+    """Documents that overlap with benchmark items, word substitutions tolerated."""
+    return overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_pii": op2_pii,
@@ -95,6 +102,7 @@ QUERIES = {
     "op7_chat": op7_chat,
     "op8_quality": op8_quality,
     "op9_mixing": op9_mixing,
+    "op10_decontamination": op10_decontamination,
 }
 # base32 of the 40 hexadecimal digits: five of them are four letters
 ORACLES: dict[str, str] = {
@@ -111,6 +119,7 @@ ORACLES: dict[str, str] = {
         FROM d JOIN f USING (x)
     """,
     "op9_mixing": rake_sql(),
+    "op10_decontamination": OVERLAPS_SQL,
     "op7_chat": r"""
         WITH c AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
