@@ -13,6 +13,8 @@ from tidelog.llm.chat import format_chats, learned_text, read_turns
 from tidelog.llm.common import table
 from tidelog.llm.decontam import ORACLE as OVERLAPS_SQL
 from tidelog.llm.decontam import overlaps
+from tidelog.llm.line_dedup import ORACLE as LINES_SQL
+from tidelog.llm.line_dedup import dedup_lines
 from tidelog.llm.mixing import mix, rake_sql
 from tidelog.llm.ngram_join import ngram_components
 from tidelog.llm.pii import BASE_KINDS, KINDS, pii_spans, span_text
@@ -47,6 +49,11 @@ def op2_pii(spark, sf_dir):
                         F.transform("spans", lambda s: s["score"]).alias("scores"))
 
 
+def op3_line_dedup(spark, sf_dir):
+    """Every document without the lines that repeat earlier ones, one edit tolerated."""
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_token_counts(spark, sf_dir):
     """Tokens of every whole text, and the longest prefix within the limit."""
     import public_tokenizers
@@ -97,6 +104,7 @@ def op10_decontamination(spark, sf_dir):
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_pii": op2_pii,
+    "op3_line_dedup": op3_line_dedup,
     "op5_token_counts": op5_token_counts,
     "op6_ngram_join": op6_ngram_join,
     "op7_chat": op7_chat,
@@ -119,6 +127,7 @@ ORACLES: dict[str, str] = {
         FROM d JOIN f USING (x)
     """,
     "op9_mixing": rake_sql(),
+    "op3_line_dedup": LINES_SQL,
     "op10_decontamination": OVERLAPS_SQL,
     "op7_chat": r"""
         WITH c AS (
