@@ -235,3 +235,19 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     """Per row of ``docs``: id, ``held_out``, ``score`` (0 to 1; higher: label 1 likelier)."""
     stats = stored(document_statistics(docs, text_col, (id_col,)), "quality-statistics")
     return score(stats, fit(stats, labels, id_col, label_col), id_col)
+
+
+def keep_quality(docs: DataFrame, labels: DataFrame, cut: float, id_col: str = "doc_id", text_col: str = "text",
+                 label_col: str = "quality") -> DataFrame:
+    """The rows of ``docs`` whose score is at least ``cut``, as they are.  The texts are
+    read again and scored where they lie, row by row: nothing but the model moves."""
+    model = fit(stored(document_statistics(docs, text_col, (id_col,)), "quality-statistics"), labels, id_col, label_col)
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(text_col).cast(pa.large_binary())
+            if batch.num_rows:
+                stats = np.array([statistics(v.as_py() or b"").astype(np.float32) for v in texts], dtype=np.float64)
+                yield batch.filter(pa.array(model.score(stats) >= cut))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -101,6 +101,13 @@ def op10_decontamination(spark, sf_dir):
     return overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def pipeline(spark, sf_dir):
+    """All stages of the corpus pipeline over ``documents``."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_pii": op2_pii,
@@ -111,6 +118,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_mixing": op9_mixing,
     "op10_decontamination": op10_decontamination,
+    "pipeline": pipeline,
 }
 # base32 of the 40 hexadecimal digits: five of them are four letters
 ORACLES: dict[str, str] = {
