@@ -19,6 +19,7 @@ from tidelog.llm.mixing import mix, rake_sql
 from tidelog.llm.ngram_join import ngram_components
 from tidelog.llm.pii import BASE_KINDS, KINDS, pii_spans, span_text
 from tidelog.llm.quality import quality_scores
+from tidelog.llm.spotsigs import next_likeness
 from tidelog.llm.tokens import token_prefixes
 from tidelog.llm.warc import read_warc, write_warc
 from tidelog.session import scratch_path
@@ -54,6 +55,11 @@ def op3_line_dedup(spark, sf_dir):
     return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op4_fingerprints(spark, sf_dir):
+    """Fingerprints of every whole text and of its edited text, and their likeness."""
+    return next_likeness(table(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark, sf_dir):
     """Tokens of every whole text, and the longest prefix within the limit."""
     import public_tokenizers
@@ -112,6 +118,7 @@ QUERIES = {
     "op1_warc": op1_warc,
     "op2_pii": op2_pii,
     "op3_line_dedup": op3_line_dedup,
+    "op4_fingerprints": op4_fingerprints,
     "op5_token_counts": op5_token_counts,
     "op6_ngram_join": op6_ngram_join,
     "op7_chat": op7_chat,
