@@ -201,3 +201,34 @@ def next_likeness(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                                           [c.split()[0] for c in schema.split(", ")])
 
     return in_ranges(rows).mapInArrow(run, schema).withColumnRenamed("id", id_col)
+
+
+# --- pairs of near fingerprints ------------------------------------------------------------
+
+def near_pairs(prints: DataFrame, threshold: float = 0.8, id_col: str = "doc_id") -> DataFrame:
+    """From (id, ``fingerprint``): pairs (a, b, likeness) of the smallest ids of different
+    fingerprints whose likeness is at least ``threshold``."""
+    classes = prints.filter("fingerprint <> ''").groupBy("fingerprint").agg(F.min(id_col).alias("id"))
+    n = F.length("fingerprint") / 8
+    signs = F.transform(F.sequence(F.lit(0), n.cast("int") - 1),
+                        lambda i: F.substring("fingerprint", i * 8 + 1, F.lit(8)))
+    # sizes of sets that reach the threshold lie in one of these parts or in two that touch
+    part = F.floor(F.log(n) / F.log(F.lit(1 / threshold)) + 1e-9).cast("int")
+    sets = classes.select("id", signs.alias("signs"), n.cast("int").alias("n"), part.alias("part"))
+    prefix = F.slice("signs", F.lit(1), F.col("n") - F.ceil(F.col("n") * threshold - 1e-9).cast("int") + 1)
+    index = sets.select("id", "n", "part", F.posexplode(prefix).alias("at", "sign"))
+    a, b = index.alias("a"), index.withColumn("meets", F.explode(F.array("part", F.col("part") - 1))).alias("b")
+    least = F.ceil((F.col("a.n") + F.col("b.n")) * (threshold / (1 + threshold)) - 1e-9)
+    left = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
+    met = ((F.col("a.sign") == F.col("b.sign")) & (F.col("a.part") == F.col("b.meets"))
+           & ((F.col("a.part") < F.col("b.part")) | (F.col("a.id") < F.col("b.id")))
+           & (F.least("a.n", "b.n") >= F.greatest("a.n", "b.n") * threshold - 1e-9)
+           # signs before the first that both hold are not shared; those behind bound the rest
+           & (left + F.least("a.at", "b.at") >= least))
+    pairs = a.join(b, met).select(F.col("a.id").alias("x"), F.col("b.id").alias("y")).distinct()
+    one, two = sets.select(F.col("id").alias("x"), F.col("signs").alias("sx")), sets.select(
+        F.col("id").alias("y"), F.col("signs").alias("sy"))
+    both = F.size(F.array_intersect("sx", "sy"))
+    alike = both / (F.size("sx") + F.size("sy") - both)
+    out = pairs.join(one, "x").join(two, "y").withColumn("likeness", alike).filter(F.col("likeness") >= threshold)
+    return out.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "likeness")
