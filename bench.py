@@ -41,7 +41,6 @@ from tidelog.plans.pipeline import run as run_pipeline  # noqa: E402
 from tidelog.plans.spec import PipelineSpec  # noqa: E402
 from tidelog.session import local_session, scratch_path  # noqa: E402
 from tidelog.sources.events_log import access_lines, execution_rows  # noqa: E402
-from tidelog.sources.parallelism import spread_small_input  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -83,7 +82,7 @@ def main() -> None:
     spark = local_session(cores=CPUS, shuffle_partitions=max(8, 2 * int(CPUS)), app="tidelog-bench",
                           event_log_dir=event_log_dir)
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    events = spread_small_input(spark.read.parquet(f"{SF_DIR}/events.parquet"))
+    events = spark.read.parquet(f"{SF_DIR}/events.parquet")
     lines = access_lines(events, noisy=True)
     silver = parse_access_log(lines)
     clean_lines = access_lines(events, noisy=False)

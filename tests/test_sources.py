@@ -36,11 +36,19 @@ def test_missing_landing_path(spark, tmp_path):
         read_landing(spark, str(tmp_path / "nope.txt"), "text")
 
 
-def test_spread_only_touches_inputs_with_fewer_splits_than_cores(spark):
-    from tidelog.sources.parallelism import spread_small_input
-
-    cores = spark.sparkContext.defaultParallelism
-    small = spark.range(100).coalesce(1)
-    large = spark.range(1000).repartition(cores * 4)
-    assert spread_small_input(small).rdd.getNumPartitions() == cores
-    assert spread_small_input(large) is large  # nothing added at scale
+def test_parse_plan_does_not_depend_on_the_number_of_files(spark, tmp_path):
+    from tidelog.functions.logparse import parse_access_log
+
+    plans = []
+    for n in (1, 40):
+        path = str(tmp_path / f"lines{n}")
+        spark.range(200).selectExpr("cast(id as string) AS value").repartition(n).write.text(path)
+        plan = parse_access_log(read_landing(spark, path, "text"))._jdf.queryExecution().executedPlan()
+        nodes = []
+        while True:
+            nodes.append(plan.nodeName())
+            if plan.children().isEmpty():
+                break
+            plan = plan.children().head()
+        plans.append(nodes)
+    assert plans[0] == plans[1] and not any("Exchange" in n for n in plans[0])
