@@ -6,13 +6,15 @@ from pyspark.sql import functions as F
 
 from tidelog.operators.monitoring import latest_runs, run_durations, run_status
 from tidelog.plans.audit import insert_execution_log, save_execution_log
+from tidelog.plans import tables
 from tidelog.plans.tables import (
     compact_table,
     ensure_environment,
+    new_version_path,
     purge_rows,
     read_layer,
-    table_location,
     write_layer,
+    write_version,
 )
 from tidelog.schemas import EXECUTION_LOG_SCHEMA, ddl
 from tidelog.sources.ledger import landing_files, read_unseen, record_files
@@ -38,12 +40,12 @@ def test_environment_is_idempotent(spark, tmp_path):
 
 def test_execution_log_append_and_parameterised_insert(spark, tmp_path):
     table = fresh_log_table(spark, tmp_path, "logs_a")
-    assert save_execution_log(spark, T0, "test_pipeline", "teste", "OK", "", "/dbfs/tmp/test_pipe/", 3.5, table)
-    insert_execution_log(spark, T0 + dt.timedelta(minutes=1), "test_pipeline", "gold", "NOTOK",
+    assert save_execution_log(spark, T0, "nightly_load", "landing", "OK", "", "/lake/landing/", 3.5, table)
+    insert_execution_log(spark, T0 + dt.timedelta(minutes=1), "nightly_load", "gold", "NOTOK",
                          "it's broken; DROP TABLE x", "/p", 1.25, table=table)
-    rows = latest_runs(spark.table(table), "test_pipeline").collect()
+    rows = latest_runs(spark.table(table), "nightly_load").collect()
     assert [(r.step, r.status, r.error_message) for r in rows] == [
-        ("gold", "NOTOK", "it's broken; DROP TABLE x"), ("teste", "OK", "")]
+        ("gold", "NOTOK", "it's broken; DROP TABLE x"), ("landing", "OK", "")]
     assert rows[1].time_elapsed == 3.5
 
 
@@ -60,27 +62,25 @@ def test_audit_table_is_created_when_missing(spark, tmp_path):
 def test_like_without_wildcard_and_monitoring_views(spark, tmp_path):
     table = fresh_log_table(spark, tmp_path, "logs_b")
     for i, (p, step, status, secs) in enumerate([
-        ("test_pipeline", "bronze", "OK", 2.0), ("test_pipeline", "bronze", "NOTOK", 4.0),
-        ("test_pipeline", "gold", "OK", 1.0), ("testXpipeline", "gold", "OK", 9.0),
+        ("day_load", "bronze", "OK", 2.0), ("day_load", "bronze", "NOTOK", 4.0),
+        ("day_load", "gold", "OK", 1.0), ("dayXload", "gold", "OK", 9.0),
     ]):
         save_execution_log(spark, T0 + dt.timedelta(minutes=i), p, step, status, "", "/p", secs, table)
     logs = spark.table(table)
-    assert latest_runs(logs, "test_pipeline", like=True).count() == 4  # '_' matches any character
-    assert latest_runs(logs, "test_pipeline").count() == 3
+    assert latest_runs(logs, "day_load", like=True).count() == 4  # '_' matches any character
+    assert latest_runs(logs, "day_load").count() == 3
     assert [tuple(r) for r in run_durations(logs).collect()] == [("gold", 5.0), ("bronze", 3.0)]
     got = {(r.pipeline_name, r.status): r.runs for r in run_status(logs).collect()}
-    assert got == {("test_pipeline", "OK"): 2, ("test_pipeline", "NOTOK"): 1, ("testXpipeline", "OK"): 1}
+    assert got == {("day_load", "OK"): 2, ("day_load", "NOTOK"): 1, ("dayXload", "OK"): 1}
 
 
 def test_purge_rows_keeps_the_rest(spark, tmp_path):
     table = fresh_log_table(spark, tmp_path, "logs_c")
     for p in ("a", "b", "a", None):
         save_execution_log(spark, T0, p, "s", "OK", "", "/p", 1.0, table)
-    old = table_location(spark, table)
     kept = purge_rows(spark, table, "pipeline_name = 'a'")
     assert kept == 2
     assert sorted(str(r.pipeline_name) for r in spark.table(table).collect()) == ["None", "b"]
-    assert table_location(spark, table) != old
     assert spark.table(table).schema == spark.createDataFrame([], EXECUTION_LOG_SCHEMA).schema
 
 
@@ -91,8 +91,45 @@ def test_write_layer_overwrites_and_partitions(spark, tmp_path):
     write_layer(df.limit(3), "bronze.layer_t", str(tmp_path / "layer"))
     assert spark.table("bronze.layer_t").count() == 3
     versions = [p for p in (tmp_path / "layer").iterdir() if p.name.startswith("v=")]
-    assert len(versions) == 1  # the superseded version is gone
-    assert (versions[0] / "processed_date=2024-01-01").is_dir()
+    assert len(versions) == 2  # the one before stays for running readers
+    write_layer(df.limit(2), "bronze.layer_t", str(tmp_path / "layer"))
+    versions = sorted(p for p in (tmp_path / "layer").iterdir() if p.name.startswith("v="))
+    assert len(versions) == 2 and (versions[0] / "processed_date=2024-01-01").is_dir()
+    assert spark.table("bronze.layer_t").count() == 2
+
+
+def test_files_of_the_version_before_outlive_a_publish(spark, tmp_path):
+    ensure_environment(spark, str(tmp_path / "lake"))
+    df = spark.range(7).withColumn("processed_date", F.lit("2024-01-01").cast("date"))
+    write_layer(df, "bronze.layer_p", str(tmp_path / "layer_p"))
+    running = spark.read.parquet(*spark.table("bronze.layer_p").inputFiles())  # a reader with its files planned
+    write_layer(df.limit(1), "bronze.layer_p", str(tmp_path / "layer_p"))
+    assert running.count() == 7 and spark.table("bronze.layer_p").count() == 1
+
+
+def test_fallback_ignores_versions_that_were_not_published(spark, tmp_path):
+    ensure_environment(spark, str(tmp_path / "lake"))
+    path = str(tmp_path / "layer_u")
+    df = spark.range(10).withColumn("processed_date", F.lit("2024-01-01").cast("date"))
+    write_layer(df, "bronze.layer_u", path)
+    write_version(df.limit(3), new_version_path(path))  # a driver that died before its gate
+    spark.sql("DROP TABLE bronze.layer_u")
+    assert read_layer(spark, "bronze.layer_u", path).count() == 10
+
+
+def test_rows_appended_during_a_compaction_stay(spark, tmp_path, monkeypatch):
+    table = fresh_log_table(spark, tmp_path, "logs_e")
+    for i in range(3):
+        save_execution_log(spark, T0, "p", str(i), "OK", "", "/p", 1.0, table)
+    plain = tables.remove_path
+
+    def append_first(*args):  # another run appends while this one has its rows read and written
+        save_execution_log(spark, T0, "p", "3", "OK", "", "/p", 1.0, table)
+        plain(*args)
+
+    monkeypatch.setattr(tables, "remove_path", append_first)
+    assert compact_table(spark, table) == 3
+    assert sorted(r.step for r in spark.table(table).collect()) == ["0", "1", "2", "3"]
 
 
 def test_failed_layer_write_keeps_previous_table(spark, tmp_path):

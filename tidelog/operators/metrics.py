@@ -51,17 +51,11 @@ def hits_by_client_ip(silver: DataFrame) -> DataFrame:
 def page_hits(silver: DataFrame) -> DataFrame:
     """Hits per cleaned endpoint, static assets and robots.txt excluded.
 
-    The page test depends only on the key, so it is applied as a conditional
-    count inside the aggregation (non-page keys count 0 and are dropped
-    afterwards).  A plain filter would be pushed below the parse projection
-    by the optimizer and re-evaluate the parse regexes for every reference.
+    The page test comes before the grouping: over stored silver it reaches the
+    scan, and asset keys are never shuffled.
     """
-    page = F.coalesce(is_page(F.col("endpoint_clean")), F.lit(False))
-    return (
-        silver.groupBy(F.col("endpoint_clean").alias("endpoint"))
-        .agg(F.count_if(page).alias("access_count"))
-        .filter(F.col("access_count") > 0)
-    )
+    pages = silver.select("endpoint_clean").filter(is_page(F.col("endpoint_clean")))
+    return hits_by(pages, "endpoint_clean", "endpoint")
 
 
 def top_client_ips(silver: DataFrame, k: int = TOP_CLIENT_IPS) -> DataFrame:

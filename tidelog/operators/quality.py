@@ -54,53 +54,23 @@ def quality_counts(df: DataFrame, is_log: bool = True) -> DataFrame:
     return df.agg(*count_exprs(is_log))
 
 
-def _percent(valid: Column, total: Column) -> Column:
-    return F.when(total > 0, F.round((valid / total) * 100, 2)).otherwise(F.lit(0.0))
-
-
 def quality_rows(df: DataFrame, pipeline_name: str, step: str, verified_table: str,
                  checked_at: dt.datetime, is_log: bool = True) -> DataFrame:
-    """The rule rows (quality-table schema) for ``df`` as a DataFrame.
+    """The rule rows (quality-table schema) for ``df``: one aggregation, whose
+    row of counts the same rules judge as in the pipeline's gate.
 
     Logs get four not-null rules plus ``not_zero_count``; other data only
     ``not_zero_count``.  A not-null rule passes only when every row has the
     column (so an empty input fails all rules with 0.0).
     """
-    counts = quality_counts(df, is_log)
-    total = F.col("total")
-    rules = []
-    if is_log:
-        for rule, column in NOT_NULL_RULES:
-            valid = F.col(f"valid_{column}")
-            ok = (total > 0) & (valid == total)
-            rules.append(F.struct(
-                F.when(ok, F.lit(STATUS_OK)).otherwise(F.lit(STATUS_FAIL)).alias("status"),
-                F.lit(rule).alias("rule"),
-                _percent(valid, total).cast("double").alias("percentage_ok"),
-            ))
-    rules.append(F.struct(
-        F.when(total > 0, F.lit(STATUS_OK)).otherwise(F.lit(STATUS_FAIL)).alias("status"),
-        F.lit(NOT_ZERO_COUNT).alias("rule"),
-        F.when(total > 0, F.lit(100.0)).otherwise(F.lit(0.0)).alias("percentage_ok"),
-    ))
-    exploded = counts.select(F.inline(F.array(*rules)))
-    return exploded.select(
-        F.lit(pipeline_name).alias("pipeline_name"),
-        F.lit(step).alias("step"),
-        F.lit(checked_at).cast("timestamp").alias("timestamp"),
-        "status",
-        "rule",
-        "percentage_ok",
-        F.lit(verified_table).alias("verified_table"),
-    )
+    counts = quality_counts(df, is_log).first().asDict()
+    return results_frame(df.sparkSession, evaluate_rules(counts, is_log), pipeline_name, step, verified_table, checked_at)
 
 
 def evaluate_rules(counts: dict, is_log: bool) -> list[RuleResult]:
     """Rule results from the count row (a dict), on the driver: five numbers in,
-    at most five rows out.  Percentages are rounded to two places with
-    Python's ``round`` (as the original gate stored them; ``quality_rows``
-    uses Spark's half-up ``round``, which can differ by 0.01 on an exact
-    decimal tie).  The pass test is on the exact counts."""
+    at most five rows out.  Percentages are rounded to two places (exact ties
+    to even); the pass test is on the exact counts."""
     total = int(counts.get("total") or 0)
     results = []
     if is_log:

@@ -184,12 +184,10 @@ page_summary AS (
                                      THEN IF(l.endpoint IS NULL, IF(r.endpoint IS NULL, 0, 1), -1)
                                      WHEN l.endpoint = r.endpoint THEN 0
                                      ELSE IF(l.endpoint < r.endpoint, -1, 1) END) AS items
-    FROM (SELECT endpoint, access_count
-          FROM (SELECT endpoint_clean AS endpoint,
-                       count_if(coalesce(NOT lower(endpoint_clean) RLIKE '{static_re}'
-                                         AND endpoint_clean <> '{robots}', false)) AS access_count
-                FROM {table} GROUP BY endpoint_clean) hits
-          WHERE access_count > 0
+    FROM (SELECT endpoint_clean AS endpoint, COUNT(*) AS access_count
+          FROM {table}
+          WHERE NOT lower(endpoint_clean) RLIKE '{static_re}' AND endpoint_clean <> '{robots}'
+          GROUP BY endpoint_clean
           ORDER BY access_count DESC, endpoint ASC NULLS LAST LIMIT {top_endpoints}) ranked
 ),
 per_day AS (

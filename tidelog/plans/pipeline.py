@@ -40,7 +40,7 @@ from tidelog.plans.tables import (
     write_version,
 )
 from tidelog.sources.landing import landing_format, log_column, read_landing
-from tidelog.sources.ledger import read_unseen, record_files
+from tidelog.sources.ledger import accept_files, note_loaded, read_unseen
 
 CONTROL_COLUMNS = ("processed_timestamp", "processed_date")
 SILVER_STEP = "bronze_to_silver"
@@ -54,7 +54,7 @@ def check_landing(spark: SparkSession, spec: PipelineSpec, run_ts: dt.datetime |
     """Stage 1: the delivered file must be in the landing folder.
 
     Planning the read lists the path on the driver and fails when nothing
-    matches; no job runs.
+    matches; text needs no job for it, CSV reads the first line.
     """
     run_ts = run_ts or _now()
     with audited_stage(spark, spec.pipeline_name, "landing", spec.landing_dir, run_ts):
@@ -62,7 +62,11 @@ def check_landing(spark: SparkSession, spec: PipelineSpec, run_ts: dt.datetime |
 
 
 def landing_to_bronze(spark: SparkSession, spec: PipelineSpec, run_ts: dt.datetime | None = None) -> None:
-    """Stage 2: landing file(s) → ``bronze.<table>`` (raw rows + control columns)."""
+    """Stage 2: landing file(s) → ``bronze.<table>`` (raw rows + control columns).
+
+    With ``once_only`` the files count as ingested when silver accepts them,
+    so a run after a refused one delivers them again.
+    """
     run_ts = run_ts or _now()
     with audited_stage(spark, spec.pipeline_name, "bronze", spec.bronze_path, run_ts):
         fmt = landing_format(spec.file_name)
@@ -74,7 +78,7 @@ def landing_to_bronze(spark: SparkSession, spec: PipelineSpec, run_ts: dt.dateti
         write_layer(with_control_columns(raw, run_ts), spec.bronze_table, spec.bronze_path,
                     spec.table_format, spec.optimize_write)
         if files is not None:
-            record_files(files, spec.ledger_path, spec.pipeline_name, run_ts)
+            note_loaded(files, spec.ledger_path)
 
 
 def build_silver(spark: SparkSession, spec: PipelineSpec, run_ts: dt.datetime) -> DataFrame:
@@ -112,6 +116,8 @@ def bronze_to_silver(spark: SparkSession, spec: PipelineSpec, run_ts: dt.datetim
             remove_path(spark, version)  # never published: drop the partial or rejected version
             raise
         publish_layer(spark, spec.silver_table, version, spec.table_format, schema=silver.schema)
+        if spec.once_only:
+            accept_files(spark, spec.ledger_path, spec.pipeline_name, run_ts)
 
 
 def silver_to_gold(spark: SparkSession, spec: PipelineSpec, run_ts: dt.datetime | None = None) -> None:

@@ -1,31 +1,36 @@
 """Catalog tables: namespaces, audit DDL, layer writes, appends, purge.
 
 Layer tables are *external* tables (explicit location on shared storage).
-Where a table must be replaced as a whole after a check (silver behind its
-quality gate, the audit table after a purge), the new data is written to a
-fresh folder first and the catalog entry is then pointed at it
-(``publish_version``); readers never see a half-written table and a failed
-job leaves the previous version intact.
+A layer that is replaced as a whole (silver behind its quality gate) is
+written to a fresh version folder first; once it is accepted the folder is
+marked and the catalog entry is pointed at it (``publish_layer``).  Readers
+never see a half-written version, a failed job leaves the previous one
+intact, and the previous one is kept until the next publish, so readers that
+planned before it can finish.  The catalog entry is dropped and created again,
+so for a moment a lookup by name can miss; ``read_layer`` then falls back to
+the newest marked version.
+
+Append-only tables (the audit tables) are purged in place: the files listed
+when the purge begins are rewritten and removed, files that other runs append
+meanwhile are not touched.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import logging
 import re
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.plans.spec import DATABASES, EXECUTION_LOG_TABLE, QUALITY_TABLE
 from tidelog.schemas import EXECUTION_LOG_SCHEMA, QUALITY_SCHEMA, ddl
 
-log = logging.getLogger(__name__)
-
 PARTITION_COLUMN = "processed_date"
+PURGED_FILES = 16  # a purge writes so many files at most
 
 
 def ensure_environment(spark: SparkSession, base_path: str, table_format: str = "parquet") -> None:
@@ -52,6 +57,7 @@ def sized_for_write(df: DataFrame, optimize_write: bool) -> DataFrame:
 
 
 VERSION_PREFIX = "v="
+PUBLISHED_MARK = "_PUBLISHED"
 
 
 def new_version_path(path: str) -> str:
@@ -73,9 +79,9 @@ def write_layer(df: DataFrame, table: str, path: str, table_format: str = "parqu
     the schema replaced by the frame's.
 
     The data goes to a new version folder under ``path``; only after the
-    write job has committed is the table pointed there and the superseded
-    version removed, so a failed or interrupted job leaves the previous
-    table whole.  Returns the published version folder.
+    write job has committed is the table pointed there, so a failed or
+    interrupted job leaves the previous table whole.  Returns the published
+    version folder.
     """
     version = new_version_path(path)
     try:
@@ -103,69 +109,74 @@ def columns_ddl(schema: T.StructType) -> str:
 
 
 def publish_version(spark: SparkSession, table: str, location: str, table_format: str = "parquet",
-                    partitioned: bool = True, schema: T.StructType | None = None) -> str | None:
-    """Point ``table`` at the data in ``location``; returns the previous location.
+                    partitioned: bool = True, schema: T.StructType | None = None) -> None:
+    """Point ``table`` at the data in ``location``.
 
     The table is external, so dropping the catalog entry keeps every file;
     partitions are registered from the folder layout.  ``schema`` (the schema
     of the written frame) is declared explicitly so that an empty version,
     which has no data file to infer it from, still publishes.
     """
-    previous = table_location(spark, table)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     columns = f"({columns_ddl(schema)}) " if schema is not None else ""
     partitioning = f"PARTITIONED BY ({PARTITION_COLUMN}) " if partitioned and schema is not None else ""
     spark.sql(f"CREATE TABLE {table} {columns}USING {table_format} {partitioning}LOCATION '{location}'")
     if partitioned and table_format.lower() != "delta":  # Delta keeps partitions in its own log
         spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
-    return previous
 
 
-def _bare(path: str) -> str:
-    """A path without scheme and trailing slash (catalog locations are URIs)."""
-    return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//)?", "", path.rstrip("/"))
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, path) of Hadoop for a path of any scheme."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, hpath = _hadoop(spark, path)
+    return fs.exists(hpath)
+
+
+def published_versions(spark: SparkSession, path: str) -> list[str]:
+    """The ``v=…`` folders under a layer path that were accepted, oldest first
+    (names sort by time).  Folders of failed or refused runs carry no mark."""
+    if not path_exists(spark, path):
+        return []
+    fs, hpath = _hadoop(spark, path)
+    names = sorted(st.getPath().getName() for st in fs.listStatus(hpath) if st.isDirectory())
+    found = [f"{path.rstrip('/')}/{n}" for n in names if n.startswith(VERSION_PREFIX)]
+    return [v for v in found if path_exists(spark, f"{v}/{PUBLISHED_MARK}")]
 
 
 def publish_layer(spark: SparkSession, table: str, version: str, table_format: str = "parquet",
                   schema: T.StructType | None = None) -> None:
-    """Publish a version folder as ``table`` and remove the version it replaces
-    (only folders this module created: last segment ``v=…``)."""
-    previous = publish_version(spark, table, version, table_format, schema=schema)
-    if previous:
-        old, new = _bare(previous), _bare(version)
-        if old != new and old.rsplit("/", 1)[-1].startswith(VERSION_PREFIX):
-            remove_path(spark, previous)
-
-
-def latest_version(spark: SparkSession, path: str) -> str | None:
-    """The newest ``v=…`` folder under a layer path (names sort by time), if any."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
-        return None
-    names = [st.getPath().getName() for st in fs.listStatus(hpath) if st.isDirectory()]
-    versions = sorted(n for n in names if n.startswith(VERSION_PREFIX))
-    return f"{path.rstrip('/')}/{versions[-1]}" if versions else None
+    """Mark an accepted version folder, point ``table`` at it and remove the
+    published versions before the one it replaces (that one stays, so that
+    running readers keep their files)."""
+    path = version.rstrip("/").rsplit("/", 1)[0]
+    before = published_versions(spark, path)
+    fs, mark = _hadoop(spark, f"{version}/{PUBLISHED_MARK}")
+    fs.create(mark, True).close()
+    publish_version(spark, table, version, table_format, schema=schema)
+    for old in before[:-1]:
+        remove_path(spark, old)
 
 
 def remove_path(spark: SparkSession, path: str) -> None:
-    """Delete a folder of an unpublished or superseded version (Hadoop FS, any scheme)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    """Delete a folder of an unpublished or superseded version (any scheme)."""
+    fs, hpath = _hadoop(spark, path)
     if fs.exists(hpath):
         fs.delete(hpath, True)
 
 
 def read_layer(spark: SparkSession, table: str, path: str | None = None, table_format: str = "parquet") -> DataFrame:
-    """A layer by catalog name, falling back to the newest version under its path."""
+    """A layer by catalog name, falling back to the newest published version under its path."""
     try:
         return spark.read.table(table)
     except AnalysisException:
-        if path is None:
+        versions = published_versions(spark, path) if path else []
+        if not versions:
             raise
-        return spark.read.format(table_format).load(latest_version(spark, path) or path)
+        return spark.read.format(table_format).load(versions[-1])
 
 
 def append_rows(df: DataFrame, table: str) -> None:
@@ -179,30 +190,48 @@ def append_rows(df: DataFrame, table: str) -> None:
 
 
 def purge_rows(spark: SparkSession, table: str, condition: Column | str, table_format: str = "parquet") -> int:
-    """``DELETE FROM table WHERE condition`` for tables without DELETE support.
-
-    Rows where the condition is not true are written to a new folder next to
-    the table's data, and the table is then pointed there.  The table is
-    never overwritten while being read.  Returns the number of rows kept.
+    """``DELETE FROM table WHERE condition`` for unpartitioned tables without
+    DELETE support.  Returns the number of rows kept of those it read.
+
+    The table's files are listed first, and only those are read and removed:
+    rows that other runs append meanwhile are in other files.  Rows where the
+    condition is not true go to a hidden folder inside the table's, whose
+    files then move into place before the listed ones are removed; a run that
+    dies in between leaves rows twice, never too few.
     """
     cond = F.expr(condition) if isinstance(condition, str) else condition
     location = table_location(spark, table)
     if location is None:
         raise ValueError(f"table {table} does not exist")
-    new_location = f"{location.rstrip('/')}__v{uuid.uuid4().hex[:12]}"
-    kept = spark.table(table).filter(~F.coalesce(cond, F.lit(False)))
-    kept.write.format(table_format).mode("errorifexists").save(new_location)
-    published = spark.read.format(table_format).load(new_location)
-    n = published.count()
-    publish_version(spark, table, new_location, table_format, partitioned=False, schema=kept.schema)
-    try:
-        remove_path(spark, location)
-    except Exception as exc:  # noqa: BLE001 - leftover files are harmless
-        log.warning("could not remove superseded data at %s: %s", location, exc)
-    return n
+    spark.catalog.refreshTable(table)
+    schema = spark.table(table).schema
+    fs, folder = _hadoop(spark, location)
+    listed = [st.getPath() for st in fs.listStatus(folder)
+              if st.isFile() and not st.getPath().getName().startswith(("_", "."))]
+    if not listed:
+        return 0
+    staging = f"{location.rstrip('/')}/_purge-{uuid.uuid4().hex[:12]}"
+    seen = Observation("kept")
+    rows = spark.read.schema(schema).format(table_format).load([glob_literal(p.toString()) for p in listed])
+    kept = rows.filter(~F.coalesce(cond, F.lit(False))).coalesce(PURGED_FILES)
+    kept.observe(seen, F.count(F.lit(1)).alias("n")).write.format(table_format).save(staging)
+    for st in fs.listStatus(_hadoop(spark, staging)[1]):
+        name = st.getPath().getName()
+        if st.isFile() and not name.startswith(("_", ".")):
+            fs.rename(st.getPath(), _hadoop(spark, f"{location.rstrip('/')}/{name}")[1])
+    for path in listed:
+        fs.delete(path, False)
+    remove_path(spark, staging)
+    spark.catalog.refreshTable(table)
+    return int(seen.get["n"])
+
+
+def glob_literal(path: str) -> str:
+    """A path as a pattern that matches only itself (readers take paths as patterns)."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
 
 def compact_table(spark: SparkSession, table: str, table_format: str = "parquet") -> int:
-    """Rewrite an append-only table (one small file per appended audit row)
-    into few files, published like a purge that removes nothing."""
+    """Rewrite the files that an append-only table (one small file per
+    appended audit row) has now into few: a purge that removes nothing."""
     return purge_rows(spark, table, F.lit(False), table_format)

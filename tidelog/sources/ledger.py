@@ -6,19 +6,27 @@ again.  The unseen files are found from the file listing alone (the
 ``binaryFile`` source without its ``content`` column reads no data), so
 files already ingested are never opened again; only the unseen paths are
 handed to the text/CSV reader.
+
+A run takes at most ``max_files`` files, oldest first, so the list that the
+reader needs on the driver is bounded; the others stay unseen and are taken by
+the next runs.  The files a run has loaded are noted beside the ledger and
+entered into it only when the data they gave is accepted (``accept_files``), so
+a run after a failed quality gate loads them again.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidelog.plans.tables import glob_literal, path_exists
 from tidelog.sources.landing import read_landing
 
+MAX_FILES = 10_000
+
 FILE_KEYS = ("file_path", "file_modification_time", "file_size")
 
 LEDGER_SCHEMA = T.StructType(
@@ -45,10 +53,10 @@ def landing_files(spark: SparkSession, landing_path: str, glob: str | None = Non
 
 
 def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
-    try:
-        return spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path)
-    except AnalysisException:
+    """The ledger's rows; only a ledger that does not exist yet counts as empty."""
+    if not path_exists(spark, ledger_path):
         return spark.createDataFrame([], LEDGER_SCHEMA)
+    return spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path)
 
 
 def unseen_files(spark: SparkSession, landing_path: str, ledger_path: str, glob: str | None = None) -> DataFrame:
@@ -58,36 +66,49 @@ def unseen_files(spark: SparkSession, landing_path: str, ledger_path: str, glob:
 
 
 def read_unseen(spark: SparkSession, landing_path: str, ledger_path: str, fmt: str,
-                glob: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(rows of the unseen files, the unseen files) for one ingest run.
+                glob: str | None = None, max_files: int = MAX_FILES) -> tuple[DataFrame, DataFrame]:
+    """(rows of the unseen files, those files) for one ingest run.
 
-    The file list (metadata, one row per file) goes to the driver because
-    the reader takes explicit paths, just as any file scan lists its files
-    on the driver; the data path has no join.  A file rewritten between
+    The oldest ``max_files`` unseen files are taken (by modification time, then
+    path); their paths go to the driver because the reader takes explicit
+    paths, and the data path has no join.  A file rewritten between
     listing and reading is recorded under its listed identity, so the next
     run sees a new identity and loads it again, which the full-overwrite
     bronze absorbs.  Raises ``FileNotFoundError`` when nothing new landed.
     """
-    listed_rows = unseen_files(spark, landing_path, ledger_path, glob).collect()
+    unseen = unseen_files(spark, landing_path, ledger_path, glob)
+    listed_rows = unseen.orderBy("file_modification_time", "file_path").limit(max_files).collect()
     if not listed_rows:
         raise FileNotFoundError(f"no unseen landing file under {landing_path}")
     # built from the collected listing: what is read and what is recorded
     # are the same snapshot of the folder
     files = spark.createDataFrame(listed_rows, LEDGER_SCHEMA[:3])
-    rows = read_landing(spark, [r.file_path for r in listed_rows], fmt)
+    rows = read_landing(spark, [glob_literal(r.file_path) for r in listed_rows], fmt)
     return rows, files
 
 
 def record_files(files: DataFrame, ledger_path: str, pipeline_name: str,
                  ingested_at: dt.datetime) -> None:
     """Append the ingested files to the ledger (one row per file)."""
-    (
-        files.select(
-            *FILE_KEYS,
-            F.lit(pipeline_name).alias("pipeline_name"),
-            F.lit(ingested_at).cast("timestamp").alias("ingested_at"),
-        )
-        .coalesce(1)
-        .write.mode("append")
-        .parquet(ledger_path)
-    )
+    files.select(
+        *FILE_KEYS,
+        F.lit(pipeline_name).alias("pipeline_name"),
+        F.lit(ingested_at).cast("timestamp").alias("ingested_at"),
+    ).write.mode("append").parquet(ledger_path)
+
+
+def loaded_path(ledger_path: str) -> str:
+    return f"{ledger_path.rstrip('/')}_loaded"
+
+
+def note_loaded(files: DataFrame, ledger_path: str) -> None:
+    """Note the files that the raw layer holds now, until they are accepted or loaded anew."""
+    files.select(*FILE_KEYS).write.mode("overwrite").parquet(loaded_path(ledger_path))
+
+
+def accept_files(spark: SparkSession, ledger_path: str, pipeline_name: str, ingested_at: dt.datetime) -> None:
+    """Enter the noted files into the ledger (those that are not in it yet)."""
+    if path_exists(spark, loaded_path(ledger_path)):
+        noted = spark.read.schema(T.StructType(LEDGER_SCHEMA[:3])).parquet(loaded_path(ledger_path))
+        new = noted.join(read_ledger(spark, ledger_path).select(*FILE_KEYS), list(FILE_KEYS), "left_anti")
+        record_files(new, ledger_path, pipeline_name, ingested_at)
