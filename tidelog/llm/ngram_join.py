@@ -6,20 +6,22 @@ each document's connected component.
 
 1. Texts with equal word sequences form one class; only classes are joined.
 2. All shingles of all classes are counted (per task first, then per slice of
-   the hash space).  The most frequent ones set bits in a map of fixed size; in
-   every order, shingles with their bit set come behind all others.  That the map
-   may hold more than the frequent ones changes the order, never the result.
-3. A class is indexed by its prefix under the first order: sets that reach the
-   threshold share a shingle of their prefixes.  Classes that share one meet in
-   its bucket, where the sizes and parity sketches of the sets bound their
-   similarity from above.
+   the hash space), which gives two bit maps of fixed size: shingles that several
+   classes hold, and frequent ones.  A map may have further bits set: the first
+   then filters less, and the second changes the orders, never the result.
+3. A class of which fewer shingles are shared than the threshold asks for links
+   with nothing.  The others are indexed by the shared shingles of their prefix
+   under the first order (rare shingles by hash, then frequent ones by hash): sets
+   that reach the threshold share one.  Classes that share one meet in its bucket,
+   where the sizes and parity sketches of the sets bound their similarity from above.
 4. First, every bucket proposes a spanning forest of its likeliest pairs (linear
    in the bucket).  Verified pairs are joined to components.  Then every bucket
    proposes all pairs that the bounds leave between members of different
    components: no link between components is lost, and pairs inside a component
    need no check.
 5. A proposed pair must share prefix shingles under each of the other orders too;
-   what passes all filters is verified on the whole sets.
+   what passes all filters is verified on the whole sets.  Pairs are verified in
+   blocks of classes that many pairs have in common, so a set is sent once a block.
 
 Defined cases: null text reads as empty; a text with fewer words than a shingle
 has one shingle, the whole sequence; a text without words has none and is linked
@@ -40,12 +42,12 @@ from tidelog.llm.components import components
 from tidelog.llm.texthash import U, mix, sequence_hash, shingle_sets, spaced_words, word_hashes
 
 FREQUENT = 32  # classes that hold a shingle, from which it counts as frequent
-MOST_FREQUENT = 1 << 20  # so many set bits at most
 FREQUENT_BITS = 23
-MEMBER_BITS = 22
+SHARED_BITS = range(20, 31)  # the map of shared shingles has a bit for every SHARED_BYTES of text
+SHARED_BYTES = 8
 SKETCH_BITS = 512
 ORDERS = (U(0), U(0xA24BAED4963EE407), U(0x9FB21C651E98DF25))
-BLOCK = 256  # classes compared with one another at a time when a forest is proposed
+BLOCK = 256  # classes compared or sent together at a time
 FOLD = spaced_words()
 
 
@@ -65,12 +67,6 @@ def bits_of(hashes: np.ndarray, bits: int) -> np.ndarray:
     return (hashes >> U(64 - bits)).astype(np.int64)
 
 
-def bit_map(positions: np.ndarray, bits: int) -> np.ndarray:
-    found = np.zeros(1 << bits, bool)
-    found[positions] = True
-    return np.packbits(found)
-
-
 def is_set(packed: np.ndarray, positions: np.ndarray) -> np.ndarray:
     return (packed[positions >> 3] >> (7 - (positions & 7)).astype(np.uint8)) & 1
 
@@ -111,11 +107,18 @@ def from_planes(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").reshape(-1)
 
 
-def frequent_map(rows: DataFrame, size: int) -> np.ndarray:
-    """The bit map of frequent shingles, from counts over all classes."""
+def shared_bits(rows: DataFrame) -> int:
+    total = rows.agg(F.sum(F.octet_length("t")).alias("n")).first()["n"] or 0
+    return min(max(int(total // SHARED_BYTES).bit_length(), SHARED_BITS[0]), SHARED_BITS[-1])
+
+
+def shingle_maps(rows: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """(bit map of shared shingles, of frequent ones, bits of a place in the first),
+    from counts over all classes."""
     spark = rows.sparkSession
-    slices = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    width = -(-(1 << 32) // slices)
+    bits = shared_bits(rows)
+    # slices of the hash space, a power of two; each makes its stretch of both maps
+    slice_bits = min(16, (4 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
 
     def count(batches):
         seen: set[int] = set()
@@ -131,8 +134,8 @@ def frequent_map(rows: DataFrame, size: int) -> np.ndarray:
                 total = joined(total, parts)
                 parts, held = [], 0
         prints, counts = joined(total, parts)
-        cuts = np.searchsorted(prints, np.arange(slices + 1, dtype=np.uint64) * U(width))
-        for s in range(slices):
+        cuts = np.searchsorted(prints >> np.uint32(32 - slice_bits), np.arange((1 << slice_bits) + 1))
+        for s in range(1 << slice_bits):
             a, b = cuts[s], cuts[s + 1]
             if a < b:
                 yield pa.RecordBatch.from_arrays(
@@ -149,42 +152,61 @@ def frequent_map(rows: DataFrame, size: int) -> np.ndarray:
         prints = [np.cumsum(from_planes(v.as_py()), dtype=np.uint32) for v in group.column("steps")]
         counts = [from_planes(v.as_py()).astype(np.int64) for v in group.column("counts")]
         prints, counts = added_up(np.concatenate(prints), np.concatenate(counts))
-        keep = counts >= FREQUENT
-        place = (prints[keep] >> np.uint32(32 - FREQUENT_BITS)).astype(np.int64)
-        return pa.table({"place": pa.array(place, pa.int64()), "n": pa.array(counts[keep], pa.int64())})
+
+        def stretch(keep, map_bits):
+            flags = np.zeros(1 << (map_bits - slice_bits), bool)
+            flags[(prints[keep] >> np.uint32(32 - map_bits)) & np.uint32(len(flags) - 1)] = True
+            return np.packbits(flags).tobytes()
+
+        return pa.table({"slice": pa.array([group.column("slice")[0].as_py()], pa.int32()),
+                         "shared": pa.array([stretch(counts > 1, bits)], pa.binary()),
+                         "frequent": pa.array([stretch(counts >= FREQUENT, FREQUENT_BITS)], pa.binary())})
 
     parts = rows.select("t").mapInArrow(count, "slice int, steps binary, counts binary")
-    places = (parts.groupBy("slice").applyInArrow(merge, "place long, n long")
-              .groupBy("place").agg(F.max("n").alias("n")).orderBy(F.desc("n"), "place").limit(MOST_FREQUENT))
-    return bit_map(places.select("place").toPandas()["place"].to_numpy(np.int64), FREQUENT_BITS)
+    # at most 2 ** (bits - 3) bytes in all, whatever the input
+    found = parts.groupBy("slice").applyInArrow(merge, "slice int, shared binary, frequent binary").toPandas()
+    shared, frequent = np.zeros(1 << (bits - 3), np.uint8), np.zeros(1 << (FREQUENT_BITS - 3), np.uint8)
+    for s, one, other in zip(found["slice"], found["shared"], found["frequent"]):
+        for whole, part in ((shared, one), (frequent, other)):
+            n = len(whole) >> slice_bits
+            whole[s * n : (s + 1) * n] = np.frombuffer(part, np.uint8)
+    return shared, frequent, bits
 
 
 # --- index -----------------------------------------------------------------------------------
 
-def indexed(rows: DataFrame, size: int, num: int, den: int, frequent: np.ndarray) -> DataFrame:
-    """Per text: id, class key, set size and, at the first text of its class in a task,
-    the prefix under the first order (32 bits of each shingle) and the sketch."""
-    bits = rows.sparkSession.sparkContext.broadcast(frequent)
+def indexed(rows: DataFrame, size: int, num: int, den: int, maps) -> DataFrame:
+    """Per text: id, class key, set size and, at the first text of its class in a task
+    if the class may link, the set, its sketch and the shared shingles of its prefix
+    under the first order (32 bits of each)."""
+    own = rows.sparkSession.sparkContext.broadcast(maps)
 
     def index(batches):
         seen: set[int] = set()
+        shared, frequent, bits = own.value
         for batch in batches:
             n_rows = batch.num_rows
             keys, sizes = np.zeros(n_rows, np.int64), np.zeros(n_rows, np.int64)
-            prefixes, sketches = [None] * n_rows, [None] * n_rows
+            prefixes, sketches, sets = [None] * n_rows, [None] * n_rows, [None] * n_rows
             for _, i, key, found in texts_of([batch], size):
                 keys[i], sizes[i] = key, len(found)
-                if len(found) and key not in seen:
-                    seen.add(key)
-                    first = ordered(found, 0, bits.value)[: prefix_length(len(found), num, den)]
-                    prefixes[i] = (first & U(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
-                    sketches[i] = sketch(found)
+                if not len(found) or key in seen:
+                    continue
+                seen.add(key)
+                if den * int(is_set(shared, bits_of(found, bits)).sum()) < num * len(found):
+                    continue
+                first = ordered(found, 0, frequent)[: prefix_length(len(found), num, den)]
+                first = first[is_set(shared, bits_of(first, bits)).astype(bool)]
+                prefixes[i] = (first & U(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
+                sketches[i], sets[i] = sketch(found), found.view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(keys), pa.array(sizes), pa.array(prefixes, pa.list_(pa.int32())),
-                 pa.array(sketches, pa.binary())], ["id", "key", "n", "prefix", "sketch"])
+                 pa.array(sketches, pa.binary()), pa.array(sets, pa.list_(pa.int64()))],
+                ["id", "key", "n", "prefix", "sketch", "shingles"])
 
     id_type = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(index, f"id {id_type}, key long, n long, prefix array<int>, sketch binary")
+    return rows.mapInArrow(
+        index, f"id {id_type}, key long, n long, prefix array<int>, sketch binary, shingles array<long>")
 
 
 def differ(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -317,52 +339,46 @@ def linked(x: np.ndarray, y: np.ndarray, num: int, den: int, frequent: np.ndarra
     return den * both >= num * (len(x) + len(y) - both)
 
 
-def verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, size: int, num: int, den: int,
-             frequent: np.ndarray) -> DataFrame:
-    """The pairs that link.  Sets are built again for the classes of the pairs only; a
-    bit map of fixed size over the ids says which texts those may be."""
-    spark = rows.sparkSession
-    place = F.shiftrightunsigned(F.xxhash64("id"), 64 - MEMBER_BITS)
-    names = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
-    places = classes.join(names, "key").select(place.alias("p")).distinct().toPandas()["p"].to_numpy(np.int64)
-    wanted = spark.sparkContext.broadcast(bit_map(places, MEMBER_BITS))
+def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int, frequent: np.ndarray) -> DataFrame:
+    """The pairs (a, b) that link, from the sets (key, ``shingles``).
+
+    Classes that pairs connect are dealt to blocks of about BLOCK; the pairs of two
+    blocks are one group, to which each set that they need is sent once.
+    """
+    spark = pairs.sparkSession
+    parts = components(pairs)
+    blocks = parts.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    block = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    dealt = stored(parts.join(blocks, "component").select("node", "component", block.alias("block")), "jaccard-blocks")
+    left = dealt.select(F.col("node").alias("a"), "component", F.col("block").alias("i"))
+    right = dealt.select(F.col("node").alias("b"), F.col("block").alias("j"))
+    both = pairs.join(left, "a").join(right, "b").select(
+        F.xxhash64("component", F.least("i", "j"), F.greatest("i", "j")).alias("group"), "a", "b")
+    both = stored(both, "jaccard-grouped")
+    needs = both.select("group", F.col("a").alias("key")).union(both.select("group", F.col("b").alias("key"))).distinct()
+    sent = needs.join(sets, "key").select("group", F.col("key").alias("a"), F.lit(None).cast("long").alias("b"),
+                                          "shingles")
+    rows = sent.unionByName(both.withColumn("shingles", F.lit(None).cast("array<long>")))
+    rows = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "group")
+    rows = rows.sortWithinPartitions("group", F.col("b").isNotNull())
     bits = spark.sparkContext.broadcast(frequent)
 
-    def build(batches):
-        seen: set[int] = set()
-        for batch in batches:
-            flags = is_set(wanted.value, batch.column("p").to_numpy()).astype(bool)
-            few = batch.filter(pa.array(flags))
-            keys, sets, held = [], [], 0
-            for _, _, key, found in texts_of([few], size):
-                if key not in seen and len(found):
-                    seen.add(key)
-                    keys.append(key)
-                    sets.append(found.view(np.int64))
-                    held += len(found)
-                if held > 1 << 20:
-                    yield set_batch(keys, sets)
-                    keys, sets, held = [], [], 0
-            if keys:
-                yield set_batch(keys, sets)
-
-    sets = rows.select(place.alias("p"), "t").mapInArrow(build, "key long, shingles array<long>")
-    sets = stored(sets.join(names, "key", "left_semi").dropDuplicates(["key"]), "jaccard-sets")
-    left = sets.select(F.col("key").alias("a"), F.col("shingles").alias("x"))
-    right = sets.select(F.col("key").alias("b"), F.col("shingles").alias("y"))
-
     def check(batches):
+        group, held = None, {}
         for batch in batches:
-            good = [linked(x.values.to_numpy().view(np.uint64), y.values.to_numpy().view(np.uint64), num, den,
-                           bits.value) for x, y in zip(batch.column("x"), batch.column("y"))]
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
-
+            good = []
+            for g, a, b, found in zip(*(batch.column(c) for c in ("group", "a", "b", "shingles"))):
+                g, a = g.as_py(), a.as_py()
+                if g != group:
+                    group, held = g, {}
+                if found.is_valid:
+                    held[a] = found.values.to_numpy().view(np.uint64)
+                elif linked(held[a], held[b.as_py()], num, den, bits.value):
+                    good.append((a, b.as_py()))
+            if good:
+                yield pair_batch(good)
 
-def set_batch(keys: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sets, pa.list_(pa.int64()))],
-                                      ["key", "shingles"])
+    return rows.mapInArrow(check, "a long, b long")
 
 
 # --- components ----------------------------------------------------------------------------------
@@ -374,22 +390,23 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     threshold, a fraction)."""
     num, den = threshold
     rows = docs.select(F.col(id_col).alias("id"), F.encode(whole_text(text_col), "UTF-8").alias("t"))
-    frequent = frequent_map(rows, size)
-    index = stored(indexed(rows, size, num, den, frequent), "jaccard-index")
-    classes = stored(index.groupBy("key").agg(F.min("id").alias("id"), F.max("n").alias("n")), "jaccard-classes")
-    attributes = stored(index.filter("sketch IS NOT NULL").dropDuplicates(["key"]).select("key", "n", "sketch"),
-                        "jaccard-attributes")
+    maps = shingle_maps(rows, size)
+    index = stored(indexed(rows, size, num, den, maps), "jaccard-index")
+    classes = index.groupBy("key").agg(F.min("id").alias("id"), F.max("n").alias("n"))
+    indexed_classes = index.filter("sketch IS NOT NULL")
+    attributes = stored(indexed_classes.dropDuplicates(["key"]).select("key", "n", "sketch"), "jaccard-attributes")
+    sets = indexed_classes.select("key", "shingles")
     token = Window.partitionBy("token")
-    shared = (index.filter("prefix IS NOT NULL").select("key", F.explode("prefix").alias("token"))
+    shared = (indexed_classes.select("key", F.explode("prefix").alias("token"))
               .withColumn("lo", F.min("key").over(token)).withColumn("hi", F.max("key").over(token))
               .filter("lo <> hi").select("token", "key"))
     shared = stored(shared, "jaccard-shared")
 
     first = stored(proposals(shared, attributes, num, den, None), "jaccard-pairs")
-    links = stored(verified(first, rows, classes, size, num, den, frequent), "jaccard-links")
+    links = stored(verified(first, sets, num, den, maps[1]), "jaccard-links")
     parts = stored(components(links), "jaccard-parts")
     second = stored(proposals(shared, attributes, num, den, parts), "jaccard-pairs")
-    more = verified(second, rows, classes, size, num, den, frequent)
+    more = verified(second, sets, num, den, maps[1])
     stars = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
     parts = stored(components(stars.union(more)), "jaccard-parts")
 
