@@ -5,11 +5,12 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from tidelog.session import local_session  # noqa: E402
+from tidelog.session import clear_scratch, local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     s = local_session(cores="*", shuffle_partitions=8, app="tidelog-tests")
     yield s
+    clear_scratch(s)
     s.stop()

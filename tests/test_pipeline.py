@@ -10,11 +10,11 @@ from tidelog.plans import pipeline as P
 from tidelog.plans.spec import PipelineSpec
 from tidelog.schemas import SILVER_LOG_SCHEMA
 
-LINE = '192.168.1.1 - - [10/Oct/2023:13:55:36 -0700] "GET /home HTTP/1.1" 200 1234'
+LINE = '203.0.113.9 - - [07/Feb/2024:06:05:04 +0100] "PUT /cart HTTP/2.0" 204 1717'
 RUN_TS = dt.datetime(2024, 1, 2, 3, 4, 5, tzinfo=dt.timezone.utc)
 
 
-def make_spec(tmp_path, name, file_name="teste.txt", content=LINE + "\n", **kw):
+def make_spec(tmp_path, name, file_name="access.txt", content=LINE + "\n", **kw):
     landing = tmp_path / "landing"
     landing.mkdir(exist_ok=True)
     if content is not None:
@@ -40,16 +40,16 @@ def test_full_run_writes_every_layer_and_audits_each_stage(spark, tmp_path):
     silver_types = [(f.name, f.dataType) for f in spark.table(spec.silver_table).schema.fields]
     assert silver_types == [(f.name, f.dataType) for f in SILVER_LOG_SCHEMA.fields]
     silver = spark.table(spec.silver_table).first()
-    assert silver.client_ip == "192.168.1.1" and silver.status_code == 200 and silver.response_size == 1234
+    assert silver.client_ip == "203.0.113.9" and silver.status_code == 204 and silver.response_size == 1717
     gold = spark.table(spec.gold_table).first()
-    assert gold.distinct_ip_count == 1 and gold.total_volume == 1234.0
+    assert gold.distinct_ip_count == 1 and gold.total_volume == 1717.0
     steps, rows = audit(spark, "full")
     assert steps == [("bronze", "OK"), ("gold", "OK"), ("landing", "OK"), ("silver", "OK")]
     assert all(r.time_elapsed >= 0 and r.error_message == "" for r in rows)
     spark.sql(f"DROP TABLE {spec.gold_table}")  # e.g. a new session: found again by path
     frames = P.log_analysis(spark, spec)
-    assert [tuple(r) for r in frames["top_ips"].collect()] == [("192.168.1.1", 1)]
-    assert [tuple(r) for r in frames["top_endpoints"].collect()] == [("/home", 1)]
+    assert [tuple(r) for r in frames["top_ips"].collect()] == [("203.0.113.9", 1)]
+    assert [tuple(r) for r in frames["top_endpoints"].collect()] == [("/cart", 1)]
     assert frames["kpis"].first().distinct_day_count == 1
     mon = P.monitoring_analysis(spark)
     assert {r.step for r in mon["durations"].collect()} >= {"landing", "bronze", "silver", "gold"}
@@ -60,18 +60,18 @@ def test_full_run_writes_every_layer_and_audits_each_stage(spark, tmp_path):
 
 
 def test_missing_landing_file_logs_notok_and_raises(spark, tmp_path):
-    spec = make_spec(tmp_path, "missing", file_name="arquivo_que_nao_existe.txt", content=None)
+    spec = make_spec(tmp_path, "missing", file_name="not_delivered.txt", content=None)
     with pytest.raises(FileNotFoundError):
         P.run(spark, spec, 1, RUN_TS)
     with pytest.raises(FileNotFoundError):
         P.landing_to_bronze(spark, spec, RUN_TS)
     steps, rows = audit(spark, "missing")
     assert steps == [("bronze", "NOTOK"), ("landing", "NOTOK")]
-    assert all("arquivo_que_nao_existe.txt" in r.error_message for r in rows)
+    assert all("not_delivered.txt" in r.error_message for r in rows)
 
 
 def test_unsupported_extension(spark, tmp_path):
-    spec = make_spec(tmp_path, "json", file_name="teste.json", content="{}")
+    spec = make_spec(tmp_path, "json", file_name="data.json", content="{}")
     with pytest.raises(ValueError, match="unsupported"):
         P.run(spark, spec, 2, RUN_TS)
     steps, _ = audit(spark, "json")
@@ -89,7 +89,7 @@ def test_upper_case_txt_loads_bronze_then_silver_fails(spark, tmp_path):
 def test_csv_log_uses_first_column(spark, tmp_path):
     spec = make_spec(tmp_path, "csvlog", file_name="log.csv")
     P.run(spark, spec, 3, RUN_TS)
-    assert spark.table(spec.silver_table).first().endpoint == "/home"
+    assert spark.table(spec.silver_table).first().endpoint == "/cart"
 
 
 def test_empty_gold_sql_is_rejected(spark, tmp_path):
@@ -122,7 +122,7 @@ def test_quality_gate_blocks_silver_and_keeps_previous_version(spark, tmp_path):
     spec = make_spec(tmp_path, "gate")
     P.run(spark, spec, 3, RUN_TS)
     assert spark.table(spec.silver_table).count() == 1
-    (tmp_path / "landing" / "teste.txt").write_text(LINE + "\ngarbage line\n")
+    (tmp_path / "landing" / "access.txt").write_text(LINE + "\ngarbage line\n")
     with pytest.raises(QualityGateError):
         P.run(spark, spec, 3, RUN_TS)
     assert spark.table(spec.silver_table).count() == 1  # the old silver is still published
@@ -160,12 +160,22 @@ def test_blank_silver_sql_is_rejected(spark, tmp_path):
 
 def test_once_only_ingest(spark, tmp_path):
     spec = make_spec(tmp_path, "once", once_only=True)
-    P.run(spark, spec, 2, RUN_TS)
+    P.run(spark, spec, 3, RUN_TS)
     with pytest.raises(FileNotFoundError, match="no unseen"):
-        P.run(spark, spec, 2, RUN_TS)  # same file again: skipped, nothing new
+        P.run(spark, spec, 3, RUN_TS)  # same file again: skipped, nothing new
     time.sleep(1.1)
-    path = tmp_path / "landing" / "teste.txt"
-    path.write_text(LINE.replace("/home", "/again") + "\n")
+    path = tmp_path / "landing" / "access.txt"
+    path.write_text(LINE.replace("/cart", "/again") + "\n")
     os.utime(path, None)
-    P.run(spark, spec, 2, RUN_TS)  # a new delivery under the same name loads
-    assert [r.value for r in spark.table(spec.bronze_table).collect()] == [LINE.replace("/home", "/again")]
+    P.run(spark, spec, 3, RUN_TS)  # a new delivery under the same name loads
+    assert [r.value for r in spark.table(spec.bronze_table).collect()] == [LINE.replace("/cart", "/again")]
+
+
+def test_refused_delivery_is_loaded_again(spark, tmp_path):
+    spec = make_spec(tmp_path, "refused", content="garbage\n", once_only=True)
+    for _ in range(2):  # the second run reaches the gate again
+        with pytest.raises(QualityGateError):
+            P.run(spark, spec, 3, RUN_TS)
+    (tmp_path / "landing" / "access.txt").write_text(LINE + "\n")
+    P.run(spark, spec, 3, RUN_TS)
+    assert spark.table(spec.silver_table).count() == 1

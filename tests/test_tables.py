@@ -175,3 +175,29 @@ def test_compact_table_keeps_every_row_in_fewer_files(spark, tmp_path):
     assert compact_table(spark, table) == 6
     assert sorted(tuple(r) for r in spark.table(table).collect()) == before
     assert len(spark.table(table).inputFiles()) < files_before
+
+
+def test_ledger_names_with_pattern_characters_load_once(spark, tmp_path):
+    landing, ledger = tmp_path / "landing", str(tmp_path / "ledger")
+    landing.mkdir()
+    names = ["a[1].txt", "b{x}.txt", "e*f.txt", "eXf.txt", "what?.txt"]
+    for n in names:
+        (landing / n).write_text(n + "\n")
+    loaded = []
+    for _ in range(3):  # two files a run, the rest carried over
+        rows, files = read_unseen(spark, str(landing), ledger, "text", max_files=2)
+        loaded += [r.value for r in rows.collect()]
+        record_files(files, ledger, "p", T0)
+    assert sorted(loaded) == sorted(names)
+    with pytest.raises(FileNotFoundError):
+        read_unseen(spark, str(landing), ledger, "text")
+
+
+def test_a_broken_ledger_raises(spark, tmp_path):
+    (tmp_path / "landing").mkdir()
+    (tmp_path / "landing" / "a.txt").write_text("x\n")
+    ledger = tmp_path / "ledger"
+    ledger.mkdir()
+    (ledger / "part-0.parquet").write_text("no parquet")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        read_unseen(spark, str(tmp_path / "landing"), str(ledger), "text")

@@ -12,6 +12,7 @@ from tidelog.sources.events_log import event_lines_duckdb, execution_rows_duckdb
 RUN_TS_SQL = "TIMESTAMP '2024-02-01 12:30:00'"
 RUN_DATE_SQL = "DATE '2024-02-01'"
 
+# fixed values: asset extensions (and the status classes and ranges below)
 STATIC_ASSET_SQL = (
     r"'\.(css|js|png|jpg|jpeg|gif|txt|ico|svg|woff|ttf|mp4|avi|mov|mpeg|mpg|webm|mkv|bmp)(\?|#|$)'"
 )
@@ -25,7 +26,8 @@ def _parsed(noisy: bool = True) -> str:
     return rf"""
     SELECT
       regexp_extract(value, '^(\S+)', 1) AS client_ip,
-      try_strptime(regexp_extract(value, '\[(.*?)\]', 1), '%d/%b/%Y:%H:%M:%S %z') AT TIME ZONE 'UTC' AS timestamp,
+      CASE WHEN regexp_matches(value, '\[\d\d/') THEN
+        try_strptime(regexp_extract(value, '\[(.*?)\]', 1), '%d/%b/%Y:%H:%M:%S %z') AT TIME ZONE 'UTC' END AS timestamp,
       regexp_extract(value, '"(\S+)', 1) AS method,
       regexp_extract(value, '"(?:\S+)\s(\S+)', 1) AS endpoint,
       {_clean(r"regexp_extract(value, '" + '"' + r"(?:\S+)\s(\S+)', 1)")} AS endpoint_clean,
@@ -85,7 +87,7 @@ AUDIT = execution_rows_duckdb()
 
 ORACLES: dict[str, str] = {
     "landing_text_scan": LINES,
-    "landing_csv_scan": f"SELECT value AS _c0 FROM ({LINES}) l",
+    "landing_csv_scan": f"SELECT value AS _c0 FROM ({LINES}) l WHERE value <> ''",
     "unseen_files": LINES,
     "parse_access_log": f"{_with()} SELECT * FROM silver",
     "control_columns": f"SELECT value, {RUN_TS_SQL} AS processed_timestamp, {RUN_DATE_SQL} AS processed_date "
@@ -127,6 +129,27 @@ ORACLES: dict[str, str] = {
         FROM orders GROUP BY o_orderstatus, o_orderpriority""",
     "layer_roundtrip": f"SELECT value, {RUN_DATE_SQL} AS processed_date FROM ({LINES}) l",
     "pipeline_gold": f"{_with(noisy=False)} {REPORT_SCALARS}",
+    "pipeline_sql_gold": f"""{_with(noisy=False)}
+        SELECT 'top_ips' AS list, row_number() OVER (ORDER BY access_count DESC, client_ip ASC NULLS LAST) - 1 AS rank,
+            client_ip AS entry, access_count FROM ({TOP_IPS}) i
+        UNION ALL SELECT 'top_endpoints',
+            row_number() OVER (ORDER BY access_count DESC, endpoint ASC NULLS LAST) - 1, endpoint, access_count
+        FROM ({TOP_PAGES}) p""",
+    "pipeline_kpis": f"{_with(noisy=False)} {REPORT_SCALARS}",
+    "pipeline_csv_log": f"{_with(noisy=False)} SELECT * FROM silver",
+    "pipeline_audit": f"""SELECT step, status, CASE WHEN step IN ('landing', 'bronze') THEN 2 ELSE 1 END AS runs,
+        true AS timed, status = 'NOTOK' AS told, {RUN_TS_SQL} AS execution_time
+        FROM (VALUES ('landing', 'OK'), ('bronze', 'OK'), ('silver', 'OK'), ('gold', 'OK'), ('silver', 'NOTOK'))
+            v(step, status) WHERE EXISTS (SELECT 1 FROM events)""",
+    "pipeline_refused": f"""SELECT rule, status, percentage_ok FROM ({_quality(noisy=True)}) q
+        UNION ALL SELECT 'silver_rows', '', count(*)::DOUBLE FROM ({event_lines_duckdb(False)}) l""",
+    "layer_fallback": f"SELECT value, {RUN_DATE_SQL} AS processed_date FROM ({LINES}) l",
+    "audit_appends": f"""SELECT max(execution_time) AS execution_time, pipeline_name, step, 'OK' AS status,
+        'it''s ok; --' AS error_message, '/lake/x' AS processed_file_path, count(*)::DOUBLE AS time_elapsed
+        FROM ({AUDIT}) a GROUP BY pipeline_name, step""",
+    "run_durations_ranked": f"""SELECT step, time_elapsed,
+        row_number() OVER (ORDER BY time_elapsed DESC) - 1 AS rank
+        FROM (SELECT step, AVG(time_elapsed) AS time_elapsed FROM ({AUDIT}) a GROUP BY step) d""",
     "stream_ingest": LINES,
     "stream_silver": f"{_with(noisy=False)} SELECT * FROM silver",
     "run_durations": f"SELECT step, AVG(time_elapsed) AS time_elapsed FROM ({AUDIT}) a GROUP BY step",

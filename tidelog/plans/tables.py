@@ -168,6 +168,15 @@ def remove_path(spark: SparkSession, path: str) -> None:
         fs.delete(hpath, True)
 
 
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder (its parent is made); fails if the target is there."""
+    fs, src = _hadoop(spark, source)
+    dst = _hadoop(spark, target)[1]
+    fs.mkdirs(dst.getParent())
+    if fs.exists(dst) or not fs.rename(src, dst):
+        raise OSError(f"could not move {source} to {target}")
+
+
 def read_layer(spark: SparkSession, table: str, path: str | None = None, table_format: str = "parquet") -> DataFrame:
     """A layer by catalog name, falling back to the newest published version under its path."""
     try:

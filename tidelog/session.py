@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -41,33 +43,35 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def shared_dir(spark: SparkSession) -> str:
     """Folder on storage every executor sees, taken from ``spark.checkpoint.dir``.
 
-    On a cluster that setting names the shared folder and is used as is.
-    Only when it is unset (local runs, tests) is a local folder made and
-    registered as the checkpoint dir, so ``DataFrame.checkpoint`` works too.
+    On a cluster that setting has to name a shared folder.  Only a local
+    session (one machine) gets a temporary folder where it is unset, registered
+    as the checkpoint dir and removed when Python ends.
     """
     global _FALLBACK_DIR
-    configured = None
-    try:
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-    except Exception:  # noqa: BLE001 - not readable as a session conf on some versions
-        configured = None
-    if not configured:
-        try:
-            sc = spark.sparkContext
-            configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-        except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
-            configured = None
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if not spark.conf.get("spark.master", "").startswith("local["):
+        raise ValueError("spark.checkpoint.dir is unset: name a folder that all executors share")
     if _FALLBACK_DIR is None:
         _FALLBACK_DIR = tempfile.mkdtemp(prefix="tidelog-shared-")
-        try:
-            spark.sparkContext.setCheckpointDir(_FALLBACK_DIR)
-        except Exception:  # noqa: BLE001
-            pass
+        atexit.register(shutil.rmtree, _FALLBACK_DIR, ignore_errors=True)
+    spark.sparkContext.setCheckpointDir(_FALLBACK_DIR)
     return _FALLBACK_DIR
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """This application's scratch folder under the shared dir."""
+    return f"{shared_dir(spark)}/tidelog-scratch/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never-reused folder under the shared dir (one per call)."""
-    return f"{shared_dir(spark)}/tidelog-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, never-reused folder under the application's scratch folder (one per call)."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what this application left in its scratch folder; results that were
+    not written elsewhere can no longer be read afterwards."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

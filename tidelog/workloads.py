@@ -14,9 +14,11 @@ compare equal to the DuckDB oracles in ``tidelog.oracles``.
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,25 +27,29 @@ from tidelog.functions.http import response_category
 from tidelog.functions.logparse import SILVER_LOG_COLUMNS, clean_endpoint, parse_access_log
 from tidelog.operators import metrics as M
 from tidelog.operators.monitoring import latest_runs, run_durations, run_status
-from tidelog.operators.quality import quality_rows
+from tidelog.operators.quality import QualityGateError, quality_rows
 from tidelog.operators.report import access_report, access_report_sql, report_frames
+from tidelog.plans.audit import insert_execution_log, save_execution_log
+from tidelog.plans.pipeline import log_analysis, monitoring_analysis
 from tidelog.plans.pipeline import run as run_pipeline
-from tidelog.plans.spec import PipelineSpec
+from tidelog.plans.spec import QUALITY_TABLE, PipelineSpec
 from tidelog.plans.tables import (
     append_rows,
     compact_table,
     ensure_environment,
+    new_version_path,
     purge_rows,
     read_layer,
     with_control_columns,
     write_layer,
+    write_version,
 )
 from tidelog.schemas import EXECUTION_LOG_SCHEMA, ddl
 from tidelog.session import scratch_path
 from tidelog.sources.events_log import access_lines, execution_rows
 from tidelog.sources.landing import read_landing
 from tidelog.sources.ledger import landing_files, read_unseen, record_files
-from tidelog.streaming.ingest import ingest_available, silver_available
+from tidelog.streaming.ingest import ingest_available, read_stream_silver, silver_available
 
 # fixed run instant for the control columns of the checks
 RUN_TS = dt.datetime(2024, 2, 1, 12, 30, 0, tzinfo=dt.timezone.utc)
@@ -80,6 +86,20 @@ def derived_silver(spark: SparkSession, sf_dir: str, noisy: bool = True) -> Data
     return parse_access_log(_lines(spark, sf_dir, noisy))
 
 
+_STORED: dict[tuple, str] = {}
+
+
+def stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived silver log as production reads it: written once per session, then scanned."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED:
+        path = scratch_path(spark, "silver")
+        derived_silver(spark, sf_dir).write.parquet(path)
+        _STORED[key] = path
+    _utc(spark)
+    return spark.read.parquet(_STORED[key])
+
+
 def _ntz(df: DataFrame, *cols: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
 
@@ -139,49 +159,49 @@ def response_category_q(spark, sf_dir):
 # --- report metrics ---------------------------------------------------------------
 
 def top_client_ips(spark, sf_dir):
-    return M.top_client_ips(derived_silver(spark, sf_dir))
+    return M.top_client_ips(stored_silver(spark, sf_dir))
 
 
 def top_endpoints(spark, sf_dir):
-    return M.top_endpoints(derived_silver(spark, sf_dir))
+    return M.top_endpoints(stored_silver(spark, sf_dir))
 
 
 def volume_stats(spark, sf_dir):
-    return M.volume_stats(derived_silver(spark, sf_dir))
+    return M.volume_stats(stored_silver(spark, sf_dir))
 
 
 def distinct_counts(spark, sf_dir):
-    return M.distinct_counts(derived_silver(spark, sf_dir))
+    return M.distinct_counts(stored_silver(spark, sf_dir))
 
 
 def client_errors_by_weekday(spark, sf_dir):
-    return M.client_errors_by_weekday(derived_silver(spark, sf_dir))
+    return M.client_errors_by_weekday(stored_silver(spark, sf_dir))
 
 
 def worst_error_weekday(spark, sf_dir):
-    return M.worst_error_weekday(derived_silver(spark, sf_dir))
+    return M.worst_error_weekday(stored_silver(spark, sf_dir))
 
 
 def daily_rollup(spark, sf_dir):
-    return M.daily_rollup(derived_silver(spark, sf_dir))
+    return M.daily_rollup(stored_silver(spark, sf_dir))
 
 
 def report_scalars(spark, sf_dir):
-    return access_report(derived_silver(spark, sf_dir)).select(*SCALARS)
+    return access_report(stored_silver(spark, sf_dir)).select(*SCALARS)
 
 
 def report_top_ips(spark, sf_dir):
-    return report_frames(access_report(derived_silver(spark, sf_dir)))["top_ips"]
+    return report_frames(access_report(stored_silver(spark, sf_dir)))["top_ips"]
 
 
 def report_top_endpoints(spark, sf_dir):
-    return report_frames(access_report(derived_silver(spark, sf_dir)))["top_endpoints"]
+    return report_frames(access_report(stored_silver(spark, sf_dir)))["top_endpoints"]
 
 
 def report_sql_scalars(spark, sf_dir):
     """The report as SQL text over a temp view (the SQL-driven gold step)."""
     view = f"silver_lines_{uuid.uuid4().hex[:8]}"
-    derived_silver(spark, sf_dir).createOrReplaceTempView(view)
+    stored_silver(spark, sf_dir).createOrReplaceTempView(view)
     return spark.sql(access_report_sql(view)).select(*SCALARS)
 
 
@@ -222,21 +242,127 @@ def layer_roundtrip(spark, sf_dir):
     return read_layer(spark, table).select("value", "processed_date")
 
 
+def _spec(spark, base: str, lines: DataFrame, extension: str = "txt", **kw) -> PipelineSpec:
+    """A pipeline over ``lines`` delivered as landing files, with tables of its own."""
+    tag = uuid.uuid4().hex[:8]
+    if extension == "txt":
+        lines.write.mode("overwrite").text(f"{base}/landing")
+    else:
+        lines.write.mode("overwrite").csv(f"{base}/landing")
+    return PipelineSpec(
+        pipeline_name=f"check_{tag}", file_name=f"*.{extension}", landing_path=f"{base}/landing",
+        base_path=f"{base}/lake", table_name_bronze=f"b_{tag}", table_name_silver=f"s_{tag}",
+        table_name_gold=f"g_{tag}", **kw)
+
+
 def pipeline_gold(spark, sf_dir):
     """Landing file → bronze → silver (gated) → gold report, then the report's scalars."""
     base = scratch_path(spark, "pipeline")
-    landing = f"{base}/landing"
-    tag = uuid.uuid4().hex[:8]
-    _lines(spark, sf_dir, noisy=False).write.text(landing)
-    spec = PipelineSpec(
-        pipeline_name=f"check_{tag}", file_name="*.txt", landing_path=landing, base_path=f"{base}/lake",
-        table_name_bronze=f"b_{tag}", table_name_silver=f"s_{tag}", table_name_gold=f"g_{tag}",
-        gold_builder=access_report,
-    )
+    spec = _spec(spark, base, _lines(spark, sf_dir, noisy=False), gold_builder=access_report)
     run_pipeline(spark, spec, 4, RUN_TS)
     return spark.table(spec.gold_table).select(*SCALARS)
 
 
+def pipeline_sql_gold(spark, sf_dir):
+    """Gold as SQL text, its nested lists taken apart again, with the rank of each entry."""
+    base = scratch_path(spark, "pipeline-sql")
+    spec = _spec(spark, base, _lines(spark, sf_dir, noisy=False))
+    spec = replace(spec, sql_gold=access_report_sql(spec.silver_table))
+    run_pipeline(spark, spec, 4, RUN_TS)
+    gold = spark.table(spec.gold_table)
+    lists = [gold.select(F.lit(name).alias("list"), F.posexplode(name).alias("rank", "e"))
+             .select("list", F.col("rank").cast("long").alias("rank"), F.col(f"e.{key}").alias("entry"),
+                     F.col("e.access_count").alias("access_count"))
+             for name, key in (("top_ips", "client_ip"), ("top_endpoints", "endpoint"))]
+    return lists[0].unionByName(lists[1])
+
+
+def pipeline_kpis(spark, sf_dir):
+    """The first report row's figures, read back by the analysis step."""
+    base = scratch_path(spark, "pipeline-kpis")
+    spec = _spec(spark, base, _lines(spark, sf_dir, noisy=False), gold_builder=access_report)
+    run_pipeline(spark, spec, 4, RUN_TS)
+    return log_analysis(spark, spec)["kpis"]
+
+
+def pipeline_csv_log(spark, sf_dir):
+    """A log delivered as CSV: its first column is the line; silver as the pipeline stored it."""
+    base = scratch_path(spark, "pipeline-csv")
+    spec = _spec(spark, base, _lines(spark, sf_dir, noisy=False), "csv")
+    run_pipeline(spark, spec, 3, RUN_TS)
+    return _ntz(spark.table(spec.silver_table).select(*SILVER_LOG_COLUMNS), "timestamp")
+
+
+def pipeline_audit(spark, sf_dir):
+    """The audit rows of a whole run and of one that its gate refuses, and the mean stage
+    runs by status that the monitoring step makes of them."""
+    base = scratch_path(spark, "pipeline-audit")
+    spec = _spec(spark, base, _lines(spark, sf_dir, noisy=False), gold_builder=access_report)
+    run_pipeline(spark, spec, 4, RUN_TS)
+    _lines(spark, sf_dir, noisy=True).write.mode("overwrite").text(f"{base}/landing")
+    with contextlib.suppress(QualityGateError):
+        run_pipeline(spark, spec, 4, RUN_TS)
+    logs = monitoring_analysis(spark)["logs"].filter(F.col("pipeline_name") == spec.pipeline_name)
+    return logs.groupBy("step", "status").agg(
+        F.count("*").alias("runs"), F.min(F.col("time_elapsed") >= 0).alias("timed"),
+        F.max(F.length("error_message") > 0).alias("told"),
+        _ntz_col(F.max("execution_time")).alias("execution_time"))
+
+
+def _ntz_col(c):
+    return c.cast("timestamp_ntz")
+
+
+def pipeline_refused(spark, sf_dir):
+    """A bad delivery after a good one: its rule rows, and silver as the good one left it."""
+    base = scratch_path(spark, "pipeline-refused")
+    spec = _spec(spark, base, _lines(spark, sf_dir, noisy=False), once_only=True)
+    run_pipeline(spark, spec, 3, RUN_TS)
+    _lines(spark, sf_dir, noisy=True).write.mode("overwrite").text(f"{base}/landing")
+    refused_at = RUN_TS + dt.timedelta(hours=1)
+    with contextlib.suppress(QualityGateError):
+        run_pipeline(spark, spec, 3, refused_at)
+    rows = spark.table(QUALITY_TABLE).filter(
+        (F.col("verified_table") == spec.table_name_silver) & (F.col("timestamp") == F.lit(refused_at)))
+    silver = spark.table(spec.silver_table)
+    return rows.select("rule", "status", "percentage_ok").unionByName(
+        silver.agg(F.lit("silver_rows").alias("rule"), F.lit("").alias("status"),
+                   F.count("*").cast("double").alias("percentage_ok")))
+
+
+def layer_fallback(spark, sf_dir):
+    """A layer whose catalog entry is gone, read by its path past an unpublished version."""
+    base = scratch_path(spark, "lake")
+    ensure_environment(spark, base)
+    table, path = f"bronze.fallback_{uuid.uuid4().hex[:8]}", f"{base}/bronze/check/fallback"
+    lines = with_control_columns(_lines(spark, sf_dir), RUN_TS)
+    write_layer(lines, table, path)
+    write_version(lines.filter("value = ''"), new_version_path(path))
+    spark.sql(f"DROP TABLE {table}")
+    return read_layer(spark, table, path).select("value", "processed_date")
+
+
+def audit_appends(spark, sf_dir):
+    """One audit row per pipeline and step, appended as a frame or by parameterised SQL."""
+    table = _audit_table(spark, sf_dir, appended=False)
+    runs = execution_rows(_table(spark, sf_dir, "events")).groupBy("pipeline_name", "step").agg(
+        F.max("execution_time").alias("at"), F.count("*").cast("double").alias("n"))
+    for i, r in enumerate(sorted(runs.collect())):  # pipelines times steps
+        row = (r["at"], r["pipeline_name"], r["step"], "OK", "it's ok; --", "/lake/x", r["n"])
+        if i % 2:
+            insert_execution_log(spark, *row, table=table)
+        else:
+            save_execution_log(spark, *row, table=table)
+    return _ntz(spark.table(table), "execution_time")
+
+
+def run_durations_ranked(spark, sf_dir):
+    """Mean stage durations, slowest first: the order of the rows as a column."""
+    _utc(spark)
+    out = run_durations(execution_rows(_table(spark, sf_dir, "events")))
+    return out.coalesce(1).withColumn("rank", F.monotonically_increasing_id())
+
+
 def stream_ingest(spark, sf_dir):
     """Landing folder consumed as a file stream (available-now) into bronze."""
     base = scratch_path(spark, "stream")
@@ -251,7 +377,7 @@ def stream_silver(spark, sf_dir):
     base = scratch_path(spark, "stream-silver")
     _lines(spark, sf_dir, noisy=False).write.text(f"{base}/landing")
     silver_available(spark, f"{base}/landing", f"{base}/silver", f"{base}/_checkpoint", "check_stream")
-    return _ntz(spark.read.parquet(f"{base}/silver").select(*SILVER_LOG_COLUMNS), "timestamp")
+    return _ntz(read_stream_silver(spark, f"{base}/silver").select(*SILVER_LOG_COLUMNS), "timestamp")
 
 
 # --- monitoring ------------------------------------------------------------------------
@@ -324,6 +450,14 @@ QUERIES: dict[str, Query] = {
     "sql_silver": sql_silver,
     "layer_roundtrip": layer_roundtrip,
     "pipeline_gold": pipeline_gold,
+    "pipeline_sql_gold": pipeline_sql_gold,
+    "pipeline_kpis": pipeline_kpis,
+    "pipeline_csv_log": pipeline_csv_log,
+    "pipeline_audit": pipeline_audit,
+    "pipeline_refused": pipeline_refused,
+    "layer_fallback": layer_fallback,
+    "audit_appends": audit_appends,
+    "run_durations_ranked": run_durations_ranked,
     "stream_ingest": stream_ingest,
     "stream_silver": stream_silver,
     "run_durations": run_durations_q,
