@@ -13,12 +13,12 @@ documents.  Shorter lines always stay.
    line puts its segments into an index, by length and segment number, and probes
    it with the substrings that can match a segment of a line up to ``max_edits``
    shorter.  The untouched index entry and the probe are rows with an equal key.
-3. Rows that meet also carry the parity of their words' hashes on 64 places: an
-   edit changes three words at most, so lines whose places differ in more than
-   ``3 * max_edits`` places are no candidates, however many share a segment.
-4. Candidates are verified with a banded edit distance: for each number of edits a
-   few bits hold the diagonals that are reached, and one step for each character
-   of the line moves all of them at once.
+3. Rows that meet also carry how often the line holds each of a few letters: an edit
+   changes two of these counts by one at most, so lines whose counts differ by more
+   than ``2 * max_edits`` are no candidates, however many share a segment.
+4. Candidates are verified with a banded edit distance behind their common start and
+   before their common end: for each number of edits a few bits hold the diagonals
+   that are reached, and one step for each character moves all of them at once.
 5. Verified pairs are joined to components, and the lines that are not the first of
    their component are taken out of their documents.
 
@@ -39,6 +39,9 @@ from tidelog.llm.components import components
 
 MIN_CHARS = 20
 MAX_EDITS = 1
+LETTERS = "etaoinsr"
+LONGEST_COMMON = 1 << 12  # so much of a common start or end is left out at most
+FIRST_CHARS = 32  # most pairs that are not near are told from so many characters
 BROADCAST_LINES = 1_000_000  # so many hashes are sent to all tasks at most
 ADDED = ("n_lines", "n_removed")
 
@@ -74,19 +77,44 @@ def postings(line: Column, length: Column, max_edits: int) -> Column:
     return F.array_compact(F.array(*rows))
 
 
-def word_parity(line: Column) -> Column:
-    """On 64 places, whether an odd number of words hash there."""
-    places = F.transform(F.split(line, " "), lambda w: F.call_function(
-        "shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(w), F.lit(64)).cast("int")))
-    return F.aggregate(places, F.lit(0).cast("long"), lambda a, b: a.bitwiseXOR(b))
+def letter_counts(line: Column) -> Column:
+    """How often a line holds each of LETTERS, modulo 256, in a byte each."""
+    out = F.lit(0).cast("long")
+    for i, letter in enumerate(LETTERS):
+        n = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))
+        out = out.bitwiseOR(F.shiftleft(F.pmod(n, F.lit(256)).cast("long"), 8 * i))
+    return out
+
+
+def counts_apart(a: Column, b: Column) -> Column:
+    """The sum of the differences of two ``letter_counts`` (modulo 256: at most the true one)."""
+    apart = F.lit(0)
+    for i in range(len(LETTERS)):
+        x, y = (F.shiftright(c, 8 * i).bitwiseAND(F.lit(255)) for c in (a, b))
+        d = F.abs(x - y)
+        apart = apart + F.least(d, 256 - d)
+    return apart
 
 
 # --- edit distance -----------------------------------------------------------------------
 
-def within(a: Column, b: Column, max_edits: int) -> Column:
-    """Are two arrays of characters within so many edits?  Bit ``d + max_edits`` of the
-    number for ``e`` edits says that the first ``i`` characters of ``a`` can become the
-    first ``i + d`` of ``b`` with at most ``e`` edits; only diagonals that near matter."""
+def common_start(a: str, b: str) -> Column:
+    """How many first characters two columns have in common (at most twice
+    LONGEST_COMMON), from the equality of ever shorter stretches."""
+    steps = F.array(*(F.lit(1 << i) for i in reversed(range(LONGEST_COMMON.bit_length()))))
+
+    def longer(n, step):
+        x, y = (F.substring(c, n + 1, step) for c in (a, b))
+        return F.when((x == y) & (F.length(x) == step), n + step).otherwise(n)
+
+    return F.aggregate(steps, F.lit(0), longer)
+
+
+def reached(a: Column, b: Column, max_edits: int) -> Column:
+    """The diagonals reached behind all characters of ``a`` (array) with ``max_edits``
+    edits.  Bit ``d + max_edits`` of the number for ``e`` edits says that the first
+    ``i`` characters of ``a`` can become the first ``i + d`` of ``b`` with at most
+    ``e`` edits; only diagonals that near matter."""
     band = range(-max_edits, max_edits + 1)
     whole = (1 << len(band)) - 1
 
@@ -102,19 +130,32 @@ def within(a: Column, b: Column, max_edits: int) -> Column:
             same = same + F.when(fits, F.lit(1 << (d + max_edits))).otherwise(F.lit(0))
         levels = []
         for e in range(max_edits + 1):
-            reached = s[f"e{e}"].bitwiseAND(same)
+            level = s[f"e{e}"].bitwiseAND(same)
             if e:
                 before = s[f"e{e - 1}"]
-                reached = (reached.bitwiseOR(before)  # substitution
-                           .bitwiseOR(F.shiftright(before, 1))  # character of a only
-                           .bitwiseOR(F.shiftleft(levels[-1], 1)))  # character of b only
-            levels.append(reached.bitwiseAND(F.lit(whole)))
+                level = (level.bitwiseOR(before)  # substitution
+                         .bitwiseOR(F.shiftright(before, 1))  # character of a only
+                         .bitwiseOR(F.shiftleft(levels[-1], 1)))  # character of b only
+            levels.append(level.bitwiseAND(F.lit(whole)))
         return state(levels, s["i"] + 1)
 
-    last = F.aggregate(a, state(start, F.lit(0)), step, lambda s: s[f"e{max_edits}"])
+    return F.aggregate(a, state(start, F.lit(0)), step, lambda s: s[f"e{max_edits}"])
+
+
+def within(rows: DataFrame, a: str, b: str, max_edits: int) -> DataFrame:
+    """The rows whose two lines are within so many edits."""
+    rows = rows.filter(F.abs(F.length(a) - F.length(b)) <= max_edits)
+    # what is behind the common start, backwards, and the same again
+    for _ in range(2):
+        behind = common_start(a, b) + 1
+        rows = rows.withColumns({x: F.reverse(F.substring(x, behind, F.length(x))) for x in (a, b)})
+        rows = stored(rows, "line-rests")
+    # the empty text is one empty character to split()
+    rows = rows.withColumns({x: F.filter(F.split(x, ""), lambda c: c != "") for x in (a, b)})
     d = F.size(b) - F.size(a)
-    return F.when(F.abs(d) > max_edits, F.lit(False)).otherwise(
-        F.call_function("shiftright", last, d + max_edits).bitwiseAND(F.lit(1)) == 1)
+    rows = rows.filter(reached(F.slice(a, 1, FIRST_CHARS), F.col(b), max_edits) != 0)
+    last = F.call_function("shiftright", reached(F.col(a), F.col(b), max_edits), d + max_edits)
+    return rows.filter(last.bitwiseAND(F.lit(1)) == 1)
 
 
 # --- lines -----------------------------------------------------------------------------------
@@ -128,11 +169,12 @@ def lines_of(docs: DataFrame, min_chars: int) -> DataFrame:
 def candidates(lines: DataFrame, max_edits: int) -> DataFrame:
     """Pairs of different lines (hashes a, b) that share a segment and may be near."""
     size = F.length("line")
-    rows = lines.select(F.xxhash64("line").alias("id"), word_parity(F.col("line")).alias("words"),
+    rows = lines.select(F.xxhash64("line").alias("id"), letter_counts(F.col("line")).alias("counts"),
                         F.explode(postings(F.col("line"), size, max_edits)).alias("p"))
-    rows = rows.groupBy("p.key", "p.probe", "id").agg(F.first("words").alias("words"))
+    # an entry is also the probe for lines of its length
+    rows = rows.groupBy("p.key", "id").agg(F.first("counts").alias("counts"), F.min("p.probe").alias("probe"))
     a, b = rows.alias("a"), rows.alias("b")
-    near = F.bit_count(F.col("a.words").bitwiseXOR(F.col("b.words"))) <= 3 * max_edits
+    near = counts_apart(F.col("a.counts"), F.col("b.counts")) <= 2 * max_edits
     met = ((F.col("a.key") == F.col("b.key")) & ~F.col("a.probe") & (F.col("a.id") != F.col("b.id"))
            & (F.col("b.probe") | (F.col("a.id") < F.col("b.id"))) & near)
     pairs = a.join(b, met).select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b"))
@@ -151,7 +193,9 @@ def near_lines(lines: DataFrame, max_edits: int) -> DataFrame:
     left = texts.select(F.col("id").alias("a"), F.col("line").alias("x"))
     right = texts.select(F.col("id").alias("b"), F.col("line").alias("y"))
     rows = pairs.join(left, "a").join(right, "b")
-    return rows.filter(within(F.split("x", ""), F.split("y", ""), max_edits)).select("a", "b")
+    # few bytes but much work: not left to as few tasks as the bytes need
+    rows = rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return stored(within(rows, "x", "y", max_edits).select("a", "b"), "line-links")
 
 
 def repeated_lines(lines: DataFrame, max_edits: int) -> DataFrame:
