@@ -47,6 +47,7 @@ SHARED_BITS = range(20, 31)  # the map of shared shingles has a bit for every SH
 SHARED_BYTES = 8
 SKETCH_BITS = 512
 ORDERS = (U(0), U(0xA24BAED4963EE407), U(0x9FB21C651E98DF25))
+NEVER = 65535
 BLOCK = 256  # classes compared or sent together at a time
 FOLD = spaced_words()
 
@@ -226,26 +227,26 @@ def possible(n_a: np.ndarray, n_b: np.ndarray, apart: np.ndarray, num: int, den:
 
 
 def forest(keys: np.ndarray, n: np.ndarray, words: np.ndarray, num: int, den: int):
-    """Pairs of a spanning forest of the possible pairs, likeliest first, compared
-    within overlapping blocks in order of size."""
+    """Pairs of a least spanning forest of the possible pairs (by how far their sketches
+    are apart), within overlapping blocks in order of size."""
     order = np.lexsort((keys, n))
     keys, n, words = keys[order], n[order], words[order]
     for start in range(0, max(1, len(keys) - BLOCK // 2), BLOCK // 2):
         k, m, w = keys[start : start + BLOCK], n[start : start + BLOCK], words[start : start + BLOCK]
         apart = differ(w, w)
-        a, b = np.nonzero(np.triu(possible(m, m, apart, num, den), 1))
-        roots = list(range(len(k)))
-        for i in np.argsort(apart[a, b], kind="stable"):
-            x, y = root(roots, int(a[i])), root(roots, int(b[i]))
-            if x != y:
-                roots[x] = y
-                yield int(k[a[i]]), int(k[b[i]])
-
-
-def root(roots: list[int], x: int) -> int:
-    while roots[x] != x:
-        roots[x] = x = roots[roots[x]]
-    return x
+        apart[~possible(m, m, apart, num, den)] = NEVER
+        open_ = np.ones(len(k), bool)  # not in the forest yet
+        nearest, behind = np.full(len(k), NEVER, np.uint16), np.zeros(len(k), np.int64)
+        at = 0
+        for _ in range(len(k) - 1):
+            open_[at] = False
+            nearer = open_ & (apart[at] < nearest)
+            nearest[nearer], behind[nearer] = apart[at][nearer], at
+            at = int(np.where(open_, nearest, NEVER).argmin())
+            if nearest[at] < NEVER and open_[at]:
+                yield int(k[at]), int(k[behind[at]])
+            else:  # the next tree
+                at = int(open_.argmax())
 
 
 def across(keys: np.ndarray, n: np.ndarray, words: np.ndarray, part: np.ndarray, num: int, den: int):
@@ -301,10 +302,13 @@ def proposals(shared: DataFrame, attributes: DataFrame, num: int, den: int, part
 
     def propose(batches):
         found: set[tuple[int, int]] = set()
+        done: set[int] = set()  # buckets with the same members propose the same
         for bucket in buckets(batches, "token"):
             keys, first = np.unique(bucket.column("key").to_numpy(), return_index=True)
-            if len(keys) < 2:
+            mark = hash(keys.tobytes())
+            if len(keys) < 2 or mark in done:
                 continue
+            done.add(mark)
             n = bucket.column("n").to_numpy()[first]
             words = np.frombuffer(b"".join(v.as_py() for v in bucket.column("sketch").take(pa.array(first))),
                                   np.uint64).reshape(len(keys), -1)
