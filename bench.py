@@ -12,9 +12,13 @@ results are collected.
 client (skew probe).  ``quality_gate_five_counts`` (one count job per rule,
 as the original gate ran) and ``report_separate_queries`` (one query per
 metric) are the naive shapes the one-pass forms are compared with; they are
-left out of the headline total, as is the skew probe.  ``shuffle_write_bytes``
-(first run of each query) comes from Spark's event log, written to a fresh
-scratch folder.
+left out of the headline total, as is the skew probe.  The report metrics read
+silver as production does, stored and then scanned; ``parse_access_log`` times
+the parse.  ``parse_many_files`` and ``report_many_files`` (also outside the
+total) work on ``BENCH_COPIES`` (100) times the lines, staged as many text files
+and as the silver parsed from them.  ``shuffle_write_bytes`` and
+``spilled_bytes`` (first run of each query) come from Spark's event log, written
+to a fresh scratch folder.
 """
 
 from __future__ import annotations
@@ -39,11 +43,13 @@ from tidelog.operators.quality import NOT_NULL_RULES, quality_counts  # noqa: E4
 from tidelog.operators.report import access_report, access_report_sql  # noqa: E402
 from tidelog.plans.pipeline import run as run_pipeline  # noqa: E402
 from tidelog.plans.spec import PipelineSpec  # noqa: E402
-from tidelog.session import local_session, scratch_path  # noqa: E402
+from tidelog.session import clear_scratch, local_session, scratch_path  # noqa: E402
 from tidelog.sources.events_log import access_lines, execution_rows  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
 CPUS = os.environ.get("BENCH_CPUS", "8")
+COPIES = int(os.environ.get("BENCH_COPIES", "100"))
+MANY_FILES = 64
 RUN_TS = dt.datetime(2024, 2, 1, 12, 30, 0, tzinfo=dt.timezone.utc)
 
 
@@ -52,10 +58,11 @@ def sf_of(path: str) -> float | str:
     return float(m.group(1)) if m else path
 
 
-def shuffle_bytes(event_log_dir: str) -> dict[str, int]:
-    """Shuffle bytes written per job group, from the event log."""
+def logged_bytes(event_log_dir: str) -> tuple[dict[str, int], dict[str, int]]:
+    """(shuffle bytes written, bytes spilled to disk) per job group, from the event log."""
     stage_group: dict[int, str] = {}
     out: dict[str, int] = {}
+    spilled: dict[str, int] = {}
     files = sorted(os.path.join(root, f) for root, _, names in os.walk(event_log_dir) for f in names
                    if not f.startswith(("appstatus", ".")))
     for path in files:
@@ -74,7 +81,8 @@ def shuffle_bytes(event_log_dir: str) -> dict[str, int]:
                     if group:
                         written = (metrics.get("Shuffle Write Metrics") or {}).get("Shuffle Bytes Written", 0)
                         out[group] = out.get(group, 0) + written
-    return out
+                        spilled[group] = spilled.get(group, 0) + metrics.get("Disk Bytes Spilled", 0)
+    return out, spilled
 
 
 def main() -> None:
@@ -84,10 +92,17 @@ def main() -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     events = spark.read.parquet(f"{SF_DIR}/events.parquet")
     lines = access_lines(events, noisy=True)
-    silver = parse_access_log(lines)
+    parsed = parse_access_log(lines)
     clean_lines = access_lines(events, noisy=False)
 
     base = scratch_path(spark, "bench")
+    parsed.write.parquet(f"{base}/silver")
+    silver = spark.read.parquet(f"{base}/silver")
+    copies = events.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(COPIES)))).drop("copy")
+    access_lines(copies.repartition(MANY_FILES), noisy=True).write.text(f"{base}/many")
+    many_lines = spark.read.text(f"{base}/many")
+    parse_access_log(many_lines).write.parquet(f"{base}/many_silver")
+    many_silver = spark.read.parquet(f"{base}/many_silver")
     landing = f"{base}/landing"
     clean_lines.write.text(landing)
     tag = uuid.uuid4().hex[:8]
@@ -119,7 +134,7 @@ def main() -> None:
         run_pipeline(spark, spec, 4, RUN_TS)
 
     queries = {
-        "parse_access_log": lambda: noop(silver),
+        "parse_access_log": lambda: noop(parsed),
         "top_client_ips": lambda: M.top_client_ips(silver).collect(),
         "top_endpoints": lambda: M.top_endpoints(silver).collect(),
         "volume_stats": lambda: M.volume_stats(silver).collect(),
@@ -133,6 +148,8 @@ def main() -> None:
         "quality_gate_five_counts": lambda: five_counts(silver),
         "pipeline_landing_to_gold": pipeline,
         "report_on_silver_table": lambda: access_report(spark.table(spec.silver_table)).collect(),
+        "parse_many_files": lambda: noop(parse_access_log(many_lines)),
+        "report_many_files": lambda: access_report(many_silver).collect(),
         "run_durations": lambda: run_durations(execution_rows(events)).collect(),
         "run_status": lambda: run_status(execution_rows(events)).collect(),
     }
@@ -150,10 +167,13 @@ def main() -> None:
         timings[name] = round(best, 4)
     spark.sparkContext.setJobGroup("bench-end", "bench-end")
 
-    probes = ("report_separate_queries", "quality_gate_five_counts", "report_hot_client")
+    probes = ("report_separate_queries", "quality_gate_five_counts", "report_hot_client", "parse_many_files",
+              "report_many_files")
     n_events = events.count()
+    clear_scratch(spark)
     spark.stop()  # flushes the event log
-    shuffled = {k[:-2]: v for k, v in shuffle_bytes(event_log_dir).items() if k.endswith("#0")}
+    shuffled, spilled = ({k[:-2]: v for k, v in found.items() if k.endswith("#0")}
+                         for found in logged_bytes(event_log_dir))
     headline = [k for k in timings if k not in probes]
     print(json.dumps({
         "metric": "headline_queries_total",
@@ -162,8 +182,9 @@ def main() -> None:
         "queries": timings,
         "sf": sf_of(SF_DIR),
         "cpus": int(CPUS),
-        "rows": {"events": n_events},
+        "rows": {"events": n_events, "many_files_lines": n_events * COPIES, "many_files": MANY_FILES},
         "shuffle_write_bytes": shuffled,
+        "spilled_bytes": spilled,
     }))
 
 
