@@ -35,8 +35,9 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(5000, x) for x in range(5001, 5030)]
     edges += [(rng.randint(1000, 1100), rng.randint(1000, 1100)) for _ in range(60)] + [(7, 7)]
     want = least_members({x for a, b in edges if a != b for x in (a, b)}, [e for e in edges if e[0] != e[1]])
-    got = components(spark.createDataFrame(edges, "a long, b long")).collect()
-    assert {r.node: r.component for r in got} == want
+    for native in (True, False):
+        got = components(spark.createDataFrame(edges, "a long, b long"), native).collect()
+        assert {r.node: r.component for r in got} == want
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 

@@ -10,6 +10,7 @@ stored in the shared folder, so a lost executor repeats one round at most.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,10 +31,37 @@ def small_star(edges: DataFrame) -> DataFrame:
     return moved.union(least.select("u", "m")).distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def contracted(edges: DataFrame) -> DataFrame:
+    """Edges that connect the same nodes: each partition's own components, as stars."""
+
+    def contract(batches):
+        parent: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while parent.setdefault(x, x) != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        for batch in batches:
+            for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+                a, b = find(a), find(b)
+                parent[max(a, b)] = min(a, b)
+        stars = [(x, find(x)) for x in list(parent)]
+        stars = [s for s in stars if s[0] != s[1]]
+        if stars:
+            a, b = zip(*stars)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return edges.mapInArrow(contract, "a long, b long")
+
+
+def components(edges: DataFrame, native: bool = True) -> DataFrame:
     """From edges (a, b) of longs: (node, component) with the smallest node of each
-    component; nodes alone in theirs are in no edge and in no row."""
+    component; nodes alone in theirs are in no edge and in no row.  Unless ``native``,
+    each partition first contracts its own edges, which saves rounds."""
     edges = edges.select("a", "b").filter("a <> b").distinct()
+    if not native:
+        edges = contracted(edges)
     before = None
     while True:
         edges = stored(small_star(large_star(edges)), "components")

@@ -350,7 +350,7 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int, frequent: np
     blocks are one group, to which each set that they need is sent once.
     """
     spark = pairs.sparkSession
-    parts = components(pairs)
+    parts = components(pairs, native=False)
     blocks = parts.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     block = F.pmod(F.xxhash64("node"), F.col("blocks"))
     dealt = stored(parts.join(blocks, "component").select("node", "component", block.alias("block")), "jaccard-blocks")
@@ -408,11 +408,11 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     first = stored(proposals(shared, attributes, num, den, None), "jaccard-pairs")
     links = stored(verified(first, sets, num, den, maps[1]), "jaccard-links")
-    parts = stored(components(links), "jaccard-parts")
+    parts = stored(components(links, native=False), "jaccard-parts")
     second = stored(proposals(shared, attributes, num, den, parts), "jaccard-pairs")
     more = verified(second, sets, num, den, maps[1])
     stars = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    parts = stored(components(stars.union(more)), "jaccard-parts")
+    parts = stored(components(stars.union(more), native=False), "jaccard-parts")
 
     named = classes.join(parts, F.col("key") == F.col("node"), "left").select(
         "key", "id", F.coalesce("component", "key").alias("part"))
