@@ -39,7 +39,7 @@ from tidelog.llm.components import components
 
 MIN_CHARS = 20
 MAX_EDITS = 1
-LETTERS = "etaoinsr"
+LETTERS = "aeit"
 LONGEST_COMMON = 1 << 12  # so much of a common start or end is left out at most
 FIRST_CHARS = 32  # most pairs that are not near are told from so many characters
 BROADCAST_LINES = 1_000_000  # so many hashes are sent to all tasks at most
@@ -62,8 +62,9 @@ def offsets(i: int, shorter: int, max_edits: int) -> range:
     return range(max(-i, shorter - (max_edits - i)), min(i, shorter + (max_edits - i)) + 1)
 
 
-def postings(line: Column, length: Column, max_edits: int) -> Column:
-    """Array of (key, probe): index entries and probes of a line."""
+def postings(line: Column, length: Column, max_edits: int) -> list[Column]:
+    """The index entries and probes of a line, as structs (key, probe); a probe that
+    would lie outside of the line has a null key."""
     parts, rows = max_edits + 1, []
     for shorter in range(parts):
         for i in range(parts):
@@ -72,9 +73,9 @@ def postings(line: Column, length: Column, max_edits: int) -> Column:
                 at = start + offset
                 own = shorter == 0 and offset == 0  # an entry is also the probe for lines of its length
                 key = F.xxhash64(length - shorter, F.lit(i), F.substring(line, at + 1, size))
-                row = F.struct(key.alias("key"), F.lit(not own).alias("probe"))
-                rows.append(F.when((at >= 0) & (at + size <= length), row))
-    return F.array_compact(F.array(*rows))
+                inside = (at >= 0) & (at + size <= length)
+                rows.append(F.struct((key if own else F.when(inside, key)).alias("key"), F.lit(not own).alias("probe")))
+    return rows
 
 
 def letter_counts(line: Column) -> Column:
@@ -170,7 +171,8 @@ def candidates(lines: DataFrame, max_edits: int) -> DataFrame:
     """Pairs of different lines (hashes a, b) that share a segment and may be near."""
     size = F.length("line")
     rows = lines.select(F.xxhash64("line").alias("id"), letter_counts(F.col("line")).alias("counts"),
-                        F.explode(postings(F.col("line"), size, max_edits)).alias("p"))
+                        F.explode(F.array(*postings(F.col("line"), size, max_edits))).alias("p"))
+    rows = rows.filter("p.key IS NOT NULL")
     # an entry is also the probe for lines of its length
     rows = rows.groupBy("p.key", "id").agg(F.first("counts").alias("counts"), F.min("p.probe").alias("probe"))
     a, b = rows.alias("a"), rows.alias("b")
