@@ -48,7 +48,8 @@ SHARED_BYTES = 8
 SKETCH_BITS = 512
 ORDERS = (U(0), U(0xA24BAED4963EE407), U(0x9FB21C651E98DF25))
 NEVER = 65535
-BLOCK = 256  # classes compared or sent together at a time
+BLOCK = 256  # classes compared with one another at a time when a forest is proposed
+SENT = 1024  # classes of a block whose sets are sent to a task together
 FOLD = spaced_words()
 
 
@@ -346,12 +347,12 @@ def linked(x: np.ndarray, y: np.ndarray, num: int, den: int, frequent: np.ndarra
 def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int, frequent: np.ndarray) -> DataFrame:
     """The pairs (a, b) that link, from the sets (key, ``shingles``).
 
-    Classes that pairs connect are dealt to blocks of about BLOCK; the pairs of two
+    Classes that pairs connect are dealt to blocks of about SENT; the pairs of two
     blocks are one group, to which each set that they need is sent once.
     """
     spark = pairs.sparkSession
     parts = components(pairs, native=False)
-    blocks = parts.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    blocks = parts.groupBy("component").agg(F.ceil(F.count("*") / SENT).alias("blocks"))
     block = F.pmod(F.xxhash64("node"), F.col("blocks"))
     dealt = stored(parts.join(blocks, "component").select("node", "component", block.alias("block")), "jaccard-blocks")
     left = dealt.select(F.col("node").alias("a"), "component", F.col("block").alias("i"))
