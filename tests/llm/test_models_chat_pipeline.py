@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidelog.llm.chat import ChatTemplate, format_chats, learned_text, read_turns
-from tidelog.llm.mixing import OTHER, mix, rake, tempered
+from tidelog.llm.mixing import OTHER, RATE, marginals, mix, rake, rake_whole, tempered
 from tidelog.llm.quality import keep_quality, pooled, quality_scores, statistics
 from tidelog.llm.queries import ORACLES, QUERIES
 from tidelog.llm.spotsigs import fingerprint, fingerprints, likeness, near_pairs, next_likeness, signature_sets
@@ -90,6 +90,29 @@ def test_mixing_of_odd_tables_and_targets(spark, odd_docs, no_docs):
         mix(odd_docs, targets={"lang": {str(i): 1.0 for i in range(1000)}})
 
 
+def test_targets_above_their_tokens_are_shared_out(spark):
+    tokens = np.array([900.0, 60.0, 30.0, 10.0])
+    members = [np.array([0, 1, 2, 3]), np.array([0, 1, 0, 1])]
+    targets = [np.array([0.25, 0.25, 0.25, 0.25]), np.array([0.86, 0.14])]
+    kept = tokens * rake_whole(tokens, members, targets, 0.5)
+    assert kept.sum() == pytest.approx(500, rel=1e-5)
+    assert kept == pytest.approx([400, 60, 30, 10], rel=0.1)  # the rare ones whole, the rest from the first
+    feasible = rake_whole(np.array([400.0, 100.0, 300.0, 200.0]), [np.array([0, 0, 1, 1]), np.array([0, 1, 0, 1])],
+                          [np.array([0.5, 0.5]), np.array([0.6, 0.4])], 0.5)
+    assert np.allclose(np.array([400.0, 100.0, 300.0, 200.0]) * feasible @ [[1, 1], [1, 0], [0, 1], [0, 0]], [250, 300])
+
+
+def test_mixing_keeps_the_rate(spark, sf_dir):
+    mixed = corpus_pipeline.mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    n, kept = mixed.agg(F.sum("n_words"), F.sum(F.col("n_words") * F.col("keep_probability"))).first()
+    assert kept / n == pytest.approx(RATE, rel=1e-4)
+    for d in ("source", "lang", "topic"):
+        rows = marginals(mixed, d).collect()
+        assert sum(r.wanted for r in rows) == pytest.approx(1) and sum(r.reached for r in rows) == pytest.approx(1)
+        for r in rows:  # no share is above what all of its tokens give
+            assert r.reached <= r.share / RATE * (1 + 1e-3)
+
+
 def test_tempering_lifts_small_shares():
     assert tempered({"a": 0.81, "b": 0.09, "c": 0.0}) == pytest.approx({"a": 0.75, "b": 0.25})
 

@@ -1,11 +1,22 @@
 """Mixing sources to target weights (operator 9): iterative proportional fitting.
 
 Documents fall into cells (source, language, topic).  The token weights of the
-cells are raked: the keep probability of each cell is multiplied in turn by the
-factor that brings its source, its language and its topic to their target share
-of the tokens to keep, cut to at most 1, for ``ROUNDS`` rounds.  Each document is
-then kept with the calibrated probability of its cell, by a hash of its id, so
-the same documents are kept on every run and on every retry.
+cells are raked: the weight of each cell is multiplied in turn by the factor that
+brings its source, its language and its topic to their target share of the tokens
+to keep, where a weight above 1 counts as the probability 1 but is not cut, until
+no probability changes by more than ``TOLERANCE``.  A target above the tokens that
+its category has is bounded by them, and the other categories share the rest in
+proportion to their targets.  Targets that no probabilities can meet together are
+met as far as the rounds bring them; the weights are then scaled until the kept
+tokens are ``rate`` of all, so the rate is met wherever categories with a target
+above 0 have so many tokens.  ``marginals`` gives wanted and reached shares.
+
+``stepwise`` rakes as the SQL of operator 9 does: probabilities are cut to 1 in
+every step and no target is bounded, for ``ROUNDS`` rounds.  Where targets exceed
+the tokens there are, that keeps less than ``rate``.
+
+Each document is then kept with the calibrated probability of its cell, by a hash
+of its id, so the same documents are kept on every run and on every retry.
 
 Targets are shares per category.  ``tempered`` makes them from the data: the
 token share of each category to the power ``TEMPERATURE``, which lifts small
@@ -38,7 +49,10 @@ from tidelog.llm.common import whole_text
 
 RATE = 0.7  # share of all tokens to keep
 TEMPERATURE = 0.5
-ROUNDS = 10
+ROUNDS = 10  # of the stepwise rake
+TOLERANCE = 1e-6
+MOST_ROUNDS = 1000  # of the rake to convergence
+HEAVIEST = 1e9  # weights grow no further where targets cannot be met together
 MAX_CATEGORIES = 64
 OTHER = "(other)"
 DIMENSIONS = ("source", "lang", "topic")
@@ -89,8 +103,45 @@ def rake(tokens: np.ndarray, members: list[np.ndarray], targets: list[np.ndarray
     return p
 
 
+def bounded_goals(target: np.ndarray, tokens: np.ndarray, want: float) -> np.ndarray:
+    """Tokens to keep of each category: its target share of ``want``, at most its
+    tokens; what bounded ones leave goes to the others in proportion to their targets."""
+    full = np.zeros(len(target), dtype=bool)
+    while True:
+        open_share = target[~full].sum()
+        left = max(want - tokens[full].sum(), 0.0)
+        goals = np.where(full, tokens, target * (left / open_share if open_share > 0 else 0.0))
+        over = ~full & (goals > tokens)
+        if not over.any():
+            return goals
+        full |= over
+
+
+def rake_whole(tokens: np.ndarray, members: list[np.ndarray], targets: list[np.ndarray],
+               rate: float = RATE) -> np.ndarray:
+    """Keep probabilities of the cells that meet the bounded targets and the rate."""
+    want = rate * tokens.sum()
+    goals = [bounded_goals(target, np.bincount(own, tokens, minlength=len(target)), want)
+             for own, target in zip(members, targets)]
+    weight = np.full(len(tokens), rate)
+    for _ in range(MOST_ROUNDS):
+        before = np.minimum(1.0, weight)
+        for own, goal in zip(members, goals):
+            now = np.bincount(own, tokens * np.minimum(1.0, weight), minlength=len(goal))
+            factor = np.divide(goal, now, out=np.ones(len(goal)), where=now > 0)
+            weight = np.minimum(HEAVIEST, weight * factor[own])
+        if np.abs(np.minimum(1.0, weight) - before).max(initial=0.0) <= TOLERANCE:
+            break
+    for _ in range(MOST_ROUNDS):
+        now = (tokens * np.minimum(1.0, weight)).sum()
+        if now <= 0 or abs(now - want) <= TOLERANCE * want:
+            break
+        weight = np.minimum(HEAVIEST, weight * (want / now))
+    return np.minimum(1.0, weight)
+
+
 def cell_probabilities(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, rate: float = RATE,
-                       rounds: int = ROUNDS) -> list[tuple]:
+                       rounds: int = ROUNDS, stepwise: bool = False) -> list[tuple]:
     """(source, lang, topic, probability) of each cell, from rows (source, lang, topic,
     n_words).  ``targets`` has shares by dimension; dimensions without get tempered ones."""
     named: dict[str, dict[str, float]] = {}
@@ -122,13 +173,18 @@ def cell_probabilities(cells: DataFrame, targets: dict[str, dict[str, float]] |
             wanted = tempered({k: s / all_tokens for k, s in zip(present, sums)})
         members.append(own)
         shares.append(np.array([wanted.get(k, 0.0) for k in present]))
-    p = rake(tokens, members, shares, rate, rounds) if len(rows) else np.empty(0)
+    if not rows:
+        p = np.empty(0)
+    elif stepwise:
+        p = rake(tokens, members, shares, rate, rounds)
+    else:
+        p = rake_whole(tokens, members, shares, rate)
     return [(*(r[d] for d in DIMENSIONS), float(x)) for r, x in zip(rows, p)], named
 
 
 def mix(df: DataFrame, targets: dict[str, dict[str, float]] | None = None, id_col: str = "doc_id",
         text_col: str = "text", source_col: str = "source", lang_col: str = "lang", rate: float = RATE,
-        rounds: int = ROUNDS) -> DataFrame:
+        rounds: int = ROUNDS, stepwise: bool = False) -> DataFrame:
     """Every row with ``topic``, ``n_words``, ``keep_probability`` and ``kept``."""
     text = whole_text(text_col)
     inner = {"source": F.coalesce(F.col(source_col).cast("string"), F.lit("")),
@@ -137,7 +193,7 @@ def mix(df: DataFrame, targets: dict[str, dict[str, float]] | None = None, id_co
              .groupBy(*DIMENSIONS).agg(F.sum("n_words").alias("n_words")))
     cells = cells.persist()
     try:
-        found, named = cell_probabilities(cells, targets, rate, rounds)
+        found, named = cell_probabilities(cells, targets, rate, rounds, stepwise)
     finally:
         cells.unpersist()
     key = F.concat_ws("\n", *(F.when(inner[d].isin(*named[d]), inner[d]).otherwise(F.lit(OTHER)) if named[d]
@@ -155,8 +211,22 @@ def mix(df: DataFrame, targets: dict[str, dict[str, float]] | None = None, id_co
                       p.alias("keep_probability"), (F.col("u") < p).alias("kept"))
 
 
+def marginals(mixed: DataFrame, dimension: str) -> DataFrame:
+    """Of the rows of ``mix``: each category's share of all tokens, the share that the
+    default targets want, and the share it has of the tokens kept (as expected)."""
+    rows = mixed.groupBy(F.coalesce(F.col(dimension).cast("string"), F.lit("")).alias("category")).agg(
+        F.sum("n_words").alias("n"), F.sum(F.col("n_words") * F.col("keep_probability")).alias("kept"))
+    total = rows.agg(F.sum("n").alias("n"), F.sum("kept").alias("kept"))
+    total = total.select(F.col("n").alias("all_n"), F.col("kept").alias("all_kept"))
+    rows = rows.crossJoin(F.broadcast(total)).withColumn("share", F.col("n") / F.nullif(F.col("all_n"), F.lit(0)))
+    lifted = rows.withColumn("lifted", F.pow("share", F.lit(TEMPERATURE)))
+    sums = F.broadcast(lifted.agg(F.sum("lifted").alias("all_lifted")))
+    return lifted.crossJoin(sums).select("category", "share", (F.col("lifted") / F.col("all_lifted")).alias("wanted"),
+                                         (F.col("kept") / F.nullif(F.col("all_kept"), F.lit(0.0))).alias("reached"))
+
+
 def rake_sql(rate: float = RATE, rounds: int = ROUNDS) -> str:
-    """The same in one SQL statement over ``documents``, one step of the rake after the
+    """The stepwise rake in one SQL statement over ``documents``, one step after the
     other (for tables with at most MAX_CATEGORIES categories a dimension)."""
     topic = "CASE " + " ".join(
         f"WHEN length(t) > 0 AND ((length(t) - length(replace(t, '{m}', '')))::DOUBLE / {len(m)}) * 1000 "

@@ -95,8 +95,9 @@ def op8_quality(spark, sf_dir):
 
 
 def op9_mixing(spark, sf_dir):
-    """Keep probabilities of all documents, raked to source, language and topic shares."""
-    out = mix(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    """Keep probabilities of all documents, raked to source, language and topic shares
+    in the steps of its SQL."""
+    out = mix(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), stepwise=True)
     return out.select("doc_id", F.coalesce("source", F.lit("")).alias("source"),
                       F.coalesce("lang", F.lit("")).alias("lang"), "topic", "n_words",
                       F.round("keep_probability", 6).alias("keep_probability"), "kept")
