@@ -193,6 +193,29 @@ def test_ledger_names_with_pattern_characters_load_once(spark, tmp_path):
         read_unseen(spark, str(landing), ledger, "text")
 
 
+def test_a_large_delivery_is_loaded_whole(spark, tmp_path):
+    landing, ledger = tmp_path / "landing", str(tmp_path / "ledger")
+    landing.mkdir()
+    (landing / "seen.txt").write_text("seen\n")
+    record_files(landing_files(spark, str(landing)), ledger, "p", T0)
+    n = 10_001
+    for i in range(n):
+        (landing / f"{i}.txt").write_text(f"{i}\n")
+    rows, files = read_unseen(spark, str(landing), ledger, "text")
+    assert rows.count() == files.count() == n
+    assert rows.distinct().count() == n and rows.filter("value = 'seen'").count() == 0
+
+
+def test_seen_files_give_csv_no_columns(spark, tmp_path):
+    landing, ledger = tmp_path / "landing", str(tmp_path / "ledger")
+    landing.mkdir()
+    (landing / "old.csv").write_text("a\n" * 50)
+    record_files(landing_files(spark, str(landing)), ledger, "p", T0)
+    (landing / "new 1%.csv").write_text("x,y\n")
+    rows, files = read_unseen(spark, str(landing), ledger, "csv")
+    assert [tuple(r) for r in rows.collect()] == [("x", "y")] and files.count() == 1
+
+
 def test_a_broken_ledger_raises(spark, tmp_path):
     (tmp_path / "landing").mkdir()
     (tmp_path / "landing" / "a.txt").write_text("x\n")

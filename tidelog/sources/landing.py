@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 # --- fixed values: supported landing files and the column holding the raw line
 READERS = {".txt": "text", ".csv": "csv"}
@@ -36,19 +37,25 @@ def log_column(file_name: str) -> str:
     raise UnsupportedFileType(f"unsupported file type for a log: {file_name} (use .txt or .csv)")
 
 
-def read_landing(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+def read_landing(spark: SparkSession, path: str, fmt: str, glob: str | None = None,
+                 schema: T.StructType | None = None) -> DataFrame:
     """Read landing data lazily and splittably.
 
     ``text``: one row per line (empty lines kept), column ``value``.
     ``csv``: no header, no inference, all-string ``_c0.._cN``; blank lines
     are dropped and a comma inside a line starts a new column.
+    ``glob`` selects files of a folder by name; a ``schema`` gives the columns of
+    CSV, instead of the first line.
     A missing path raises ``FileNotFoundError`` naming the path.
     """
+    reader = spark.read
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
     try:
         if fmt == "text":
-            return spark.read.text(path)
+            return reader.text(path)
         if fmt == "csv":
-            return spark.read.csv(path)
+            return (reader.schema(schema) if schema else reader).csv(path)
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
             raise FileNotFoundError(f"landing file not found: {path}") from exc

@@ -3,15 +3,16 @@
 A file is identified by path, modification time and size, so an
 unchanged file is skipped while a new delivery under the same name loads
 again.  The unseen files are found from the file listing alone (the
-``binaryFile`` source without its ``content`` column reads no data), so
-files already ingested are never opened again; only the unseen paths are
-handed to the text/CSV reader.
-
-A run takes at most ``max_files`` files, oldest first, so the list that the
-reader needs on the driver is bounded; the others stay unseen and are taken by
-the next runs.  The files a run has loaded are noted beside the ledger and
-entered into it only when the data they gave is accepted (``accept_files``), so
-a run after a failed quality gate loads them again.
+``binaryFile`` source without its ``content`` column reads no data) and
+stored; the reader takes the whole folder and keeps the rows whose file is one
+of them, so no list of paths is made on the driver, however many files landed.
+Files modified before the oldest or after the newest unseen one are pruned by
+their listing and not opened.
+
+A run takes all unseen files, unless ``max_files`` asks for the oldest ones only.
+The files a run has loaded are noted beside the ledger and entered into it only
+when the data they gave is accepted (``accept_files``), so a run after a failed
+quality gate loads them again.
 """
 
 from __future__ import annotations
@@ -23,10 +24,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.plans.tables import glob_literal, path_exists
+from tidelog.session import scratch_path
 from tidelog.sources.landing import read_landing
 
-MAX_FILES = 10_000
-
 FILE_KEYS = ("file_path", "file_modification_time", "file_size")
 
 LEDGER_SCHEMA = T.StructType(
@@ -42,6 +42,11 @@ LEDGER_SCHEMA = T.StructType(
 
 def landing_files(spark: SparkSession, landing_path: str, glob: str | None = None) -> DataFrame:
     """One row per file under ``landing_path``: path, modification time, size."""
+    return _listing(spark, landing_path, glob).select(*FILE_KEYS)
+
+
+def _listing(spark: SparkSession, landing_path: str, glob: str | None) -> DataFrame:
+    """``landing_files`` with ``read_path``, the path as the rows' metadata have it (encoded)."""
     reader = spark.read.format("binaryFile")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -49,6 +54,7 @@ def landing_files(spark: SparkSession, landing_path: str, glob: str | None = Non
         F.col("path").alias("file_path"),
         F.col("modificationTime").alias("file_modification_time"),
         F.col("length").alias("file_size"),
+        F.col("_metadata.file_path").alias("read_path"),
     )
 
 
@@ -61,30 +67,49 @@ def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
 
 def unseen_files(spark: SparkSession, landing_path: str, ledger_path: str, glob: str | None = None) -> DataFrame:
     """Files under ``landing_path`` whose (path, mtime, size) is not in the ledger."""
+    return _unseen(spark, landing_path, ledger_path, glob).select(*FILE_KEYS)
+
+
+def _unseen(spark: SparkSession, landing_path: str, ledger_path: str, glob: str | None) -> DataFrame:
     seen = read_ledger(spark, ledger_path).select(*FILE_KEYS)
-    return landing_files(spark, landing_path, glob).join(seen, list(FILE_KEYS), "left_anti")
+    return _listing(spark, landing_path, glob).join(seen, list(FILE_KEYS), "left_anti")
 
 
 def read_unseen(spark: SparkSession, landing_path: str, ledger_path: str, fmt: str,
-                glob: str | None = None, max_files: int = MAX_FILES) -> tuple[DataFrame, DataFrame]:
+                glob: str | None = None, max_files: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(rows of the unseen files, those files) for one ingest run.
 
-    The oldest ``max_files`` unseen files are taken (by modification time, then
-    path); their paths go to the driver because the reader takes explicit
-    paths, and the data path has no join.  A file rewritten between
-    listing and reading is recorded under its listed identity, so the next
-    run sees a new identity and loads it again, which the full-overwrite
-    bronze absorbs.  Raises ``FileNotFoundError`` when nothing new landed.
+    All unseen files are taken, or the oldest ``max_files`` (by modification
+    time, then path).  The listing is stored, so what is read and what is
+    recorded are the same snapshot of the folder.  A file rewritten between
+    listing and reading gives no rows and is recorded under its listed identity,
+    so the next run sees a new identity and loads it.  The columns of CSV files
+    are those of the largest one.  Raises ``FileNotFoundError`` when nothing
+    new landed.
     """
-    unseen = unseen_files(spark, landing_path, ledger_path, glob)
-    listed_rows = unseen.orderBy("file_modification_time", "file_path").limit(max_files).collect()
-    if not listed_rows:
+    unseen = _unseen(spark, landing_path, ledger_path, glob)
+    if max_files is not None:
+        unseen = unseen.orderBy("file_modification_time", "file_path").limit(max_files)
+    path = scratch_path(spark, "unseen-files")
+    unseen.write.parquet(path)
+    listed = spark.read.schema(unseen.schema).parquet(path)
+    largest = listed.orderBy(F.desc("file_size"), "file_path").first()
+    if largest is None:
         raise FileNotFoundError(f"no unseen landing file under {landing_path}")
-    # built from the collected listing: what is read and what is recorded
-    # are the same snapshot of the folder
-    files = spark.createDataFrame(listed_rows, LEDGER_SCHEMA[:3])
-    rows = read_landing(spark, [glob_literal(r.file_path) for r in listed_rows], fmt)
-    return rows, files
+    schema = read_landing(spark, [glob_literal(largest.file_path)], fmt).schema
+    rows = read_landing(spark, landing_path, fmt, glob, schema)
+    columns = rows.columns if not schema else schema.names
+    modified = F.col("_metadata.file_modification_time")
+    first, last = listed.agg(F.min("file_modification_time"), F.max("file_modification_time")).first()
+    # literals on the metadata prune files before they are opened
+    rows = rows.filter((modified >= F.lit(first)) & (modified <= F.lit(last)))
+    own = (F.col("_metadata.file_path"), modified, F.col("_metadata.file_size"))
+    names = ("read_path", "file_modification_time", "file_size")
+    files = listed.select(*(F.col(c).alias(f"{c}_") for c in names))
+    rows = rows.select(*columns, *(c.alias(f"{n}__") for c, n in zip(own, names)))
+    met = [F.col(f"{c}__") == F.col(f"{c}_") for c in names]
+    # one short row a file, as the reader's own listing has: no line is shuffled
+    return rows.join(F.broadcast(files), met, "left_semi").select(*columns), listed.select(*FILE_KEYS)
 
 
 def record_files(files: DataFrame, ledger_path: str, pipeline_name: str,
