@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidelog.llm.chat import ChatTemplate, format_chats, learned_text, read_turns
-from tidelog.llm.mixing import OTHER, RATE, marginals, mix, rake, rake_whole, tempered
+from tidelog.llm import mixing
+from tidelog.llm.mixing import OTHER, RATE, marginals, mix, rake, rake_sql, rake_whole, tempered
 from tidelog.llm.quality import keep_quality, pooled, quality_scores, statistics
 from tidelog.llm.queries import ORACLES, QUERIES
 from tidelog.llm.spotsigs import fingerprint, fingerprints, likeness, near_pairs, next_likeness, signature_sets
@@ -113,6 +114,32 @@ def test_mixing_keeps_the_rate(spark, sf_dir):
             assert r.reached <= r.share / RATE * (1 + 1e-3)
 
 
+@pytest.mark.parametrize("driver_cells", [100_000, 0])
+def test_all_categories_are_raked(spark, monkeypatch, driver_cells):
+    """More than 64 sources, against the SQL, with the cells on the driver and as tables."""
+    monkeypatch.setattr(mixing, "DRIVER_CELLS", driver_cells)
+    rows = [(i, prose(5 + i % 7, i), ("en", "de")[i % 3 == 0], f"s{i * i % 151}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").coalesce(1)
+    con = duckdb.connect()
+    con.sql("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, lang VARCHAR, source VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?, ?)", rows)
+    want = {r[0]: r[5] for r in con.sql(rake_sql(rounds=2)).fetchall()}
+    got = {r.doc_id: r.keep_probability for r in mix(docs, rounds=2, stepwise=True).collect()}
+    assert len({r[3] for r in rows}) > 64 and got == pytest.approx(want, abs=2e-6)
+
+
+def test_rakes_as_tables_and_on_the_driver_agree(spark, monkeypatch):
+    rows = [("a", "x", "t", 900), ("b", "y", "t", 60), ("c", "x", "u", 30), ("d", "y", "u", 10), ("a", "y", "u", 50)]
+    cells = spark.createDataFrame(rows, "source string, lang string, topic string, n_words long").coalesce(1)
+    monkeypatch.setattr(mixing, "TOLERANCE", 1e-2)
+    for targets in (None, {"source": {"a": 0.5, "b": 0.3, OTHER: 0.2}}):
+        found = []
+        for limit in (100, 0):
+            monkeypatch.setattr(mixing, "DRIVER_CELLS", limit)
+            found.append({tuple(r[:3]): r[3] for r in mixing.cell_probabilities(cells, targets).collect()})
+        assert len(found[0]) == len(rows) and found[0] == pytest.approx(found[1], rel=1e-6)
+
+
 def test_tempering_lifts_small_shares():
     assert tempered({"a": 0.81, "b": 0.09, "c": 0.0}) == pytest.approx({"a": 0.75, "b": 0.25})
 

@@ -21,13 +21,13 @@ of its id, so the same documents are kept on every run and on every retry.
 Targets are shares per category.  ``tempered`` makes them from the data: the
 token share of each category to the power ``TEMPERATURE``, which lifts small
 sources and lowers hot ones.  Categories without a target of their own share the
-one of ``OTHER``.  At most ``MAX_CATEGORIES`` categories a dimension have a target
-of their own (the largest by tokens, ties by name), so the cells that reach the
-driver are at most the product of three bounded numbers whatever the input;
-documents of all other categories are raked as ``OTHER``.
+one of ``OTHER``; targets that give no category of the table a share are an error.
+All categories are raked, however many.  Up to ``DRIVER_CELLS`` cells are raked on
+the driver; more of them by the same steps as DataFrames, one grouped sum for each
+dimension and round, with each round stored.
 
 Only token counts per cell are shuffled; texts stay where they are (the cell's
-probability is joined back by a table of bounded size).
+probability is joined back, by a broadcast if the driver raked them).
 
 Defined cases: null source, language or text read as empty; a text without words
 weighs nothing and is kept with the probability of its cell; a cell whose weight
@@ -40,12 +40,13 @@ columns are returned as they are, and columns named like those added
 from __future__ import annotations
 
 import itertools
+import sys
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import whole_text
+from tidelog.llm.common import stored, whole_text
 
 RATE = 0.7  # share of all tokens to keep
 TEMPERATURE = 0.5
@@ -53,7 +54,7 @@ ROUNDS = 10  # of the stepwise rake
 TOLERANCE = 1e-6
 MOST_ROUNDS = 1000  # of the rake to convergence
 HEAVIEST = 1e9  # weights grow no further where targets cannot be met together
-MAX_CATEGORIES = 64
+DRIVER_CELLS = 100_000
 OTHER = "(other)"
 DIMENSIONS = ("source", "lang", "topic")
 ADDED = ("topic", "n_words", "keep_probability", "kept")
@@ -140,46 +141,114 @@ def rake_whole(tokens: np.ndarray, members: list[np.ndarray], targets: list[np.n
     return np.minimum(1.0, weight)
 
 
-def cell_probabilities(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, rate: float = RATE,
-                       rounds: int = ROUNDS, stepwise: bool = False) -> list[tuple]:
-    """(source, lang, topic, probability) of each cell, from rows (source, lang, topic,
-    n_words).  ``targets`` has shares by dimension; dimensions without get tempered ones."""
-    named: dict[str, dict[str, float]] = {}
-    for d in DIMENSIONS:
-        if targets and d in targets:
-            if len(targets[d]) > MAX_CATEGORIES:
-                raise ValueError(f"more than {MAX_CATEGORIES} targets for {d}")
-            named[d] = dict(targets[d])
-        else:
-            top = (cells.groupBy(d).agg(F.sum("n_words").alias("n"))
-                   .orderBy(F.desc("n"), d).limit(MAX_CATEGORIES).collect())
-            named[d] = {r[d]: 0.0 for r in top}
-    bounded = [F.when(F.col(d).isin(*named[d]), F.col(d)).otherwise(F.lit(OTHER)).alias(d) for d in DIMENSIONS]
-    rows = (cells.select(*bounded, "n_words").groupBy(*DIMENSIONS).agg(F.sum("n_words").alias("n"))
-            .orderBy(*DIMENSIONS).collect())
-    tokens = np.array([float(r["n"]) for r in rows])
+def no_share(dimension: str) -> ValueError:
+    return ValueError(f"the targets for {dimension} give no category of the table a share")
+
+
+def rake_on_driver(rows: list, targets: dict[str, dict[str, float]], rate: float, rounds: int,
+                   stepwise: bool) -> np.ndarray:
+    """Keep probabilities of the cells, rows (k_source, k_lang, k_topic, n)."""
+    tokens = np.array([r["n"] for r in rows])
     members, shares = [], []
     for d in DIMENSIONS:
-        present = sorted({r[d] for r in rows})
+        present = sorted({r[f"k_{d}"] for r in rows})
         index = {k: i for i, k in enumerate(present)}
-        own = np.array([index[r[d]] for r in rows], dtype=int)
-        if targets and d in targets:
-            wanted = {k: named[d].get(k, 0.0) for k in present}
-            total = sum(wanted.values()) or 1.0
-            wanted = {k: v / total for k, v in wanted.items()}
+        own = np.array([index[r[f"k_{d}"]] for r in rows], dtype=int)
+        if d in targets:
+            wanted = {k: targets[d].get(k, 0.0) for k in present}
+            total = sum(wanted.values())
+            if total <= 0 and tokens.sum() > 0:
+                raise no_share(d)
+            wanted = {k: v / (total or 1.0) for k, v in wanted.items()}
         else:
-            sums = np.bincount(own, tokens, minlength=len(present)) if len(rows) else []
-            all_tokens = tokens.sum() or 1.0
-            wanted = tempered({k: s / all_tokens for k, s in zip(present, sums)})
+            sums = np.bincount(own, tokens, minlength=len(present))
+            wanted = tempered({k: s / (tokens.sum() or 1.0) for k, s in zip(present, sums)})
         members.append(own)
         shares.append(np.array([wanted.get(k, 0.0) for k in present]))
-    if not rows:
-        p = np.empty(0)
-    elif stepwise:
-        p = rake(tokens, members, shares, rate, rounds)
+    if stepwise:
+        return rake(tokens, members, shares, rate, rounds)
+    return rake_whole(tokens, members, shares, rate)
+
+
+def goal_table(cells: DataFrame, dimension: str, targets: dict[str, dict[str, float]], want: float, total: float,
+               stepwise: bool) -> DataFrame:
+    """(k_dimension, goal_dimension): the tokens to keep of each category."""
+    key = f"k_{dimension}"
+    sums = cells.groupBy(key).agg(F.sum("n").alias("of"))
+    if dimension in targets:
+        given = cells.sparkSession.createDataFrame([(k, float(v)) for k, v in targets[dimension].items()],
+                                                   f"{key} string, share double")
+        sums = sums.join(given, key, "left").withColumn("share", F.coalesce("share", F.lit(0.0)))
     else:
-        p = rake_whole(tokens, members, shares, rate)
-    return [(*(r[d] for d in DIMENSIONS), float(x)) for r, x in zip(rows, p)], named
+        sums = sums.withColumn("share", F.when(F.col("of") > 0, F.pow(F.col("of") / total, F.lit(TEMPERATURE)))
+                               .otherwise(0.0))
+    sums = stored(sums, "mixing-shares")
+    all_shares = sums.agg(F.sum("share")).first()[0]
+    if all_shares <= 0:
+        raise no_share(dimension)
+    scale, before = want / all_shares, None
+    while not stepwise and scale != before:  # bounded targets leave more to the others
+        full = F.col("share") * scale > F.col("of")
+        row = sums.agg(F.sum(F.when(full, F.col("of")).otherwise(0.0)).alias("full"),
+                       F.sum(F.when(full, 0.0).otherwise(F.col("share"))).alias("open")).first()
+        before = scale
+        if row["open"] > 0:
+            scale = max(scale, max(want - row["full"], 0.0) / row["open"])
+        else:
+            scale = before = sys.float_info.max
+    goal = F.col("share") * scale
+    return sums.select(key, (goal if stepwise else F.least(goal, "of")).alias(f"goal_{dimension}"))
+
+
+def rake_as_tables(cells: DataFrame, targets: dict[str, dict[str, float]], rate: float, rounds: int,
+                   stepwise: bool) -> DataFrame:
+    """``cells`` with ``cell_probability``; the steps of ``rake`` and ``rake_whole``."""
+    total = cells.agg(F.sum("n")).first()[0]
+    if not total:
+        return cells.withColumn("cell_probability", F.lit(rate))
+    want, heaviest = rate * total, 1.0 if stepwise else HEAVIEST
+    state = cells.withColumn("w", F.lit(float(rate)))
+    for d in DIMENSIONS:
+        state = state.join(goal_table(cells, d, targets, want, total, stepwise), f"k_{d}")
+    state = stored(state, "mixing-round")
+    probability = F.least(F.lit(1.0), F.col("w"))
+    for _ in range(rounds if stepwise else MOST_ROUNDS):
+        state = state.withColumn("before", probability)
+        for d in DIMENSIONS:
+            now = state.groupBy(f"k_{d}").agg(F.sum(F.col("n") * probability).alias("now"))
+            factor = F.when(F.col("now") > 0, F.col(f"goal_{d}") / F.col("now")).otherwise(1.0)
+            state = state.join(now, f"k_{d}").withColumn("w", F.least(F.lit(heaviest), F.col("w") * factor)).drop("now")
+        state = stored(state, "mixing-round")
+        if not stepwise and state.agg(F.max(F.abs(probability - F.col("before")))).first()[0] <= TOLERANCE:
+            break
+        state = state.drop("before")
+    scale = 1.0
+    for _ in range(0 if stepwise else MOST_ROUNDS):
+        scaled = F.least(F.lit(heaviest), F.col("w") * scale)
+        now = state.agg(F.sum(F.col("n") * F.least(F.lit(1.0), scaled))).first()[0]
+        if now <= 0 or abs(now - want) <= TOLERANCE * want:
+            break
+        scale *= want / now
+    return state.withColumn("cell_probability", F.least(F.lit(1.0), F.col("w") * scale))
+
+
+def cell_probabilities(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, rate: float = RATE,
+                       rounds: int = ROUNDS, stepwise: bool = False) -> DataFrame:
+    """(source, lang, topic, cell_probability) of each cell, from rows (source, lang, topic,
+    n_words).  ``targets`` has shares by dimension; dimensions without get tempered ones."""
+    targets = targets or {}
+    keys = {d: F.col(d) for d in DIMENSIONS}
+    for d, given in targets.items():
+        keys[d] = F.when(F.col(d).isin(*given), F.col(d)).otherwise(F.lit(OTHER)) if given else F.lit(OTHER)
+    rows = stored(cells.select(*DIMENSIONS, *(keys[d].alias(f"k_{d}") for d in DIMENSIONS),
+                               F.col("n_words").cast("double").alias("n")), "mixing-cells")
+    if rows.count() > DRIVER_CELLS:
+        return rake_as_tables(rows, targets, rate, rounds, stepwise).select(*DIMENSIONS, "cell_probability")
+    found = rows.orderBy(*DIMENSIONS).collect()
+    p = rake_on_driver(found, targets, rate, rounds, stepwise) if found else []
+    return F.broadcast(rows.sparkSession.createDataFrame(
+        [(*(r[d] for d in DIMENSIONS), float(x)) for r, x in zip(found, p)],
+        "source string, lang string, topic string, cell_probability double"))
 
 
 def mix(df: DataFrame, targets: dict[str, dict[str, float]] | None = None, id_col: str = "doc_id",
@@ -191,23 +260,15 @@ def mix(df: DataFrame, targets: dict[str, dict[str, float]] | None = None, id_co
              "lang": F.coalesce(F.col(lang_col).cast("string"), F.lit("")), "topic": text_topic(text)}
     cells = (df.select(*(c.alias(d) for d, c in inner.items()), word_count(text).alias("n_words"))
              .groupBy(*DIMENSIONS).agg(F.sum("n_words").alias("n_words")))
-    cells = cells.persist()
-    try:
-        found, named = cell_probabilities(cells, targets, rate, rounds, stepwise)
-    finally:
-        cells.unpersist()
-    key = F.concat_ws("\n", *(F.when(inner[d].isin(*named[d]), inner[d]).otherwise(F.lit(OTHER)) if named[d]
-                              else F.lit(OTHER) for d in DIMENSIONS))
-    spark = df.sparkSession
-    table = spark.createDataFrame([("\n".join(f[:3]), f[3]) for f in found], "cell_key string, cell_probability double")
+    found = cell_probabilities(cells, targets, rate, rounds, stepwise)
+    found = found.select(*(F.col(d).alias(f"{d}__") for d in DIMENSIONS), "cell_probability")
     kept = [c for c in df.columns if c.lower() not in ADDED]
-    rows = df.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(kept)), key.alias("cell_key"),
-                     inner["topic"].alias("topic"), word_count(text).alias("n_words"),
+    rows = df.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(kept)),
+                     *(inner[d].alias(f"{d}_") for d in DIMENSIONS), word_count(text).alias("n_words"),
                      unit_hash(F.col(id_col)).alias("u"))
-    # at most (MAX_CATEGORIES + 1) ** 2 * topics rows
-    out = rows.join(F.broadcast(table), "cell_key", "left")
+    out = rows.join(found, [F.col(f"{d}_") == F.col(f"{d}__") for d in DIMENSIONS], "left")
     p = F.coalesce("cell_probability", F.lit(rate))
-    return out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(kept)), "topic", "n_words",
+    return out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(kept)), F.col("topic_").alias("topic"), "n_words",
                       p.alias("keep_probability"), (F.col("u") < p).alias("kept"))
 
 
@@ -227,7 +288,7 @@ def marginals(mixed: DataFrame, dimension: str) -> DataFrame:
 
 def rake_sql(rate: float = RATE, rounds: int = ROUNDS) -> str:
     """The stepwise rake in one SQL statement over ``documents``, one step after the
-    other (for tables with at most MAX_CATEGORIES categories a dimension)."""
+    other."""
     topic = "CASE " + " ".join(
         f"WHEN length(t) > 0 AND ((length(t) - length(replace(t, '{m}', '')))::DOUBLE / {len(m)}) * 1000 "
         f">= length(t) * {least} THEN '{n}'" for n, m, least in TOPICS) + f" ELSE '{DEFAULT_TOPIC}' END"
