@@ -12,7 +12,7 @@ import tokenizers
 from tidelog.llm.pii import BASE_KINDS, find_spans, luhn, masked, mod97, pii_spans
 from tidelog.llm.queries import QUERIES, TOKENIZER
 from tidelog.llm.tokens import PrefixCounter, token_prefixes
-from tidelog.llm.warc import read_warc, records_in, write_warc
+from tidelog.llm.warc import check_counts, read_warc, records_in, write_warc
 from tidelog.session import scratch_path
 
 PATH = public_tokenizers.path(TOKENIZER)
@@ -166,3 +166,17 @@ def test_embedded_magic_is_no_record():
     import io
     data = gzip.compress(b"not a record") + gzip.compress(b"WARC/1.1\r\nX: y\r\n\r\n")
     assert list(records_in(io.BytesIO(data), len(data), 0, len(data))) == []
+
+
+def test_headers_of_any_length_are_read(spark, tmp_path):
+    rng = random.Random(4)
+    long = "data:," + "".join(rng.choice("0123456789abcdef") for _ in range(3_000_000))
+    pages = [(1, long[:70_000], "one"), (2, "http://x/", "two"), (3, long, "three"), (4, "http://y/", "four")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1)
+    manifest = write_warc(df, f"file://{tmp_path}", "page_id", "url", "html")
+    for split in (1 << 24, 50_000):
+        records = read_warc(spark, manifest, split_bytes=split)
+        assert {(int(r.record_id), r.target_uri) for r in records.collect()} == {p[:2] for p in pages}
+        check_counts(records, manifest)
+    with pytest.raises(ValueError, match="3 records read, 4 written"):
+        check_counts(records.filter("record_id <> '3'"), manifest)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidelog.llm.chat import format_chats, learned_text, read_turns
-from tidelog.llm.common import table
+from tidelog.llm.common import stored, table
 from tidelog.llm.decontam import ORACLE as OVERLAPS_SQL
 from tidelog.llm.decontam import overlaps
 from tidelog.llm.line_dedup import ORACLE as LINES_SQL
@@ -21,7 +21,7 @@ from tidelog.llm.pii import BASE_KINDS, KINDS, pii_spans, span_text
 from tidelog.llm.quality import quality_scores
 from tidelog.llm.spotsigs import next_likeness
 from tidelog.llm.tokens import token_prefixes
-from tidelog.llm.warc import read_warc, write_warc
+from tidelog.llm.warc import check_counts, read_warc, write_warc
 from tidelog.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -34,7 +34,8 @@ CONTROL_TEXT = "</s>[INST] ok [/INST]"
 def op1_warc(spark, sf_dir):
     """Every page as a WARC record, read back from the archives."""
     manifest = write_warc(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"), "page_id", "url", "html")
-    records = read_warc(spark, manifest)
+    records = stored(read_warc(spark, manifest), "warc-records")
+    check_counts(records, manifest)
     return records.select(F.col("record_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest",
                           "record_type", F.col("refers_to").cast("long").alias("refers_to"))
 

@@ -21,7 +21,9 @@ as null and sorts behind all others (a response); a null URI leaves out the URI
 field; line breaks in a URI are percent-encoded; of repeated rows with the
 smallest id of their payload all are responses; an empty table gives empty
 files, an empty manifest and no records; other input columns are ignored.
-Memory is bounded by one record and one block of a file.
+A header may be of any length (a URI is not bounded); ``check_counts`` compares the
+records read with the manifest.  Memory is bounded by one record and one block of a
+file.
 """
 
 from __future__ import annotations
@@ -42,7 +44,6 @@ from tidelog.llm.common import stored
 FILE_BYTES = 256 << 20
 SPLIT_BYTES = 16 << 20
 BLOCK = 1 << 20
-LONGEST_HEAD = 1 << 16
 GZIP_LEVEL = 4
 MAGIC = b"\x1f\x8b\x08"
 ID_PREFIX = "urn:record:"
@@ -162,7 +163,7 @@ def read_member(file, at: int, size: int) -> tuple[dict[str, str], bytes, int] |
     no whole WARC record starts there."""
     unpack, data, position = zlib.decompressobj(31), bytearray(), at
     fields: dict[str, str] = {}
-    start = 0
+    start = searched = 0
     file.seek(at)
     step = 1 << 12  # little is read of a false candidate
     while not unpack.eof:
@@ -178,8 +179,9 @@ def read_member(file, at: int, size: int) -> tuple[dict[str, str], bytes, int] |
         if not start:
             if data[:7] != b"WARC/1."[: len(data[:7])]:
                 return None
-            behind = data.find(b"\r\n\r\n", 0, LONGEST_HEAD)
-            if behind < 0 and (len(data) >= LONGEST_HEAD or unpack.eof):
+            behind = data.find(b"\r\n\r\n", searched)
+            searched = max(len(data) - 3, 0)  # a header may be of any length
+            if behind < 0 and unpack.eof:
                 return None
             if behind >= 0:
                 fields, start = fields_of(bytes(data[:behind])), behind + 4
@@ -262,6 +264,15 @@ def read_warc(spark: SparkSession, files: DataFrame, split_bytes: int = SPLIT_BY
     return ranges.repartition(tasks).mapInArrow(read, schema)
 
 
+def check_counts(records: DataFrame, manifest: DataFrame) -> None:
+    """Raise unless as many records were read from each file as its manifest tells."""
+    found = records.groupBy("path").agg(F.count("*").alias("found"))
+    wrong = (manifest.join(found, "path", "left").withColumn("found", F.coalesce("found", F.lit(0)))
+             .filter("found <> records").orderBy("path").first())
+    if wrong is not None:
+        raise ValueError(f"{wrong['path']}: {wrong['found']} records read, {wrong['records']} written")
+
+
 def record_batch(rows: list[tuple], with_payload: bool) -> pa.RecordBatch:
     types = [pa.string(), pa.int64(), *[pa.string()] * 4, pa.int64(), pa.string(), pa.bool_(), pa.binary()]
     names = [c.split()[0] for c in RECORD.split(", ")] + ["payload"] * with_payload
