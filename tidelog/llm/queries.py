@@ -13,10 +13,16 @@ from tidelog.llm.chat import format_chats, learned_text, read_turns
 from tidelog.llm.common import stored, table
 from tidelog.llm.decontam import ORACLE as OVERLAPS_SQL
 from tidelog.llm.decontam import overlaps
+from tidelog.llm.embed_join import ORACLE as EMBEDDINGS_SQL
+from tidelog.llm.embed_join import embedding_links
+from tidelog.llm.fim import ORACLE as FIM_SQL
+from tidelog.llm.fim import fill_in_middle, with_restored
 from tidelog.llm.line_dedup import ORACLE as LINES_SQL
 from tidelog.llm.line_dedup import dedup_lines
 from tidelog.llm.mixing import mix, rake_sql
 from tidelog.llm.ngram_join import ngram_components
+from tidelog.llm.periodic import ORACLE as RUNS_SQL
+from tidelog.llm.periodic import longest_run, looped, periodic_runs, run_lines
 from tidelog.llm.pii import BASE_KINDS, KINDS, pii_spans, span_text
 from tidelog.llm.quality import quality_scores
 from tidelog.llm.spotsigs import next_likeness
@@ -109,6 +115,28 @@ def op10_decontamination(spark, sf_dir):
     return overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_periodic_runs(spark, sf_dir):
+    """Periodic runs of words in all texts, a tenth of which repeat a stretch to their end."""
+    found = periodic_runs(looped(table(spark, sf_dir, "documents")))
+    out = found.withColumn("top", F.when(F.size("runs") > 0, longest_run("runs")))
+    return out.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "top.start", "top.length", "top.period",
+                      F.floor(1000 * F.col("top.length") / F.col("top.period")).alias("exponent_milli"),
+                      F.sha2(run_lines("runs"), 256).alias("runs_sha256"),
+                      F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op12_fill_in_middle(spark, sf_dir):
+    """Every whole text arranged for filling in its middle, and restored from that."""
+    out = with_restored(fill_in_middle(table(spark, sf_dir, "documents")))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                      F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
+
+
+def op13_embedding_join(spark, sf_dir):
+    """Links and components of all vectors with a cosine of 0.9 or more."""
+    return embedding_links(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def pipeline(spark, sf_dir):
     """All stages of the corpus pipeline over ``documents``."""
     import corpus_pipeline
@@ -127,6 +155,9 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_mixing": op9_mixing,
     "op10_decontamination": op10_decontamination,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_embedding_join": op13_embedding_join,
     "pipeline": pipeline,
 }
 # base32 of the 40 hexadecimal digits: five of them are four letters
@@ -146,6 +177,9 @@ ORACLES: dict[str, str] = {
     "op9_mixing": rake_sql(),
     "op3_line_dedup": LINES_SQL,
     "op10_decontamination": OVERLAPS_SQL,
+    "op11_periodic_runs": RUNS_SQL,
+    "op12_fill_in_middle": FIM_SQL,
+    "op13_embedding_join": EMBEDDINGS_SQL,
     "op7_chat": r"""
         WITH c AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
