@@ -73,3 +73,9 @@ def test_non_match_gives_empty_strings_and_null_line_gives_nulls(spark):
     garbage, null = parse(spark, ["garbage", None])
     assert garbage["client_ip"] == "garbage" and garbage["method"] == "" and garbage["timestamp"] is None
     assert all(v is None for v in null.values())
+
+
+def test_a_year_beyond_all_timestamps_is_null_and_does_not_stop_the_job(spark):
+    rows = parse(spark, ['1.1.1.1 - - [10/Oct/2023999999:13:55:36 -0700] "GET / HTTP/1.1" 200 1',
+                         '1.1.1.1 - - [10/Oct/+2023999999:13:55:36 -0700] "GET / HTTP/1.1" 200 1'])
+    assert [(r["timestamp"], r["status_code"]) for r in rows] == [(None, 200)] * 2
