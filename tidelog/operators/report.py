@@ -75,7 +75,12 @@ def time_and_volume(silver: DataFrame) -> DataFrame:
     first (map-side combined) aggregation everything is tiny.  The worst
     weekday is the one with most client errors, ties by name, nulls last.
     """
-    weekly = daily_rollup(silver).groupBy(
+    return totals_of_days(daily_rollup(silver))
+
+
+def totals_of_days(daily: DataFrame) -> DataFrame:
+    """``time_and_volume`` from the rows of ``daily_rollup``."""
+    weekly = daily.groupBy(
         F.date_format(F.col("date"), WEEKDAY_PATTERN).alias("day_of_week")
     ).agg(
         F.sum("client_errors").alias("client_errors"),
@@ -104,7 +109,11 @@ def clients(silver: DataFrame, k: int = TOP_CLIENT_IPS) -> DataFrame:
     union of two one-row results and a two-row aggregate, inside one plan,
     so Spark shuffles the per-client counts once (``ReusedExchange``).
     """
-    per_ip = hits_by_client_ip(silver)
+    return clients_of_hits(hits_by_client_ip(silver), k)
+
+
+def clients_of_hits(per_ip: DataFrame, k: int = TOP_CLIENT_IPS) -> DataFrame:
+    """``clients`` from the hits per client."""
     top = ranked_list(top_k(per_ip, "client_ip", k), "client_ip", "client_ip")
     # every group has access_count >= 1; reading it keeps the per-client
     # aggregate identical in both branches (otherwise pruning turns this one
@@ -121,9 +130,15 @@ def clients(silver: DataFrame, k: int = TOP_CLIENT_IPS) -> DataFrame:
 
 def access_report(silver: DataFrame, top_ips: int = TOP_CLIENT_IPS, top_endpoints: int = TOP_ENDPOINTS) -> DataFrame:
     """The one-row gold report over a silver access log (schema in README)."""
-    who = clients(silver, top_ips).select(F.struct("top_ips", "distinct_ip_count").alias("c"))
-    pages = ranked_list(top_k(page_hits(silver), "endpoint", top_endpoints), "endpoint", "endpoint")
-    totals = time_and_volume(silver)
+    return report_of(hits_by_client_ip(silver), page_hits(silver), daily_rollup(silver), top_ips, top_endpoints)
+
+
+def report_of(per_ip: DataFrame, per_page: DataFrame, daily: DataFrame, top_ips: int = TOP_CLIENT_IPS,
+              top_endpoints: int = TOP_ENDPOINTS) -> DataFrame:
+    """The report from hits per client, hits per page and the daily rollup."""
+    who = clients_of_hits(per_ip, top_ips).select(F.struct("top_ips", "distinct_ip_count").alias("c"))
+    pages = ranked_list(top_k(per_page, "endpoint", top_endpoints), "endpoint", "endpoint")
+    totals = totals_of_days(daily)
     c = who.scalar()
     return totals.select(
         c["top_ips"].alias("top_ips"),

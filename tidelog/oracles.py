@@ -82,6 +82,20 @@ def _quality(noisy: bool) -> str:
         status, rule, CAST(percentage_ok AS DOUBLE) AS percentage_ok, 'silver.s_access_logs' AS verified_table FROM r"""
 
 
+LISTS = f"""SELECT 'top_ips' AS list, row_number() OVER (ORDER BY access_count DESC, client_ip ASC NULLS LAST) - 1 AS rank,
+            client_ip AS entry, access_count FROM ({TOP_IPS}) i
+        UNION ALL SELECT 'top_endpoints',
+            row_number() OVER (ORDER BY access_count DESC, endpoint ASC NULLS LAST) - 1, endpoint, access_count
+        FROM ({TOP_PAGES}) p"""
+DAYS = """d AS (SELECT client_ip, CAST(timestamp AS DATE) AS day FROM silver),
+        b AS (SELECT min(day) AS low, min(day) + CAST((max(day) - min(day)) // 2 AS INTEGER) AS middle FROM d)"""
+
+
+def _range(name: str, condition: str) -> str:
+    return (f"SELECT '{name}' AS days, COUNT(DISTINCT client_ip) AS distinct_ip_count, COUNT(DISTINCT day) "
+            f"AS distinct_day_count FROM d, b WHERE {condition}")
+
+
 LINES = event_lines_duckdb(noisy=True)
 AUDIT = execution_rows_duckdb()
 
@@ -129,12 +143,18 @@ ORACLES: dict[str, str] = {
         FROM orders GROUP BY o_orderstatus, o_orderpriority""",
     "layer_roundtrip": f"SELECT value, {RUN_DATE_SQL} AS processed_date FROM ({LINES}) l",
     "pipeline_gold": f"{_with(noisy=False)} {REPORT_SCALARS}",
-    "pipeline_sql_gold": f"""{_with(noisy=False)}
-        SELECT 'top_ips' AS list, row_number() OVER (ORDER BY access_count DESC, client_ip ASC NULLS LAST) - 1 AS rank,
-            client_ip AS entry, access_count FROM ({TOP_IPS}) i
-        UNION ALL SELECT 'top_endpoints',
-            row_number() OVER (ORDER BY access_count DESC, endpoint ASC NULLS LAST) - 1, endpoint, access_count
-        FROM ({TOP_PAGES}) p""",
+    "pipeline_sql_gold": f"{_with(noisy=False)} {LISTS}",
+    "top_clients_sketched": f"{_with()} {TOP_IPS}",
+    "top_pages_sketched": f"{_with()} {TOP_PAGES}",
+    "incremental_scalars": f"{_with()} {REPORT_SCALARS}",
+    "incremental_lists": f"{_with()} {LISTS}",
+    "incremental_gold": f"{_with(noisy=False)} {REPORT_SCALARS}",
+    "range_distincts": f"{_with()}, {DAYS} " + " UNION ALL ".join([
+        _range("all", "true"), _range("first_half", "day <= middle"), _range("from_middle", "day >= middle"),
+        _range("week", "day BETWEEN middle AND middle + 6")]),
+    "rolling_clients": f"""{_with()}, {DAYS} SELECT e.day AS date, COUNT(DISTINCT client_ip) AS distinct_ip_count
+        FROM (SELECT DISTINCT day FROM d WHERE day IS NOT NULL) e JOIN d ON d.day BETWEEN e.day - 6 AND e.day
+        GROUP BY e.day""",
     "pipeline_kpis": f"{_with(noisy=False)} {REPORT_SCALARS}",
     "pipeline_csv_log": f"{_with(noisy=False)} SELECT * FROM silver",
     "pipeline_audit": f"""SELECT step, status, CASE WHEN step IN ('landing', 'bronze') THEN 2 ELSE 1 END AS runs,

@@ -26,12 +26,14 @@ from pyspark.sql import functions as F
 from tidelog.functions.http import response_category
 from tidelog.functions.logparse import SILVER_LOG_COLUMNS, clean_endpoint, parse_access_log
 from tidelog.operators import metrics as M
+from tidelog.operators.heavy import top_clients_by_sketch, top_pages_by_sketch
 from tidelog.operators.monitoring import latest_runs, run_durations, run_status
 from tidelog.operators.quality import QualityGateError, quality_rows
 from tidelog.operators.report import access_report, access_report_sql, report_frames
 from tidelog.plans.audit import insert_execution_log, save_execution_log
 from tidelog.plans.pipeline import log_analysis, monitoring_analysis
 from tidelog.plans.pipeline import run as run_pipeline
+from tidelog.plans.report_state import ReportState, incremental_report
 from tidelog.plans.spec import QUALITY_TABLE, PipelineSpec
 from tidelog.plans.tables import (
     append_rows,
@@ -205,6 +207,69 @@ def report_sql_scalars(spark, sf_dir):
     return spark.sql(access_report_sql(view)).select(*SCALARS)
 
 
+def top_clients_sketched(spark, sf_dir):
+    return top_clients_by_sketch(stored_silver(spark, sf_dir))
+
+
+def top_pages_sketched(spark, sf_dir):
+    return top_pages_by_sketch(stored_silver(spark, sf_dir))
+
+
+# --- the report kept up by deliveries ---------------------------------------------------
+
+DELIVERIES = 3
+
+
+def _report_state(spark, sf_dir) -> ReportState:
+    """All lines in deliveries that share days; one of them is delivered twice.  As in
+    production, the state is written once (per session) and read by all that need it."""
+    silver = stored_silver(spark, sf_dir)
+    key = ("state", spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED:
+        path = scratch_path(spark, "report-state")
+        part = F.pmod(F.xxhash64(*SILVER_LOG_COLUMNS), F.lit(DELIVERIES))
+        for i in [*range(DELIVERIES), 1]:
+            ReportState(spark, path).add(silver.filter(part == i), f"d{i}")
+        _STORED[key] = path
+    return ReportState(spark, _STORED[key])
+
+
+def incremental_scalars(spark, sf_dir):
+    return _report_state(spark, sf_dir).report().select(*SCALARS)
+
+
+def incremental_lists(spark, sf_dir):
+    return _ranked_lists(_report_state(spark, sf_dir).report())
+
+
+def incremental_gold(spark, sf_dir):
+    """Two pipeline runs that load one delivery each; gold covers both of them."""
+    base = scratch_path(spark, "pipeline-incremental")
+    lines = _lines(spark, sf_dir, noisy=False)
+    part = F.pmod(F.xxhash64("value"), F.lit(2))
+    spec = _spec(spark, base, lines.filter(part == 0), gold_builder=incremental_report(f"{base}/state"), once_only=True)
+    run_pipeline(spark, spec, 4, RUN_TS)
+    lines.filter(part == 1).write.mode("append").text(f"{base}/landing")
+    run_pipeline(spark, spec, 4, RUN_TS + dt.timedelta(hours=1))
+    return spark.table(spec.gold_table).select(*SCALARS)
+
+
+def range_distincts(spark, sf_dir):
+    """Distinct clients and days of all lines and of three ranges of days, from the state."""
+    state = _report_state(spark, sf_dir)
+    low, high = state.daily().agg(F.min("date"), F.max("date")).first()
+    middle = low + (high - low) // 2
+    ranges = {"all": (None, None), "first_half": (None, middle), "from_middle": (middle, None),
+              "week": (middle, middle + dt.timedelta(days=6))}
+    out = [state.distinct_counts(*r).withColumn("days", F.lit(name)) for name, r in ranges.items()]
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
+
+
+def rolling_clients(spark, sf_dir):
+    """Distinct clients of the seven days up to each day, from the state."""
+    return _report_state(spark, sf_dir).rolling_clients(7)
+
+
 # --- quality ------------------------------------------------------------------------
 
 def quality_rows_clean(spark, sf_dir):
@@ -269,7 +334,11 @@ def pipeline_sql_gold(spark, sf_dir):
     spec = _spec(spark, base, _lines(spark, sf_dir, noisy=False))
     spec = replace(spec, sql_gold=access_report_sql(spec.silver_table))
     run_pipeline(spark, spec, 4, RUN_TS)
-    gold = spark.table(spec.gold_table)
+    return _ranked_lists(spark.table(spec.gold_table))
+
+
+def _ranked_lists(gold: DataFrame) -> DataFrame:
+    """The nested lists of a report taken apart again, with the rank of each entry."""
     lists = [gold.select(F.lit(name).alias("list"), F.posexplode(name).alias("rank", "e"))
              .select("list", F.col("rank").cast("long").alias("rank"), F.col(f"e.{key}").alias("entry"),
                      F.col("e.access_count").alias("access_count"))
@@ -444,6 +513,13 @@ QUERIES: dict[str, Query] = {
     "report_top_ips": report_top_ips,
     "report_top_endpoints": report_top_endpoints,
     "report_sql_scalars": report_sql_scalars,
+    "top_clients_sketched": top_clients_sketched,
+    "top_pages_sketched": top_pages_sketched,
+    "incremental_scalars": incremental_scalars,
+    "incremental_lists": incremental_lists,
+    "incremental_gold": incremental_gold,
+    "range_distincts": range_distincts,
+    "rolling_clients": rolling_clients,
     "quality_rows": quality_rows_clean,
     "quality_rows_noisy": quality_rows_noisy,
     "quality_rows_table": quality_rows_table,
