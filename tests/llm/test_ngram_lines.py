@@ -178,3 +178,12 @@ def test_queries_equal_their_sql(spark, sf_dir, name):
     want = con.sql(ORACLES[name])
     got = QUERIES[name](spark, sf_dir).select(*want.columns).collect()
     assert sorted(map(tuple, got)) == sorted(want.fetchall())
+
+
+def test_lines_of_texts_with_equal_ids_are_their_own(spark):
+    shared = "this line is in both of the texts"
+    rows = [(None, f"the first line of one text\n{shared}"), (None, f"{shared}\nanother line of the other text"),
+            (4, f"{shared}\nthe fourth has this line too"), (4, f"a line before the shared one\n{shared}"), (4, None)]
+    out = dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    lines = [line for r in out if r.text is not None for line in r.text.split("\n")]
+    assert sorted(lines) == sorted({line for _, t in rows if t for line in t.split("\n")})

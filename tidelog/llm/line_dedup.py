@@ -3,8 +3,8 @@
 Lines (between line breaks) of at least ``MIN_CHARS`` code points count as equal
 when they are the same or within ``max_edits`` insertions, deletions and
 substitutions of each other, directly or through other lines.  Of equal lines the
-first one (smallest document id, then line number) stays; the others leave their
-documents.  Shorter lines always stay.
+first one (smallest document id, then hash of the document, then line number) stays;
+the others leave their documents.  Shorter lines always stay.
 
 1. The same lines form one class; classes meet by hash, counted before they move.
 2. A line is split into ``max_edits + 1`` segments of nearly equal length.  Of two
@@ -23,7 +23,8 @@ documents.  Shorter lines always stay.
    their component are taken out of their documents.
 
 Everything is DataFrame functions.  Defined cases: null text stays null; rows with
-equal ids are one document; null ids are one id, before all others; documents that
+equal ids and texts are one document, rows with equal ids and other texts are documents
+of their own; a null id is an id, before all others; documents that
 lose all their lines keep an empty text; an empty table gives an empty one; extra
 columns are returned as they are, and those named like the added ones (``n_lines``,
 ``n_removed``) are replaced.
@@ -42,7 +43,6 @@ MAX_EDITS = 1
 LETTERS = "aeit"
 LONGEST_COMMON = 1 << 12  # so much of a common start or end is left out at most
 FIRST_CHARS = 32  # most pairs that are not near are told from so many characters
-BROADCAST_LINES = 1_000_000  # so many hashes are sent to all tasks at most
 ADDED = ("n_lines", "n_removed")
 
 
@@ -162,8 +162,8 @@ def within(rows: DataFrame, a: str, b: str, max_edits: int) -> DataFrame:
 # --- lines -----------------------------------------------------------------------------------
 
 def lines_of(docs: DataFrame, min_chars: int) -> DataFrame:
-    """The lines that count: (doc, no, line)."""
-    out = docs.select("doc", F.posexplode(F.split("t", "\n")).alias("no", "line"))
+    """The lines that count: (doc, of, no, line), ``of`` the hash of the document's text."""
+    out = docs.select("doc", "of", F.posexplode(F.split("t", "\n")).alias("no", "line"))
     return out.filter(F.length("line") >= min_chars)
 
 
@@ -187,10 +187,9 @@ def near_lines(lines: DataFrame, max_edits: int) -> DataFrame:
     """Pairs (a, b) of hashes of lines within ``max_edits`` edits."""
     pairs = stored(candidates(lines, max_edits), "line-candidates")
     names = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    # a few lines are sent to where the texts are, many are joined by a shuffle
-    few = names.count() <= BROADCAST_LINES
-    texts = (lines.select(F.xxhash64("line").alias("id"), "line")
-             .join(F.broadcast(names) if few else names, "id", "left_semi").dropDuplicates(["id"]))
+    # stored, so that Spark knows their size: few are sent to the lines, many are shuffled
+    names = stored(names, "line-names")
+    texts = lines.select(F.xxhash64("line").alias("id"), "line").join(names, "id", "left_semi").dropDuplicates(["id"])
     texts = stored(texts, "line-texts")
     left = texts.select(F.col("id").alias("a"), F.col("line").alias("x"))
     right = texts.select(F.col("id").alias("b"), F.col("line").alias("y"))
@@ -201,9 +200,9 @@ def near_lines(lines: DataFrame, max_edits: int) -> DataFrame:
 
 
 def repeated_lines(lines: DataFrame, max_edits: int) -> DataFrame:
-    """The lines to take out: (doc, no)."""
+    """The lines to take out: (doc, of, no)."""
     classes = lines.groupBy(F.xxhash64("line").alias("id")).agg(
-        F.min(F.struct("doc", "no")).alias("first"), F.count("*").alias("n"))
+        F.min(F.struct("doc", "of", "no")).alias("first"), F.count("*").alias("n"))
     parts = components(near_lines(lines, max_edits)) if max_edits else None
     if parts is not None:
         classes = classes.join(parts, F.col("id") == F.col("node"), "left")
@@ -214,20 +213,21 @@ def repeated_lines(lines: DataFrame, max_edits: int) -> DataFrame:
             "id", F.coalesce("least", "first").alias("first"))
     else:
         classes = stored(classes.filter("n > 1").select("id", "first"), "line-classes")
-    rows = lines.select(F.xxhash64("line").alias("id"), F.struct("doc", "no").alias("at")).join(classes, "id")
-    return rows.filter(~F.col("at").eqNullSafe(F.col("first"))).select("at.doc", "at.no")
+    rows = lines.select(F.xxhash64("line").alias("id"), F.struct("doc", "of", "no").alias("at")).join(classes, "id")
+    return rows.filter(~F.col("at").eqNullSafe(F.col("first"))).select("at.doc", "at.of", "at.no")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS,
                 max_edits: int = MAX_EDITS) -> DataFrame:
     """The rows of ``docs`` without repeated lines, with ``n_lines`` (before) and ``n_removed``."""
-    lines = lines_of(docs.select(F.col(id_col).alias("doc"), F.col(text_col).cast("string").alias("t")), min_chars)
+    text = F.col(text_col).cast("string")
+    named = [F.col(id_col).alias("doc"), F.xxhash64(text).alias("of"), text.alias("t")]
+    lines = lines_of(docs.select(*named), min_chars)
     removed = (repeated_lines(lines, max_edits).distinct()
-               .groupBy("doc").agg(F.collect_list("no").alias("removed")).withColumnRenamed("doc", "doc_"))
+               .groupBy("doc", "of").agg(F.collect_list("no").alias("removed")).toDF("doc_", "of_", "removed"))
     kept = [c for c in docs.columns if c.lower() not in ADDED]
-    inner = docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(kept)), F.col(id_col).alias("doc"),
-                        F.col(text_col).cast("string").alias("t"))
-    rows = inner.join(removed, F.col("doc").eqNullSafe(F.col("doc_")), "left")
+    inner = docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(kept)), *named)
+    rows = inner.join(removed, F.col("doc").eqNullSafe(F.col("doc_")) & (F.col("of") == F.col("of_")), "left")
     lines_left = F.filter(F.split("t", "\n"), lambda line, i: ~F.array_contains("removed", i))
     text = F.when(F.col("removed").isNull(), F.col("t")).otherwise(F.array_join(lines_left, "\n"))
     columns = [(text if c == text_col else F.col(f"c{i}")).alias(c) for i, c in enumerate(kept)]
