@@ -11,10 +11,6 @@ met as far as the rounds bring them; the weights are then scaled until the kept
 tokens are ``rate`` of all, so the rate is met wherever categories with a target
 above 0 have so many tokens.  ``marginals`` gives wanted and reached shares.
 
-``stepwise`` rakes as the SQL of operator 9 does: probabilities are cut to 1 in
-every step and no target is bounded, for ``ROUNDS`` rounds.  Where targets exceed
-the tokens there are, that keeps less than ``rate``.
-
 Each document is then kept with the calibrated probability of its cell, by a hash
 of its id, so the same documents are kept on every run and on every retry.
 
@@ -39,7 +35,6 @@ columns are returned as they are, and columns named like those added
 
 from __future__ import annotations
 
-import itertools
 import sys
 
 import numpy as np
@@ -50,7 +45,6 @@ from tidelog.llm.common import stored, whole_text
 
 RATE = 0.7  # share of all tokens to keep
 TEMPERATURE = 0.5
-ROUNDS = 10  # of the stepwise rake
 TOLERANCE = 1e-6
 MOST_ROUNDS = 1000  # of the rake to convergence
 HEAVIEST = 1e9  # weights grow no further where targets cannot be met together
@@ -90,20 +84,6 @@ def tempered(shares: dict[str, float], temperature: float = TEMPERATURE) -> dict
     return {k: v / total for k, v in lifted.items()}
 
 
-def rake(tokens: np.ndarray, members: list[np.ndarray], targets: list[np.ndarray], rate: float = RATE,
-         rounds: int = ROUNDS) -> np.ndarray:
-    """Keep probabilities of the cells: ``members[d]`` is each cell's category in
-    dimension d, ``targets[d]`` the target shares of its categories."""
-    p = np.full(len(tokens), rate)
-    want = rate * tokens.sum()
-    for _ in range(rounds):
-        for own, target in zip(members, targets):
-            now = np.bincount(own, tokens * p, minlength=len(target))
-            factor = np.divide(target * want, now, out=np.ones(len(target)), where=now > 0)
-            p = np.minimum(1.0, p * factor[own])
-    return p
-
-
 def bounded_goals(target: np.ndarray, tokens: np.ndarray, want: float) -> np.ndarray:
     """Tokens to keep of each category: its target share of ``want``, at most its
     tokens; what bounded ones leave goes to the others in proportion to their targets."""
@@ -118,9 +98,10 @@ def bounded_goals(target: np.ndarray, tokens: np.ndarray, want: float) -> np.nda
         full |= over
 
 
-def rake_whole(tokens: np.ndarray, members: list[np.ndarray], targets: list[np.ndarray],
-               rate: float = RATE) -> np.ndarray:
-    """Keep probabilities of the cells that meet the bounded targets and the rate."""
+def rake(tokens: np.ndarray, members: list[np.ndarray], targets: list[np.ndarray], rate: float = RATE) -> np.ndarray:
+    """Keep probabilities of the cells that meet the bounded targets and the rate:
+    ``members[d]`` is each cell's category in dimension d, ``targets[d]`` the target
+    shares of its categories."""
     want = rate * tokens.sum()
     goals = [bounded_goals(target, np.bincount(own, tokens, minlength=len(target)), want)
              for own, target in zip(members, targets)]
@@ -145,8 +126,7 @@ def no_share(dimension: str) -> ValueError:
     return ValueError(f"the targets for {dimension} give no category of the table a share")
 
 
-def rake_on_driver(rows: list, targets: dict[str, dict[str, float]], rate: float, rounds: int,
-                   stepwise: bool) -> np.ndarray:
+def rake_on_driver(rows: list, targets: dict[str, dict[str, float]], rate: float) -> np.ndarray:
     """Keep probabilities of the cells, rows (k_source, k_lang, k_topic, n)."""
     tokens = np.array([r["n"] for r in rows])
     members, shares = [], []
@@ -165,13 +145,11 @@ def rake_on_driver(rows: list, targets: dict[str, dict[str, float]], rate: float
             wanted = tempered({k: s / (tokens.sum() or 1.0) for k, s in zip(present, sums)})
         members.append(own)
         shares.append(np.array([wanted.get(k, 0.0) for k in present]))
-    if stepwise:
-        return rake(tokens, members, shares, rate, rounds)
-    return rake_whole(tokens, members, shares, rate)
+    return rake(tokens, members, shares, rate)
 
 
-def goal_table(cells: DataFrame, dimension: str, targets: dict[str, dict[str, float]], want: float, total: float,
-               stepwise: bool) -> DataFrame:
+def goal_table(cells: DataFrame, dimension: str, targets: dict[str, dict[str, float]], want: float,
+               total: float) -> DataFrame:
     """(k_dimension, goal_dimension): the tokens to keep of each category."""
     key = f"k_{dimension}"
     sums = cells.groupBy(key).agg(F.sum("n").alias("of"))
@@ -187,7 +165,7 @@ def goal_table(cells: DataFrame, dimension: str, targets: dict[str, dict[str, fl
     if all_shares <= 0:
         raise no_share(dimension)
     scale, before = want / all_shares, None
-    while not stepwise and scale != before:  # bounded targets leave more to the others
+    while scale != before:  # bounded targets leave more to the others
         full = F.col("share") * scale > F.col("of")
         row = sums.agg(F.sum(F.when(full, F.col("of")).otherwise(0.0)).alias("full"),
                        F.sum(F.when(full, 0.0).otherwise(F.col("share"))).alias("open")).first()
@@ -196,35 +174,33 @@ def goal_table(cells: DataFrame, dimension: str, targets: dict[str, dict[str, fl
             scale = max(scale, max(want - row["full"], 0.0) / row["open"])
         else:
             scale = before = sys.float_info.max
-    goal = F.col("share") * scale
-    return sums.select(key, (goal if stepwise else F.least(goal, "of")).alias(f"goal_{dimension}"))
+    return sums.select(key, F.least(F.col("share") * scale, "of").alias(f"goal_{dimension}"))
 
 
-def rake_as_tables(cells: DataFrame, targets: dict[str, dict[str, float]], rate: float, rounds: int,
-                   stepwise: bool) -> DataFrame:
-    """``cells`` with ``cell_probability``; the steps of ``rake`` and ``rake_whole``."""
+def rake_as_tables(cells: DataFrame, targets: dict[str, dict[str, float]], rate: float) -> DataFrame:
+    """``cells`` with ``cell_probability``; the steps of ``rake``."""
     total = cells.agg(F.sum("n")).first()[0]
     if not total:
         return cells.withColumn("cell_probability", F.lit(rate))
-    want, heaviest = rate * total, 1.0 if stepwise else HEAVIEST
+    want = rate * total
     state = cells.withColumn("w", F.lit(float(rate)))
     for d in DIMENSIONS:
-        state = state.join(goal_table(cells, d, targets, want, total, stepwise), f"k_{d}")
+        state = state.join(goal_table(cells, d, targets, want, total), f"k_{d}")
     state = stored(state, "mixing-round")
     probability = F.least(F.lit(1.0), F.col("w"))
-    for _ in range(rounds if stepwise else MOST_ROUNDS):
+    for _ in range(MOST_ROUNDS):
         state = state.withColumn("before", probability)
         for d in DIMENSIONS:
             now = state.groupBy(f"k_{d}").agg(F.sum(F.col("n") * probability).alias("now"))
             factor = F.when(F.col("now") > 0, F.col(f"goal_{d}") / F.col("now")).otherwise(1.0)
-            state = state.join(now, f"k_{d}").withColumn("w", F.least(F.lit(heaviest), F.col("w") * factor)).drop("now")
+            state = state.join(now, f"k_{d}").withColumn("w", F.least(F.lit(HEAVIEST), F.col("w") * factor)).drop("now")
         state = stored(state, "mixing-round")
-        if not stepwise and state.agg(F.max(F.abs(probability - F.col("before")))).first()[0] <= TOLERANCE:
+        if state.agg(F.max(F.abs(probability - F.col("before")))).first()[0] <= TOLERANCE:
             break
         state = state.drop("before")
     scale = 1.0
-    for _ in range(0 if stepwise else MOST_ROUNDS):
-        scaled = F.least(F.lit(heaviest), F.col("w") * scale)
+    for _ in range(MOST_ROUNDS):
+        scaled = F.least(F.lit(HEAVIEST), F.col("w") * scale)
         now = state.agg(F.sum(F.col("n") * F.least(F.lit(1.0), scaled))).first()[0]
         if now <= 0 or abs(now - want) <= TOLERANCE * want:
             break
@@ -232,8 +208,8 @@ def rake_as_tables(cells: DataFrame, targets: dict[str, dict[str, float]], rate:
     return state.withColumn("cell_probability", F.least(F.lit(1.0), F.col("w") * scale))
 
 
-def cell_probabilities(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, rate: float = RATE,
-                       rounds: int = ROUNDS, stepwise: bool = False) -> DataFrame:
+def cell_probabilities(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None,
+                       rate: float = RATE) -> DataFrame:
     """(source, lang, topic, cell_probability) of each cell, from rows (source, lang, topic,
     n_words).  ``targets`` has shares by dimension; dimensions without get tempered ones."""
     targets = targets or {}
@@ -243,24 +219,24 @@ def cell_probabilities(cells: DataFrame, targets: dict[str, dict[str, float]] |
     rows = stored(cells.select(*DIMENSIONS, *(keys[d].alias(f"k_{d}") for d in DIMENSIONS),
                                F.col("n_words").cast("double").alias("n")), "mixing-cells")
     if rows.count() > DRIVER_CELLS:
-        return rake_as_tables(rows, targets, rate, rounds, stepwise).select(*DIMENSIONS, "cell_probability")
+        return rake_as_tables(rows, targets, rate).select(*DIMENSIONS, "cell_probability")
     found = rows.orderBy(*DIMENSIONS).collect()
-    p = rake_on_driver(found, targets, rate, rounds, stepwise) if found else []
+    p = rake_on_driver(found, targets, rate) if found else []
     return F.broadcast(rows.sparkSession.createDataFrame(
         [(*(r[d] for d in DIMENSIONS), float(x)) for r, x in zip(found, p)],
         "source string, lang string, topic string, cell_probability double"))
 
 
 def mix(df: DataFrame, targets: dict[str, dict[str, float]] | None = None, id_col: str = "doc_id",
-        text_col: str = "text", source_col: str = "source", lang_col: str = "lang", rate: float = RATE,
-        rounds: int = ROUNDS, stepwise: bool = False) -> DataFrame:
+        text_col: str = "text", source_col: str = "source", lang_col: str = "lang",
+        rate: float = RATE) -> DataFrame:
     """Every row with ``topic``, ``n_words``, ``keep_probability`` and ``kept``."""
     text = whole_text(text_col)
     inner = {"source": F.coalesce(F.col(source_col).cast("string"), F.lit("")),
              "lang": F.coalesce(F.col(lang_col).cast("string"), F.lit("")), "topic": text_topic(text)}
     cells = (df.select(*(c.alias(d) for d, c in inner.items()), word_count(text).alias("n_words"))
              .groupBy(*DIMENSIONS).agg(F.sum("n_words").alias("n_words")))
-    found = cell_probabilities(cells, targets, rate, rounds, stepwise)
+    found = cell_probabilities(cells, targets, rate)
     found = found.select(*(F.col(d).alias(f"{d}__") for d in DIMENSIONS), "cell_probability")
     kept = [c for c in df.columns if c.lower() not in ADDED]
     rows = df.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(kept)),
@@ -284,33 +260,3 @@ def marginals(mixed: DataFrame, dimension: str) -> DataFrame:
     sums = F.broadcast(lifted.agg(F.sum("lifted").alias("all_lifted")))
     return lifted.crossJoin(sums).select("category", "share", (F.col("lifted") / F.col("all_lifted")).alias("wanted"),
                                          (F.col("kept") / F.nullif(F.col("all_kept"), F.lit(0.0))).alias("reached"))
-
-
-def rake_sql(rate: float = RATE, rounds: int = ROUNDS) -> str:
-    """The stepwise rake in one SQL statement over ``documents``, one step after the
-    other."""
-    topic = "CASE " + " ".join(
-        f"WHEN length(t) > 0 AND ((length(t) - length(replace(t, '{m}', '')))::DOUBLE / {len(m)}) * 1000 "
-        f">= length(t) * {least} THEN '{n}'" for n, m, least in TOPICS) + f" ELSE '{DEFAULT_TOPIC}' END"
-    parts = [
-        "d AS (SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang, "
-        "coalesce(text, '') AS t FROM documents)",
-        f"r AS (SELECT doc_id, source, lang, {topic} AS topic, "
-        r"len(regexp_extract_all(t, '[^\x20\x09-\x0D]+'))::BIGINT AS n_words FROM d)",
-        f"s0 AS (SELECT source, lang, topic, sum(n_words)::DOUBLE AS n, {rate}::DOUBLE AS p "
-        "FROM r GROUP BY ALL)",
-    ]
-    for dim in DIMENSIONS:
-        parts.append(f"t_{dim} AS (SELECT {dim}, w / sum(w) OVER () AS target FROM (SELECT {dim}, "
-                     f"(sum(n) / (SELECT sum(n) FROM s0)) ** {TEMPERATURE} AS w FROM s0 GROUP BY {dim}))")
-    for i, dim in enumerate(itertools.chain(*[DIMENSIONS] * rounds)):
-        parts.append(
-            f"s{i + 1} AS MATERIALIZED (SELECT source, lang, topic, n, least(1.0, p * CASE WHEN now > 0 THEN target "
-            f"* {rate} * (SELECT sum(n) FROM s0) / now ELSE 1 END) AS p FROM (SELECT *, sum(n * p) OVER "
-            f"(PARTITION BY {dim}) AS now FROM s{i}) JOIN t_{dim} USING ({dim}))")
-    last = len(DIMENSIONS) * rounds
-    return "WITH " + ",\n".join(parts) + f"""
-        SELECT doc_id, source, lang, topic, n_words, round(p, 6) AS keep_probability,
-            ('0x' || substr(md5(doc_id::VARCHAR), 1, {HASH_DIGITS}))::BIGINT::DOUBLE / {16 ** HASH_DIGITS}::DOUBLE < p
-                AS kept
-        FROM r JOIN s{last} USING (source, lang, topic)"""
