@@ -12,7 +12,8 @@ folder and read again, so no stage depends on the work of an executor that is lo
    loses all its text goes.  ``n_chars`` is counted anew.
 3. ``ngram_join``: of documents whose sets of five-word shingles are linked by a
    Jaccard similarity of 0.8 or more, the one with the smallest id stays.  Rows
-   with equal ids are one document; documents without an id all stay.
+   with equal ids and texts are one document, rows with equal ids and other texts
+   are several; a null id comes before all others.
 4. ``decontamination``: documents that overlap with a benchmark item go.
 5. ``mixing``: token weights are raked to source, language and topic shares, and
    documents are sampled by the calibrated probabilities.
@@ -52,10 +53,11 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = ngram_components(docs, size=SHINGLE_WORDS, threshold=SIMILARITY)
-    stay = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("stay_")).distinct()
-    named = docs.join(stay, F.col("doc_id") == F.col("stay_"), "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter("doc_id IS NULL"))
+    name = F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("of")).alias("row")
+    groups = ngram_components(docs.select(name, "text"), "row", size=SHINGLE_WORDS, threshold=SIMILARITY)
+    stay = groups.filter(F.col("row").eqNullSafe(F.col("component_id"))).select("row.id", "row.of").distinct()
+    met = docs["doc_id"].eqNullSafe(stay["id"]) & (F.xxhash64(docs["text"]) == stay["of"])
+    return docs.join(stay, met, "left_semi").dropDuplicates(["doc_id", "text"])
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
