@@ -5,13 +5,14 @@ its smallest neighbour; each node and its smaller neighbours move to the smalles
 of them) until they no longer change: then every node has one edge, to the
 smallest node of its component.  The rounds grow with the logarithm of the
 component sizes, every step is a grouping and a join by node, and each round is
-stored in the shared folder, so a lost executor repeats one round at most.
+stored in the shared folder, so a lost executor repeats one round at most.  Number and
+hash of a round's edges are observed while they are written.
 """
 
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidelog.llm.common import stored
@@ -62,13 +63,18 @@ def components(edges: DataFrame, native: bool = True) -> DataFrame:
     edges = edges.select("a", "b").filter("a <> b").distinct()
     if not native:
         edges = contracted(edges)
+    edges, after = measured(edges)
     before = None
-    while True:
-        edges = stored(small_star(large_star(edges)), "components")
-        row = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")).first()
-        if (row["n"], row["x"]) == before:
-            break
-        before = (row["n"], row["x"])
+    while after != before:
+        before = after
+        edges, after = measured(small_star(large_star(edges)))
     pairs = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return pairs.union(roots)
+
+
+def measured(edges: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
+    """The edges, stored, and their number and hash."""
+    seen = Observation()
+    edges = stored(edges.observe(seen, F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")), "components")
+    return edges, (seen.get["n"], seen.get["x"])

@@ -50,6 +50,7 @@ ORDERS = (U(0), U(0xA24BAED4963EE407), U(0x9FB21C651E98DF25))
 NEVER = 65535
 BLOCK = 256  # classes compared with one another at a time when a forest is proposed
 SENT = 1024  # classes of a block whose sets are sent to a task together
+CHECKED = 1 << 15  # pairs of two blocks that are checked together
 FOLD = spaced_words()
 
 
@@ -120,7 +121,7 @@ def shingle_maps(rows: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray, in
     spark = rows.sparkSession
     bits = shared_bits(rows)
     # slices of the hash space, a power of two; each makes its stretch of both maps
-    slice_bits = min(16, (4 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
+    slice_bits = min(16, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length() + 1)
 
     def count(batches):
         seen: set[int] = set()
@@ -137,12 +138,13 @@ def shingle_maps(rows: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray, in
                 parts, held = [], 0
         prints, counts = joined(total, parts)
         cuts = np.searchsorted(prints >> np.uint32(32 - slice_bits), np.arange((1 << slice_bits) + 1))
-        for s in range(1 << slice_bits):
-            a, b = cuts[s], cuts[s + 1]
-            if a < b:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([s], pa.int32()), pa.array([planes(np.diff(prints[a:b], prepend=0))], pa.binary()),
-                     pa.array([planes(counts[a:b])], pa.binary())], ["slice", "steps", "counts"])
+        full = np.flatnonzero(np.diff(cuts))
+        for some in np.array_split(full, max(1, len(prints) >> 20)):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(some, pa.int32()),
+                 pa.array([planes(np.diff(prints[cuts[s] : cuts[s + 1]], prepend=0)) for s in some], pa.binary()),
+                 pa.array([planes(counts[cuts[s] : cuts[s + 1]]) for s in some], pa.binary())],
+                ["slice", "steps", "counts"])
 
     def joined(total, parts):
         if not parts:
@@ -333,22 +335,40 @@ def pair_batch(pairs) -> pa.RecordBatch:
 
 # --- verification -----------------------------------------------------------------------------
 
-def linked(x: np.ndarray, y: np.ndarray, num: int, den: int, frequent: np.ndarray) -> bool:
-    """Do two sets pass the prefix filters of all orders and reach the threshold?"""
-    for order in range(1, len(ORDERS)):
-        p = ordered(x, order, frequent)[: prefix_length(len(x), num, den)]
-        q = ordered(y, order, frequent)[: prefix_length(len(y), num, den)]
-        if not len(np.intersect1d(p, q, assume_unique=True)):
-            return False
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return den * both >= num * (len(x) + len(y) - both)
+def member(found: np.ndarray, num: int, den: int, frequent: np.ndarray) -> list[np.ndarray]:
+    """A set as the filters see it: its prefix under each further order, then the whole
+    set, each sorted."""
+    n = prefix_length(len(found), num, den)
+    return [np.sort(ordered(found, order, frequent)[:n]) for order in range(1, len(ORDERS))] + [found]
+
+
+def in_common(x: np.ndarray, ys: list[np.ndarray]) -> np.ndarray:
+    """Size of the intersection of a sorted set with each of others (none is empty)."""
+    every = np.concatenate(ys)
+    hit = x[np.minimum(np.searchsorted(x, every), len(x) - 1)] == every
+    return np.add.reduceat(hit, np.cumsum([0] + [len(y) for y in ys[:-1]]), dtype=np.int64)
+
+
+def linked(x: list[np.ndarray], ys: list[list[np.ndarray]], num: int, den: int) -> np.ndarray:
+    """Which of several sets pass the prefix filters of all orders with a set, and reach
+    the threshold with it?"""
+    left = np.arange(len(ys))
+    for order in range(len(ORDERS) - 1):
+        left = left[in_common(x[order], [ys[i][order] for i in left]) > 0]
+        if not len(left):
+            return left
+    both = in_common(x[-1], [ys[i][-1] for i in left])
+    either = len(x[-1]) + np.array([len(ys[i][-1]) for i in left]) - both
+    return left[den * both >= num * either]
 
 
 def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int, frequent: np.ndarray) -> DataFrame:
     """The pairs (a, b) that link, from the sets (key, ``shingles``).
 
     Classes that pairs connect are dealt to blocks of about SENT; the pairs of two
-    blocks are one group, to which each set that they need is sent once.
+    blocks are one group, or several of about CHECKED pairs, to which each set that
+    they need is sent once.  A task orders a set once and holds it against all its
+    partners in one array.
     """
     spark = pairs.sparkSession
     parts = components(pairs, native=False)
@@ -358,30 +378,46 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int, frequent: np
     left = dealt.select(F.col("node").alias("a"), "component", F.col("block").alias("i"))
     right = dealt.select(F.col("node").alias("b"), F.col("block").alias("j"))
     both = pairs.join(left, "a").join(right, "b").select(
-        F.xxhash64("component", F.least("i", "j"), F.greatest("i", "j")).alias("group"), "a", "b")
+        F.xxhash64("component", F.least("i", "j"), F.greatest("i", "j")).alias("of"), "a", "b")
     both = stored(both, "jaccard-grouped")
+    splits = both.groupBy("of").agg(F.ceil(F.count("*") / CHECKED).alias("splits"))
+    split = F.pmod(F.xxhash64("a"), F.col("splits"))
+    both = stored(both.join(splits, "of").select(F.xxhash64("of", split).alias("group"), "a", "b"), "jaccard-split")
     needs = both.select("group", F.col("a").alias("key")).union(both.select("group", F.col("b").alias("key"))).distinct()
     sent = needs.join(sets, "key").select("group", F.col("key").alias("a"), F.lit(None).cast("long").alias("b"),
                                           "shingles")
     rows = sent.unionByName(both.withColumn("shingles", F.lit(None).cast("array<long>")))
     rows = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "group")
-    rows = rows.sortWithinPartitions("group", F.col("b").isNotNull())
+    rows = rows.sortWithinPartitions("group", F.col("b").isNotNull(), "a")
     bits = spark.sparkContext.broadcast(frequent)
 
     def check(batches):
-        group, held = None, {}
+        group, held, a, partners = None, {}, None, []
+
+        def good():
+            if partners:
+                found = linked(held[a], [held[b] for b in partners], num, den)
+                yield from ((a, partners[i]) for i in found)
+
         for batch in batches:
-            good = []
-            for g, a, b, found in zip(*(batch.column(c) for c in ("group", "a", "b", "shingles"))):
-                g, a = g.as_py(), a.as_py()
+            links = []
+            for g, key, b, found in zip(batch.column("group").to_pylist(), batch.column("a").to_pylist(),
+                                        batch.column("b").to_pylist(), batch.column("shingles")):
+                if (g, key) != (group, a) or b is None:
+                    links += good()
+                    partners = []
                 if g != group:
                     group, held = g, {}
-                if found.is_valid:
-                    held[a] = found.values.to_numpy().view(np.uint64)
-                elif linked(held[a], held[b.as_py()], num, den, bits.value):
-                    good.append((a, b.as_py()))
-            if good:
-                yield pair_batch(good)
+                a = key
+                if b is None:
+                    held[a] = member(found.values.to_numpy().view(np.uint64), num, den, bits.value)
+                else:
+                    partners.append(b)
+            if links:
+                yield pair_batch(links)
+        links = list(good())
+        if links:
+            yield pair_batch(links)
 
     return rows.mapInArrow(check, "a long, b long")
 
