@@ -15,12 +15,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet under the shared checkpoint folder and read
-    back: later steps neither recompute it nor depend on an executor's disk."""
+    back: later steps neither recompute it nor depend on an executor's disk.  The
+    shuffle files of the write are of no use then, and Spark removes them at its end
+    (otherwise only when the driver collects garbage)."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
