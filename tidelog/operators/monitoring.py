@@ -25,7 +25,8 @@ def run_status(logs: DataFrame) -> DataFrame:
 
 
 def latest_runs(logs: DataFrame, pipeline_name: str, step: str | None = None, like: bool = False) -> DataFrame:
-    """Execution-log rows of one pipeline (optionally one step), newest first.
+    """Execution-log rows of one pipeline (optionally one step), newest first; rows of
+    one instant in order of their other columns.
 
     ``like=True`` matches the name as a SQL LIKE pattern instead of exactly.
     """
@@ -33,4 +34,5 @@ def latest_runs(logs: DataFrame, pipeline_name: str, step: str | None = None, li
     cond = name.like(pipeline_name) if like else name == F.lit(pipeline_name)
     if step is not None:
         cond = cond & (F.col("step") == step)
-    return logs.filter(cond).orderBy(F.col("execution_time").desc_nulls_last())
+    others = [F.col(c).asc_nulls_last() for c in logs.columns if c != "execution_time"]
+    return logs.filter(cond).orderBy(F.col("execution_time").desc_nulls_last(), *others)

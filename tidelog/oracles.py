@@ -174,7 +174,8 @@ ORACLES: dict[str, str] = {
     "stream_silver": f"{_with(noisy=False)} SELECT * FROM silver",
     "run_durations": f"SELECT step, AVG(time_elapsed) AS time_elapsed FROM ({AUDIT}) a GROUP BY step",
     "run_status": f"SELECT pipeline_name, status, COUNT(*) AS runs FROM ({AUDIT}) a GROUP BY pipeline_name, status",
-    "latest_runs": f"SELECT * FROM ({AUDIT}) a WHERE pipeline_name LIKE 'pipeline_1' AND step = 'gold'",
+    "latest_runs": f"SELECT *, row_number() OVER (ORDER BY execution_time DESC, pipeline_name, step, status, "
+                   f"error_message, processed_file_path, time_elapsed) - 1 AS rank FROM ({AUDIT}) a WHERE pipeline_name LIKE 'pipeline_1' AND step = 'gold'",
     "compact_runs": f"SELECT * FROM ({AUDIT}) a",
     "purge_runs": f"SELECT * FROM ({AUDIT}) a WHERE NOT coalesce(pipeline_name = 'pipeline_0', false)",
 }

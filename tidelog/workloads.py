@@ -475,7 +475,8 @@ def run_status_q(spark, sf_dir):
 def latest_runs_q(spark, sf_dir):
     table = _audit_table(spark, sf_dir)
     out = latest_runs(spark.table(table), WATCHED_PIPELINE, WATCHED_STEP, like=True)
-    return _ntz(out, "execution_time")
+    # the order of the rows as a column
+    return _ntz(out.coalesce(1).withColumn("rank", F.monotonically_increasing_id()), "execution_time")
 
 
 def purge_runs(spark, sf_dir):
