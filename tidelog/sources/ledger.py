@@ -108,8 +108,9 @@ def read_unseen(spark: SparkSession, landing_path: str, ledger_path: str, fmt: s
     files = listed.select(*(F.col(c).alias(f"{c}_") for c in names))
     rows = rows.select(*columns, *(c.alias(f"{n}__") for c, n in zip(own, names)))
     met = [F.col(f"{c}__") == F.col(f"{c}_") for c in names]
-    # one short row a file, as the reader's own listing has: no line is shuffled
-    return rows.join(F.broadcast(files), met, "left_semi").select(*columns), listed.select(*FILE_KEYS)
+    # one short row a file, stored: Spark knows the size, sends a short list to the lines and
+    # shuffles by file where the list is longer than its limit for that
+    return rows.join(files, met, "left_semi").select(*columns), listed.select(*FILE_KEYS)
 
 
 def record_files(files: DataFrame, ledger_path: str, pipeline_name: str,
