@@ -187,3 +187,15 @@ def test_lines_of_texts_with_equal_ids_are_their_own(spark):
     out = dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     lines = [line for r in out if r.text is not None for line in r.text.split("\n")]
     assert sorted(lines) == sorted({line for _, t in rows if t for line in t.split("\n")})
+
+
+def test_buckets_of_the_same_members_are_one(spark):
+    """Ten shingles of the same two classes give one bucket; lists that differ stay apart,
+    rows that repeat count once, a shingle of one class gives none."""
+    rows = [(t, k) for t in range(10) for k in (7, -3)] + [(20, 7), (20, -3), (20, 5), (30, 7), (0, 7), (0, 7)]
+    got = ngram_join.member_lists(spark.createDataFrame(rows, "token int, key long")).collect()
+    lists = {}
+    for r in got:
+        lists.setdefault(r.token, []).append(r.key)
+    assert sorted(map(sorted, lists.values())) == [[-3, 5, 7], [-3, 7]]
+    assert ngram_join.member_lists(spark.createDataFrame([], "token int, key long")).count() == 0

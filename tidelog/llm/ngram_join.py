@@ -269,6 +269,21 @@ def across(keys: np.ndarray, n: np.ndarray, words: np.ndarray, part: np.ndarray,
                 yield int(keys[i]), int(keys[j])
 
 
+def member_lists(postings: DataFrame) -> DataFrame:
+    """(token, key) of the shingles that several classes hold in their prefixes, with one
+    bucket for all shingles of the same members: near copies share most of their
+    prefixes, and a list of members proposes the same pairs each time.  The bucket is named by a
+    hash of its members; were two lists to get one name, they would propose together."""
+    token = Window.partitionBy("token")
+    in_order = token.orderBy("key")
+    member = F.xxhash64("key")
+    once = postings.withColumn("before", F.lag("key").over(in_order)).filter("before IS NULL OR before <> key")
+    several = (once.withColumn("lo", F.min("key").over(token)).withColumn("hi", F.max("key").over(token))
+               .withColumn("n", F.count("*").over(token)).withColumn("mix", F.bit_xor(member).over(token))
+               .filter("lo <> hi"))
+    return several.select(F.xxhash64("n", "lo", "hi", "mix").alias("token"), "key").distinct()
+
+
 def buckets(batches, name: str):
     """Arrays of the rows of each value of a sorted column, across batches."""
     held = None
@@ -437,10 +452,7 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     indexed_classes = index.filter("sketch IS NOT NULL")
     attributes = stored(indexed_classes.dropDuplicates(["key"]).select("key", "n", "sketch"), "jaccard-attributes")
     sets = indexed_classes.select("key", "shingles")
-    token = Window.partitionBy("token")
-    shared = (indexed_classes.select("key", F.explode("prefix").alias("token"))
-              .withColumn("lo", F.min("key").over(token)).withColumn("hi", F.max("key").over(token))
-              .filter("lo <> hi").select("token", "key"))
+    shared = member_lists(indexed_classes.select("key", F.explode("prefix").alias("token")))
     shared = stored(shared, "jaccard-shared")
 
     first = stored(proposals(shared, attributes, num, den, None), "jaccard-pairs")
