@@ -1,4 +1,5 @@
 import datetime as dt
+import threading
 
 import pytest
 
@@ -224,3 +225,81 @@ def test_a_broken_ledger_raises(spark, tmp_path):
     (ledger / "part-0.parquet").write_text("no parquet")
     with pytest.raises(Exception, match="(?i)parquet"):
         read_unseen(spark, str(tmp_path / "landing"), str(ledger), "text")
+
+
+def test_a_reader_finds_the_table_at_any_time(spark, tmp_path):
+    """Fifty publishes under a reader that looks the table up all the time."""
+    ensure_environment(spark, str(tmp_path / "lake"))
+    df = spark.range(5).withColumn("processed_date", F.lit("2024-01-01").cast("date"))
+    versions = [(str(tmp_path / "layer_a" / f"v={n}"), df.limit(n)) for n in (5, 3)]
+    for path, rows in versions:
+        write_version(rows, path)
+    tables.publish_version(spark, "bronze.layer_a", versions[0][0], schema=df.schema)
+    stop, seen, missed = threading.Event(), [], []
+
+    def read():
+        while not stop.is_set():
+            try:
+                seen.append(spark.table("bronze.layer_a").count())
+            except Exception as e:  # noqa: BLE001
+                missed.append(str(e)[:200])
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for i in range(50):
+        tables.publish_version(spark, "bronze.layer_a", versions[(i + 1) % 2][0], schema=df.schema)
+    stop.set()
+    reader.join()
+    assert not missed and len(seen) > 10 and set(seen) == {3, 5}
+    assert spark.table("bronze.layer_a").schema["processed_date"].dataType.simpleString() == "date"
+
+
+def test_publish_with_other_columns_or_no_rows(spark, tmp_path):
+    ensure_environment(spark, str(tmp_path / "lake"))
+    day = F.lit("2024-01-01").cast("date")
+    path = str(tmp_path / "layer_s")
+    write_layer(spark.range(5).withColumn("processed_date", day), "bronze.layer_s", path)
+    wider = spark.range(4).withColumn("name", F.lit("x")).withColumn("processed_date", day)
+    write_layer(wider, "bronze.layer_s", path)
+    assert spark.table("bronze.layer_s").columns == ["id", "name", "processed_date"]
+    write_layer(wider.filter("id < 0"), "bronze.layer_s", path)
+    assert spark.table("bronze.layer_s").count() == 0
+    write_layer(wider, "bronze.layer_s", path)
+    assert spark.table("bronze.layer_s").filter("processed_date = DATE '2024-01-01'").count() == 4
+
+
+def clustered_log(spark, tmp_path, name):
+    table = fresh_log_table(spark, tmp_path, name)
+    runs = spark.range(4000).select(
+        F.timestamp_seconds(F.col("id")).alias("execution_time"),
+        F.concat(F.lit("p"), (F.col("id") % 40).cast("string")).alias("pipeline_name"), F.lit("s").alias("step"),
+        F.lit("OK").alias("status"), F.lit("").alias("error_message"), F.lit("/p").alias("processed_file_path"),
+        F.lit(1.0).alias("time_elapsed"))
+    runs.repartition(8).write.insertInto(table)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # several files of this little data
+    try:
+        assert compact_table(spark, table) == 4000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    return table
+
+
+def test_reads_of_one_pipeline_skip_the_row_groups_of_others(spark, tmp_path):
+    table = clustered_log(spark, tmp_path, "logs_g")
+    for cond in (F.col("pipeline_name") == "p7", F.col("pipeline_name").like("p7%")):
+        one = spark.table(table).filter(cond)
+        assert len(one.collect()) == 100
+        scan = one._jdf.queryExecution().executedPlan().collectLeaves().head()
+        assert scan.metrics().get("numOutputRows").get().value() < 2000
+    assert latest_runs(spark.table(table), "p7").count() == 100
+
+
+def test_purge_leaves_files_without_a_match(spark, tmp_path):
+    table = clustered_log(spark, tmp_path, "logs_h")
+    before = set(spark.table(table).inputFiles())
+    assert purge_rows(spark, table, F.col("pipeline_name") == "p7") == 3900
+    after = set(spark.table(table).inputFiles())
+    assert len(before - after) <= 2 and len(before & after) >= len(before) - 2 >= 1
+    assert spark.table(table).filter("pipeline_name = 'p7'").count() == 0 and spark.table(table).count() == 3900
+    assert purge_rows(spark, table, "pipeline_name = 'p7'") == 3900
+    assert set(spark.table(table).inputFiles()) == after  # no match: no file is written

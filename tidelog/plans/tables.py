@@ -6,13 +6,16 @@ written to a fresh version folder first; once it is accepted the folder is
 marked and the catalog entry is pointed at it (``publish_layer``).  Readers
 never see a half-written version, a failed job leaves the previous one
 intact, and the previous one is kept until the next publish, so readers that
-planned before it can finish.  The catalog entry is dropped and created again,
-so for a moment a lookup by name can miss; ``read_layer`` then falls back to
-the newest marked version.
-
-Append-only tables (the audit tables) are purged in place: the files listed
-when the purge begins are rewritten and removed, files that other runs append
-meanwhile are not touched.
+planned before it can finish.  The catalog entry changes its location in one
+step; only where the columns differ it is dropped and created again, and for a
+moment a lookup by name can miss (``read_layer`` then falls back to the newest
+marked version).
+
+Append-only tables (the audit tables) are purged in place: of the files listed
+when the purge begins, those with a row to remove are rewritten and removed;
+other files, and those that other runs append meanwhile, are not touched.
+Compaction sorts a table by its key columns and writes bloom filters for them, so
+that reads and purges of one pipeline skip the files of the others.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ from tidelog.plans.spec import DATABASES, EXECUTION_LOG_TABLE, QUALITY_TABLE
 from tidelog.schemas import EXECUTION_LOG_SCHEMA, QUALITY_SCHEMA, ddl
 
 PARTITION_COLUMN = "processed_date"
-PURGED_FILES = 16  # a purge writes so many files at most
+REGISTER_PARTITIONS = "spark.sql.hive.manageFilesourcePartitions"
 
 
 def ensure_environment(spark: SparkSession, base_path: str, table_format: str = "parquet") -> None:
@@ -94,13 +97,7 @@ def write_layer(df: DataFrame, table: str, path: str, table_format: str = "parqu
 
 
 def table_location(spark: SparkSession, table: str) -> str | None:
-    if not spark.catalog.tableExists(table):
-        return None
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
-    for r in rows:
-        if r.col_name == "Location":
-            return r.data_type
-    return None
+    return table_details(spark, table).get("Location")
 
 
 def columns_ddl(schema: T.StructType) -> str:
@@ -108,21 +105,56 @@ def columns_ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
+def table_details(spark: SparkSession, table: str) -> dict[str, str]:
+    """The detail rows of DESCRIBE TABLE EXTENDED by name (none if there is no table)."""
+    if not spark.catalog.tableExists(table):
+        return {}
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    start = next((i for i, r in enumerate(rows) if r.col_name.startswith("# Detailed")), len(rows))
+    return {r.col_name: r.data_type for r in rows[start + 1 :]}
+
+
+def can_repoint(spark: SparkSession, table: str, table_format: str, schema: T.StructType | None) -> bool:
+    """Is a new location all that differs?  Same format and columns, and partitions
+    found from the folder layout, not kept one by one in the catalog."""
+    details = table_details(spark, table)
+    if schema is None or details.get("Provider", "").lower() != table_format.lower():
+        return False
+    if details.get("Partition Provider") == "Catalog":
+        return False
+
+    def shape(fields):  # partition columns come last in a table
+        columns = [(f.name, f.dataType.simpleString()) for f in fields]
+        return sorted(columns, key=lambda c: c[0] == PARTITION_COLUMN)
+
+    return shape(spark.table(table).schema.fields) == shape(schema.fields)
+
+
 def publish_version(spark: SparkSession, table: str, location: str, table_format: str = "parquet",
                     partitioned: bool = True, schema: T.StructType | None = None) -> None:
     """Point ``table`` at the data in ``location``.
 
-    The table is external, so dropping the catalog entry keeps every file;
-    partitions are registered from the folder layout.  ``schema`` (the schema
-    of the written frame) is declared explicitly so that an empty version,
-    which has no data file to infer it from, still publishes.
+    A table of the same format and columns gets its new location in one catalog
+    step, so a reader finds the version before or this one at any time.  For that
+    the partitions are not registered in the catalog: a version is one run's folder,
+    and Spark finds its partitions when it lists the files.  The first publish,
+    one with other columns and that of a table with registered partitions create
+    the entry anew (it is external, so every file is kept).  ``schema`` (that of
+    the written frame) is declared, so that an empty version, which has no data
+    file to infer it from, still publishes.
     """
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    if can_repoint(spark, table, table_format, schema):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+        return
     columns = f"({columns_ddl(schema)}) " if schema is not None else ""
     partitioning = f"PARTITIONED BY ({PARTITION_COLUMN}) " if partitioned and schema is not None else ""
-    spark.sql(f"CREATE TABLE {table} {columns}USING {table_format} {partitioning}LOCATION '{location}'")
-    if partitioned and table_format.lower() != "delta":  # Delta keeps partitions in its own log
-        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    before = spark.conf.get(REGISTER_PARTITIONS)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.conf.set(REGISTER_PARTITIONS, "false")
+    try:
+        spark.sql(f"CREATE TABLE {table} {columns}USING {table_format} {partitioning}LOCATION '{location}'")
+    finally:
+        spark.conf.set(REGISTER_PARTITIONS, before)
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -198,37 +230,72 @@ def append_rows(df: DataFrame, table: str) -> None:
         df.write.mode("append").saveAsTable(table)
 
 
+def data_files(fs, folder) -> list:
+    """Paths of the data files directly in a folder."""
+    return [st.getPath() for st in fs.listStatus(folder)
+            if st.isFile() and not st.getPath().getName().startswith(("_", "."))]
+
+
 def purge_rows(spark: SparkSession, table: str, condition: Column | str, table_format: str = "parquet") -> int:
     """``DELETE FROM table WHERE condition`` for unpartitioned tables without
-    DELETE support.  Returns the number of rows kept of those it read.
+    DELETE support.  Returns the number of rows kept of those in the files it found.
 
-    The table's files are listed first, and only those are read and removed:
-    rows that other runs append meanwhile are in other files.  Rows where the
-    condition is not true go to a hidden folder inside the table's, whose
-    files then move into place before the listed ones are removed; a run that
-    dies in between leaves rows twice, never too few.
+    A first scan, of the condition's columns and with the condition pushed down,
+    finds the files with a row to remove; only these are rewritten.  Where a table
+    has been compacted by the columns of the condition, these are few and the
+    others are skipped by their statistics.
     """
     cond = F.expr(condition) if isinstance(condition, str) else condition
+    location, listed = listed_files(spark, table)
+    if not listed:
+        return 0
+    rows = read_files(spark, table, listed, table_format)
+    hit = {r[0] for r in rows.filter(cond).select("_metadata.file_name").distinct().collect()}
+    hit_files = [p for p in listed if hit & {p.getName(), encoded_name(p)}]
+    others = [p for p in listed if p not in hit_files]
+    kept = read_files(spark, table, others, table_format).count() if others else 0  # from the footers
+    if hit_files:
+        left = read_files(spark, table, hit_files, table_format).filter(~F.coalesce(cond, F.lit(False)))
+        kept += replace_files(spark, table, location, hit_files, left.hint("rebalance"), table_format)
+    return kept
+
+
+def listed_files(spark: SparkSession, table: str) -> tuple[str, list]:
+    """A table's location and the data files that it has now."""
     location = table_location(spark, table)
     if location is None:
         raise ValueError(f"table {table} does not exist")
     spark.catalog.refreshTable(table)
+    return location, data_files(*_hadoop(spark, location))
+
+
+def encoded_name(path) -> str:
+    """A file's name as it stands in a URI."""
+    return path.toUri().getRawPath().rsplit("/", 1)[-1]
+
+
+def read_files(spark: SparkSession, table: str, files: list, table_format: str) -> DataFrame:
     schema = spark.table(table).schema
-    fs, folder = _hadoop(spark, location)
-    listed = [st.getPath() for st in fs.listStatus(folder)
-              if st.isFile() and not st.getPath().getName().startswith(("_", "."))]
-    if not listed:
-        return 0
-    staging = f"{location.rstrip('/')}/_purge-{uuid.uuid4().hex[:12]}"
+    return spark.read.schema(schema).format(table_format).load([glob_literal(p.toString()) for p in files])
+
+
+def replace_files(spark: SparkSession, table: str, location: str, files: list, rows: DataFrame,
+                  table_format: str, **options: str) -> int:
+    """Put ``rows`` in place of some of a table's files; returns their number.
+
+    The rows go to a hidden folder inside the table's, whose files then move into
+    place before the replaced ones are removed: a run that dies in between leaves
+    rows twice, never too few.
+    """
     seen = Observation("kept")
-    rows = spark.read.schema(schema).format(table_format).load([glob_literal(p.toString()) for p in listed])
-    kept = rows.filter(~F.coalesce(cond, F.lit(False))).coalesce(PURGED_FILES)
-    kept.observe(seen, F.count(F.lit(1)).alias("n")).write.format(table_format).save(staging)
-    for st in fs.listStatus(_hadoop(spark, staging)[1]):
-        name = st.getPath().getName()
-        if st.isFile() and not name.startswith(("_", ".")):
-            fs.rename(st.getPath(), _hadoop(spark, f"{location.rstrip('/')}/{name}")[1])
-    for path in listed:
+    base = location.rstrip("/")
+    staging = f"{base}/_purge-{uuid.uuid4().hex[:12]}"
+    written = rows.observe(seen, F.count(F.lit(1)).alias("n"))
+    written.write.format(table_format).options(**options).save(staging)
+    fs, folder = _hadoop(spark, staging)
+    for path in data_files(fs, folder):
+        fs.rename(path, _hadoop(spark, f"{base}/{path.getName()}")[1])
+    for path in files:
         fs.delete(path, False)
     remove_path(spark, staging)
     spark.catalog.refreshTable(table)
@@ -240,7 +307,22 @@ def glob_literal(path: str) -> str:
     return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
 
-def compact_table(spark: SparkSession, table: str, table_format: str = "parquet") -> int:
-    """Rewrite the files that an append-only table (one small file per
-    appended audit row) has now into few: a purge that removes nothing."""
-    return purge_rows(spark, table, F.lit(False), table_format)
+def compact_table(spark: SparkSession, table: str, table_format: str = "parquet",
+                  by: tuple[str, ...] = ("pipeline_name",)) -> int:
+    """Rewrite the files that an append-only table (one small file per appended
+    audit row) has now into few, in the order of the columns ``by`` (those that the
+    table has), and return the number of rows.
+
+    A file then holds a range of them, and Parquet files have bloom filters for
+    them: a read by equality or prefix skips the row groups of other values.  A
+    value with very many rows is spread over several files by the other columns.
+    """
+    location, listed = listed_files(spark, table)
+    if not listed:
+        return 0
+    rows = read_files(spark, table, listed, table_format)
+    keys = [c for c in by if c in rows.columns]
+    order = keys + [c for c, kind in rows.dtypes if c not in keys and not kind.startswith("map")]
+    options = {f"parquet.bloom.filter.enabled#{c}": "true" for c in keys} if table_format == "parquet" else {}
+    sorted_rows = rows.repartitionByRange(*order).sortWithinPartitions(*order) if keys else rows.hint("rebalance")
+    return replace_files(spark, table, location, listed, sorted_rows, table_format, **options)
