@@ -102,6 +102,10 @@ AUDIT = execution_rows_duckdb()
 ORACLES: dict[str, str] = {
     "landing_text_scan": LINES,
     "landing_csv_scan": f"SELECT value AS _c0 FROM ({LINES}) l WHERE value <> ''",
+    "ragged_csv": """WITH e AS (SELECT CAST(event_id AS VARCHAR) AS id, COALESCE(CAST(user_id AS VARCHAR), 'x') AS u,
+            COALESCE(event_type, 'x') AS t FROM events)
+        SELECT id AS _c0, u AS _c1, NULL AS _c2, NULL AS _c3, id || ',' || u AS _misfit FROM e
+        UNION ALL SELECT id, u, t, t || ',' || u, NULL FROM e""",
     "unseen_files": LINES,
     "parse_access_log": f"{_with()} SELECT * FROM silver",
     "control_columns": f"SELECT value, {RUN_TS_SQL} AS processed_timestamp, {RUN_DATE_SQL} AS processed_date "

@@ -39,7 +39,7 @@ from tidelog.plans.tables import (
     write_layer,
     write_version,
 )
-from tidelog.sources.landing import landing_format, log_column, read_landing
+from tidelog.sources.landing import landing_format, log_column, read_landing, read_ragged
 from tidelog.sources.ledger import accept_files, note_loaded, read_unseen
 
 CONTROL_COLUMNS = ("processed_timestamp", "processed_date")
@@ -73,6 +73,8 @@ def landing_to_bronze(spark: SparkSession, spec: PipelineSpec, run_ts: dt.dateti
         files = None
         if spec.once_only:
             raw, files = read_unseen(spark, spec.landing_dir, spec.ledger_path, fmt, glob=spec.file_name)
+        elif fmt == "csv":
+            raw = read_ragged(spark, spec.landing_file)
         else:
             raw = read_landing(spark, spec.landing_file, fmt)
         write_layer(with_control_columns(raw, run_ts), spec.bronze_table, spec.bronze_path,

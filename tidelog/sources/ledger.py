@@ -23,9 +23,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.plans.tables import glob_literal, path_exists
+from tidelog.plans.tables import path_exists
 from tidelog.session import scratch_path
-from tidelog.sources.landing import read_landing
+from tidelog.sources.landing import csv_schema, read_landing
 
 FILE_KEYS = ("file_path", "file_modification_time", "file_size")
 
@@ -84,7 +84,7 @@ def read_unseen(spark: SparkSession, landing_path: str, ledger_path: str, fmt: s
     recorded are the same snapshot of the folder.  A file rewritten between
     listing and reading gives no rows and is recorded under its listed identity,
     so the next run sees a new identity and loads it.  The columns of CSV files
-    are those of the largest one.  Raises ``FileNotFoundError`` when nothing
+    are those of the widest line of all files taken.  Raises ``FileNotFoundError`` when nothing
     new landed.
     """
     unseen = _unseen(spark, landing_path, ledger_path, glob)
@@ -93,24 +93,29 @@ def read_unseen(spark: SparkSession, landing_path: str, ledger_path: str, fmt: s
     path = scratch_path(spark, "unseen-files")
     unseen.write.parquet(path)
     listed = spark.read.schema(unseen.schema).parquet(path)
-    largest = listed.orderBy(F.desc("file_size"), "file_path").first()
-    if largest is None:
+    first, last = listed.agg(F.min("file_modification_time"), F.max("file_modification_time")).first()
+    if first is None:
         raise FileNotFoundError(f"no unseen landing file under {landing_path}")
-    schema = read_landing(spark, [glob_literal(largest.file_path)], fmt).schema
+    files = listed.select("read_path", "file_modification_time", "file_size")
+
+    def own(rows: DataFrame, columns: list[str]) -> DataFrame:
+        """The rows that come from one of the files."""
+        modified = F.col("_metadata.file_modification_time")
+        # literals on the metadata prune files before they are opened
+        rows = rows.filter((modified >= F.lit(first)) & (modified <= F.lit(last)))
+        rows = rows.select(*columns, F.col("_metadata.file_path").alias("path__"), modified.alias("modified__"),
+                           F.col("_metadata.file_size").alias("size__"))
+        met = ((F.col("path__") == F.col("read_path")) & (F.col("modified__") == F.col("file_modification_time"))
+               & (F.col("size__") == F.col("file_size")))
+        # one short row a file, stored: Spark knows the size, sends a short list to the lines and
+        # shuffles by file where the list is longer than its limit for that
+        return rows.join(files, met, "left_semi").select(*columns)
+
+    schema = None
+    if fmt == "csv":
+        schema = csv_schema(own(read_landing(spark, landing_path, "text", glob), ["value"]))
     rows = read_landing(spark, landing_path, fmt, glob, schema)
-    columns = rows.columns if not schema else schema.names
-    modified = F.col("_metadata.file_modification_time")
-    first, last = listed.agg(F.min("file_modification_time"), F.max("file_modification_time")).first()
-    # literals on the metadata prune files before they are opened
-    rows = rows.filter((modified >= F.lit(first)) & (modified <= F.lit(last)))
-    own = (F.col("_metadata.file_path"), modified, F.col("_metadata.file_size"))
-    names = ("read_path", "file_modification_time", "file_size")
-    files = listed.select(*(F.col(c).alias(f"{c}_") for c in names))
-    rows = rows.select(*columns, *(c.alias(f"{n}__") for c, n in zip(own, names)))
-    met = [F.col(f"{c}__") == F.col(f"{c}_") for c in names]
-    # one short row a file, stored: Spark knows the size, sends a short list to the lines and
-    # shuffles by file where the list is longer than its limit for that
-    return rows.join(files, met, "left_semi").select(*columns), listed.select(*FILE_KEYS)
+    return own(rows, rows.columns), listed.select(*FILE_KEYS)
 
 
 def record_files(files: DataFrame, ledger_path: str, pipeline_name: str,

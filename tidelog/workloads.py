@@ -49,7 +49,7 @@ from tidelog.plans.tables import (
 from tidelog.schemas import EXECUTION_LOG_SCHEMA, ddl
 from tidelog.session import scratch_path
 from tidelog.sources.events_log import access_lines, execution_rows
-from tidelog.sources.landing import read_landing
+from tidelog.sources.landing import read_landing, read_ragged
 from tidelog.sources.ledger import landing_files, read_unseen, record_files
 from tidelog.streaming.ingest import ingest_available, read_stream_silver, silver_available
 
@@ -120,6 +120,18 @@ def landing_csv_scan(spark, sf_dir):
     return read_landing(spark, path, "csv")
 
 
+def ragged_csv(spark, sf_dir):
+    """All events in a delivery of two columns and in one of four, read together."""
+    base = scratch_path(spark, "landing-ragged")
+    events = _table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("id"), F.coalesce(F.col("user_id").cast("string"), F.lit("x")).alias("u"),
+        F.coalesce("event_type", F.lit("x")).alias("t"))
+    events.select(F.concat_ws(",", "id", "u").alias("value")).write.text(f"{base}/narrow")
+    quoted = F.concat(F.lit('"'), F.col("t"), F.lit(","), F.col("u"), F.lit('"'))
+    events.select(F.concat_ws(",", "id", "u", "t", quoted).alias("value")).write.text(f"{base}/wide")
+    return read_ragged(spark, [f"{base}/narrow", f"{base}/wide"], misfits="_misfit")
+
+
 def unseen_files(spark, sf_dir):
     """Two deliveries of the same lines into one folder; the first is in the
     ledger, so only the second one's rows come back (once, not twice)."""
@@ -498,6 +510,7 @@ def compact_runs(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     "landing_text_scan": landing_text_scan,
     "landing_csv_scan": landing_csv_scan,
+    "ragged_csv": ragged_csv,
     "unseen_files": unseen_files,
     "parse_access_log": parse_access_log_q,
     "control_columns": control_columns,
