@@ -51,6 +51,7 @@ NEVER = 65535
 BLOCK = 256  # classes compared with one another at a time when a forest is proposed
 SENT = 1024  # classes of a block whose sets are sent to a task together
 CHECKED = 1 << 15  # pairs of two blocks that are checked together
+INDEXED = 1024  # texts whose sets leave a task in one batch
 FOLD = spaced_words()
 
 
@@ -188,7 +189,7 @@ def indexed(rows: DataFrame, size: int, num: int, den: int, maps) -> DataFrame:
     def index(batches):
         seen: set[int] = set()
         shared, frequent, bits = own.value
-        for batch in batches:
+        for batch in (b.slice(start, INDEXED) for b in batches for start in range(0, b.num_rows, INDEXED)):
             n_rows = batch.num_rows
             keys, sizes = np.zeros(n_rows, np.int64), np.zeros(n_rows, np.int64)
             prefixes, sketches, sets = [None] * n_rows, [None] * n_rows, [None] * n_rows
