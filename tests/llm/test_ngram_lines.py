@@ -7,11 +7,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidelog.llm import ngram_join
+from tidelog.llm.common import stored_by, stored_for
 from tidelog.llm.components import components
 from tidelog.llm.decontam import decontaminated, overlaps
 from tidelog.llm.line_dedup import dedup_lines, near_lines
 from tidelog.llm.ngram_join import ngram_components
 from tidelog.llm.queries import ORACLES, QUERIES
+from tidelog.session import remove
 
 from .conftest import prose
 
@@ -199,3 +201,53 @@ def test_buckets_of_the_same_members_are_one(spark):
         lists.setdefault(r.token, []).append(r.key)
     assert sorted(map(sorted, lists.values())) == [[-3, 5, 7], [-3, 7]]
     assert ngram_join.member_lists(spark.createDataFrame([], "token int, key long")).count() == 0
+
+
+def shuffles_by_key(spark, df):
+    """Shuffles by key of a join with ``df``, if Spark broadcasts neither side."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        both = spark.createDataFrame([(1, 2)], "key long, other long").join(df, "key")
+        return both._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(key")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_sets_are_dealt_by_class_once(spark, monkeypatch):
+    """Both rounds get one set a class, from a store that a join by class does not
+    shuffle again; the index is gone by then."""
+    given, verified = [], ngram_join.verified
+
+    def seen(pairs, sets, *rest):
+        keys = [r.key for r in sets.select("key").collect()]
+        given.append((len(keys), len(set(keys)), shuffles_by_key(spark, sets)))
+        return verified(pairs, sets, *rest)
+
+    folders = []
+    monkeypatch.setattr(ngram_join, "verified", seen)
+    monkeypatch.setattr("tidelog.llm.common.remove", lambda s, path: (folders.append(path), remove(s, path)))
+    rows = [(i, t) for i, t in enumerate(drifting_copies(30, 60, 9) * 3)]  # classes in several tasks
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in ngram_components(df, size=4, threshold=(85, 100)).collect()}
+    assert got == brute_components(dict(rows), 4, 85, 100)[0]
+    (rows_a, keys_a, first), (rows_b, keys_b, second) = given
+    assert rows_a == keys_a == rows_b == keys_b > 1 and first == second == 1
+    assert len(folders) == 1 and "/jaccard-index-" in folders[0]
+
+
+def test_stored_rows_have_one_row_a_key_and_no_table(spark):
+    tables = len(spark.catalog.listTables())
+    rows = spark.createDataFrame([(1, [1, 2]), (1, [1, 2]), (2, [3]), (None, None), (None, None)],
+                                 "key long, shingles array<long>")
+    out = stored_by(rows, "key", "by_key")
+    assert sorted(map(str, out.collect())) == sorted(map(str, rows.distinct().collect()))
+    assert shuffles_by_key(spark, out) == 1
+    assert stored_by(rows.limit(0), "key", "by_key").collect() == []
+    assert len(spark.catalog.listTables()) == tables
+    with pytest.raises(ZeroDivisionError), stored_for(rows, "for_a_while") as held:
+        assert held.count() == 5
+        path = held.inputFiles()[0].rsplit("/", 1)[0]
+        1 / 0
+    with pytest.raises(Exception):
+        spark.read.parquet(path).count()

@@ -21,7 +21,8 @@ each document's connected component.
    need no check.
 5. A proposed pair must share prefix shingles under each of the other orders too;
    what passes all filters is verified on the whole sets.  Pairs are verified in
-   blocks of classes that many pairs have in common, so a set is sent once a block.
+   blocks of classes that many pairs have in common, so a set is sent once a block,
+   from a store dealt by class: both rounds look sets up there without a shuffle of all.
 
 Defined cases: null text reads as empty; a text with fewer words than a shingle
 has one shingle, the whole sequence; a text without words has none and is linked
@@ -37,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import byte_chunks, stored, whole_text
+from tidelog.llm.common import byte_chunks, stored, stored_by, stored_for, whole_text
 from tidelog.llm.components import components
 from tidelog.llm.texthash import U, mix, sequence_hash, shingle_sets, spaced_words, word_hashes
 
@@ -379,7 +380,8 @@ def linked(x: list[np.ndarray], ys: list[list[np.ndarray]], num: int, den: int)
 
 
 def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int, frequent: np.ndarray) -> DataFrame:
-    """The pairs (a, b) that link, from the sets (key, ``shingles``).
+    """The pairs (a, b) that link, from the sets (key, ``shingles``;
+    one row a key, dealt by key).
 
     Classes that pairs connect are dealt to blocks of about SENT; the pairs of two
     blocks are one group, or several of about CHECKED pairs, to which each set that
@@ -448,13 +450,13 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     num, den = threshold
     rows = docs.select(F.col(id_col).alias("id"), F.encode(whole_text(text_col), "UTF-8").alias("t"))
     maps = shingle_maps(rows, size)
-    index = stored(indexed(rows, size, num, den, maps), "jaccard-index")
-    classes = index.groupBy("key").agg(F.min("id").alias("id"), F.max("n").alias("n"))
-    indexed_classes = index.filter("sketch IS NOT NULL")
-    attributes = stored(indexed_classes.dropDuplicates(["key"]).select("key", "n", "sketch"), "jaccard-attributes")
-    sets = indexed_classes.select("key", "shingles")
-    shared = member_lists(indexed_classes.select("key", F.explode("prefix").alias("token")))
-    shared = stored(shared, "jaccard-shared")
+    with stored_for(indexed(rows, size, num, den, maps), "jaccard-index") as index:
+        texts = stored(index.select("id", "key", "n"), "jaccard-texts")
+        may_link = index.filter("sketch IS NOT NULL")
+        attributes = stored(may_link.dropDuplicates(["key"]).select("key", "n", "sketch"), "jaccard-attributes")
+        shared = member_lists(may_link.select("key", F.explode("prefix").alias("token")))
+        shared = stored(shared, "jaccard-shared")
+        sets = stored_by(may_link.select("key", "shingles"), "key", "jaccard_sets")
 
     first = stored(proposals(shared, attributes, num, den, None), "jaccard-pairs")
     links = stored(verified(first, sets, num, den, maps[1]), "jaccard-links")
@@ -464,10 +466,11 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     stars = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
     parts = stored(components(stars.union(more), native=False), "jaccard-parts")
 
+    classes = texts.groupBy("key").agg(F.min("id").alias("id"))
     named = classes.join(parts, F.col("key") == F.col("node"), "left").select(
         "key", "id", F.coalesce("component", "key").alias("part"))
     least = named.groupBy("part").agg(F.min("id").alias("component_id"))
     named = named.join(least, "part").select("key", "component_id")
     component = F.when(F.col("n") == 0, F.col("id")).when(F.col("id").isNotNull(), F.col("component_id"))
-    return index.select("id", "key", "n").join(named, "key", "left").select(
+    return texts.join(named, "key", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))

@@ -73,5 +73,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def clear_scratch(spark: SparkSession) -> None:
     """Remove what this application left in its scratch folder; results that were
     not written elsewhere can no longer be read afterwards."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    remove(spark, scratch_root(spark))
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Remove a folder and what it holds, on whatever file system it is."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
