@@ -9,6 +9,7 @@ import public_tokenizers
 import pytest
 import tokenizers
 
+from tidelog.llm import tokens
 from tidelog.llm.pii import BASE_KINDS, find_spans, luhn, masked, mod97, pii_spans
 from tidelog.llm.queries import QUERIES, TOKENIZER
 from tidelog.llm.tokens import PrefixCounter, token_prefixes
@@ -55,6 +56,35 @@ def test_budgets_are_answered_from_stored_counts(counter):
             assert (len(text) if fits is None else fits) == max(i for i, c in enumerate(counts) if c <= budget)
 
 
+def test_a_stored_prefix_is_never_worked_out_again():
+    own, steps = PrefixCounter(PATH), []
+    step = own.step
+    own.step = lambda data, i, *more: (steps.append(data[:i]), step(data, i, *more))[1]
+    for text in ("token", "tokens,", "tokens", "token.", "tokenized"):
+        own.prefixes(text)
+    # one step a prefix, for its tokens inside a word and as a whole word together
+    assert steps == ["t", "to", "tok", "toke", "token", "tokens", ",", ".", "tokeni", "tokeniz", "tokenize", "tokenized"]
+
+
+def test_counts_do_not_depend_on_what_is_stored(monkeypatch, library):
+    monkeypatch.setattr(tokens, "CACHE_PREFIXES", 40)
+    monkeypatch.setattr(tokens, "CACHE_BORDERS", 60)
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 5)
+    own, rng = PrefixCounter(PATH), random.Random(6)
+    letters = ["th", "on", "ing", "é", "日", "x", "Q", "7", "'s"]
+    texts = [" ".join("".join(rng.choices(letters, k=rng.choice([1, 3, 9, 60]))) for _ in range(6)) for _ in range(8)]
+    # a word of more than 255 tokens, once more behind one that shares its beginning
+    texts += ["日本語" * 150 + " a", "th" * 31 + "on", "th" * 200, "a,<|endoftext|>" + "éx" * 33 + ".,"]
+    for text in texts:
+        cuts = sorted({0, 1, len(text), *(rng.randint(0, len(text)) for _ in range(150))})
+        counts = own.prefixes(text).counts()
+        assert len(counts) == len(text) + 1
+        assert [counts[i] for i in cuts] == [library(text[:i]) for i in cuts], text
+        for budget in (1, 20, 260, len(text)):
+            fits = own.prefixes(text).longest_within(budget)
+            assert (len(text) if fits is None else fits) == max(i for i, c in enumerate(counts) if c <= budget)
+
+
 def test_token_query_over_whole_table(spark, sf_dir, library):
     texts = dict(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect())
     rows = QUERIES["op5_token_counts"](spark, sf_dir).collect()

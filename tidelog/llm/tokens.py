@@ -26,6 +26,7 @@ import json
 import re
 import unicodedata
 from array import array
+from collections.abc import Sequence
 from functools import lru_cache
 from operator import itemgetter
 
@@ -41,7 +42,8 @@ from tidelog.llm.common import whole_text
 CACHE_WORDS = 1 << 19
 CACHE_PREFIXES = 1 << 19
 CACHE_BORDERS = 1 << 20
-LONGEST_CACHED = 64
+LONGEST_CACHED = 64  # bytes of a prefix that is stored: its counts fit into a byte each
+ONE_BYTE = [bytes((i,)) for i in range(LONGEST_CACHED + 1)]
 NEVER = 1 << 60
 # white space as the library's pattern engine has it
 SPACES = "".join(map(chr, [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
@@ -59,6 +61,14 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(0x100 + i): b for i, b in enumerate(rest)}
 
 
+def packed(counts: Sequence[int]) -> bytes | array:
+    """Counts as bytes if all are below 256."""
+    try:
+        return bytes(counts)
+    except ValueError:
+        return array("i", counts)
+
+
 class Words(dict):
     """Word -> (tokens, counts of its prefixes), filled on demand, of bounded size."""
 
@@ -66,7 +76,7 @@ class Words(dict):
         super().__init__()
         self.make = make
 
-    def __missing__(self, word: str) -> tuple[int, bytes]:
+    def __missing__(self, word: str) -> tuple[int, Sequence[int]]:
         found = self.make(word)
         if len(word) <= LONGEST_CACHED:
             if len(self) >= CACHE_WORDS:
@@ -97,21 +107,25 @@ class PrefixCounter:
         for i, merge in enumerate(model["merges"]):
             left, right = merge.split(" ") if isinstance(merge, str) else merge
             self.rank.setdefault((name[left], name[right]), i)
-        # tokens by their letters from the last to the first: {letter: {...}, "": token}
-        self.inner: dict = {}
-        self.final: dict = {}
+        # the same by the left symbol
+        self.follow: dict[str, dict[str, int]] = {}
+        for (left, right), i in self.rank.items():
+            self.follow.setdefault(left, {})[right] = i
+        # tokens by their letters from the last to the first:
+        # {letter: [token inside a word, token that ends one, {...}]}
+        self.endings: dict = {}
         for token in name.values():
-            at = self.final if token.endswith("\n") else self.inner
+            at = [None, None, self.endings]
             for letter in reversed(token.rstrip("\n")):
-                at = at.setdefault(letter, {})
-            at[""] = token
+                at = at[2].setdefault(letter, [None, None, {}])
+            at[token.endswith("\n")] = token
         self.right_edges: dict[str, list[tuple[str, int, int]]] = {}
         self.left_edges: dict[str, list[tuple[str, int, int]]] = {}
         # last token -> {next token: do the merges keep the border?}
         self.borders: dict[str, dict[str, bool]] = {}
         self.n_borders = 0
-        self.root = self.node("", 0, 0)
-        self.n_nodes = 0
+        self.known: dict[str, tuple[str, dict[str, bool], int, bytes]] = {}
+        self.forget()
         self.words = Words(self.chunk)
 
     # --- merges on a pair of tokens -----------------------------------------
@@ -158,86 +172,120 @@ class PrefixCounter:
         return tuple(self.merged(parts, 2)) if len(parts) > 1 else None
 
     def stable(self, left: str, right: str) -> bool:
-        """Do the merges keep the border between these two tokens?  They do unless two
-        symbols that meet at the border at the same time have a merge of their own
-        that comes before the merges that use them up."""
-        rank = self.rank
-        good = True
-        for a, made_a, used_a in self.edge(left, True):
-            for b, made_b, used_b in self.edge(right, False):
-                own = rank.get((a, b))
-                # equal ranks are equal pairs, of which the left one merges first
-                if own is not None and made_a < own > made_b and own < used_a and own <= used_b:
-                    good = False
+        """Do the merges keep the border between these two tokens?  (No left one: do they
+        give the right one at all?)"""
+        good = self.meet(left, right) if left else self.reachable(right)
         self.borders.setdefault(left, {})[right] = good
         self.n_borders += 1
         return good
 
-    @lru_cache(maxsize=1 << 17)  # noqa: B019 - one counter lives as long as its worker
+    def meet(self, left: str, right: str) -> bool:
+        """They keep a border unless two symbols that meet at it at the same time have a
+        merge of their own that comes before the merges that use them up."""
+        after = self.left_edges.get(right) or self.edge(right, False)
+        for a, made_a, used_a in self.right_edges.get(left) or self.edge(left, True):
+            ranks = self.follow.get(a)
+            if ranks is None:
+                continue
+            for b, made_b, used_b in after:
+                # equal ranks are equal pairs, of which the left one merges first
+                if b in ranks and made_a < ranks[b] > made_b and ranks[b] < used_a and ranks[b] <= used_b:
+                    return False
+        return True
+
     def reachable(self, token: str) -> bool:
         parts = [*token[:-2], token[-2:]] if token.endswith("\n") else [*token]
         return self.merged(parts) == [token]
 
     # --- prefixes of a word -----------------------------------------------------
 
-    def node(self, last: str, count: int, final: int) -> list:
-        """What a prefix stores: prefixes one letter longer, its last token and that
-        token's known borders, its tokens inside a word and as a whole word."""
-        return [{}, last, self.borders.setdefault(last, {}), count, final]
+    def forget(self) -> None:
+        """Only the empty prefix is stored."""
+        self.known = {"": ("", self.borders.setdefault("", {}), 0, b"")}
 
-    def step(self, data: str, i: int, path: list[list], at: dict, end: str) -> tuple[str, int]:
-        """The last token and the token count of the first ``i`` bytes, from what the
-        shorter prefixes store; ``end`` stands for the end of the word."""
-        j = i
+    def step(self, data: str, i: int, path: list) -> tuple[str, int, int]:
+        """Of the first ``i`` bytes, from what the shorter prefixes store: the last token
+        and the token count inside a word, and the count as a whole word."""
+        last, count, whole, j, below = None, 0, 0, i, self.endings
         while j:
             j -= 1
-            at = at.get(data[j])
+            at = below.get(data[j])
             if at is None:
                 break
-            token = at.get("")
-            if token is not None:
-                node = path[j]
-                if j:
-                    good = node[2].get(token)
-                    if good is None:
-                        good = self.stable(node[1], token)
-                else:
-                    good = self.reachable(token)
+            inner, final, below = at
+            shorter = path[j]
+            if shorter is None:
+                shorter = path[j] = self.known[data[:j]]
+            borders = shorter[1]
+            if inner is not None and last is None:
+                good = borders.get(inner)
+                if good is None:
+                    good = self.stable(shorter[0], inner)
+                if good:
+                    last, count = inner, shorter[2] + 1
+                    if whole:
+                        return last, count, whole
+            if final is not None and not whole:
+                good = borders.get(final)
+                if good is None:
+                    good = self.stable(shorter[0], final)
                 if good:
-                    return token, node[3] + 1
+                    whole = shorter[2] + 1
+                    if last is not None:
+                        return last, count, whole
         raise ValueError(f"no encoding for {data!r}")
 
-    def word(self, text: str) -> list[int]:
+    def word(self, text: str) -> bytes | list[int]:
         """Token counts of the prefixes of one word, each taken as a whole word.  What a
-        prefix gives depends on that prefix alone, so words share stored prefixes."""
+        prefix gives depends on that prefix alone, so words share stored prefixes: by
+        its letters, a prefix's last token, that token's known borders, its tokens inside
+        a word, and the counts of its own prefixes (a byte each) as whole words."""
         data = text if text.isascii() else text.encode().decode("latin-1")
-        keep = len(data) <= LONGEST_CACHED
-        if keep and self.n_nodes >= CACHE_PREFIXES:
+        n = len(data)
+        keep = n <= LONGEST_CACHED
+        if keep and len(self.known) > CACHE_PREFIXES:
             if self.n_borders >= CACHE_BORDERS:
                 self.borders, self.n_borders = {}, 0
-            self.root, self.n_nodes = self.node("", 0, 0), 0
-        node = self.root
-        path = [node]
-        for i, letter in enumerate(data, 1):
-            below = node[0]
-            node = below.get(letter)
-            if node is None:
-                last, count = self.step(data, i, path, self.inner, "")
-                node = self.node(last, count, self.step(data, i, path, self.final, "\n")[1])
+            self.forget()
+        known = self.known
+        # what is stored for a prefix is stored for all shorter ones
+        i = n if keep else LONGEST_CACHED
+        key, new = data[:i], []
+        prefix = known.get(key)
+        while prefix is None:
+            new.append(key)
+            i -= 1
+            key = data[:i]
+            prefix = known.get(key)
+        ends = prefix[3] if keep else [*prefix[3]]
+        if i < n:
+            path = [None] * i
+            path.append(prefix)
+            borders = self.borders
+            while i < n:
+                i += 1
+                last, count, whole = self.step(data, i, path)
+                below = borders.get(last)
+                if below is None:
+                    below = borders[last] = {}
                 if keep:
-                    below[letter] = node
-                    self.n_nodes += 1
-            path.append(node)
+                    ends += ONE_BYTE[whole]
+                    prefix = known[new.pop()] = (last, below, count, ends)
+                else:
+                    ends.append(whole)
+                    prefix = (last, below, count, b"")
+                path.append(prefix)
         if text is data:
-            return [node[4] for node in path[1:]]
+            return ends
         # keep the bytes that end a code point
-        return [node[4] for node, b in zip(path[1:], data[1:] + "a") if ord(b) & 0xC0 != 0x80]
+        return [c for c, b in zip(ends, data[1:] + "a") if ord(b) & 0xC0 != 0x80]
 
-    def chunk(self, text: str) -> tuple[int, bytes]:
-        """(tokens, counts of all prefixes and of the text with one space behind it)."""
+    def chunk(self, text: str) -> tuple[int, Sequence[int]]:
+        """(tokens, counts of all prefixes: a byte each if they fit)."""
         if text.isalpha():
-            pieces = [text]
-        elif text[:-1].isalpha() and text[-1] in ".,":
+            own = self.word(text)
+            return own[-1], packed(own)
+        if text[:-1].isalpha() and text[-1] in ".,":
             pieces = [text[:-1], text[-1]]
         else:
             pieces = PIECES.findall(text)
@@ -249,22 +297,21 @@ class PrefixCounter:
             own = self.word(piece)
             if piece[0] == "'" and len(piece) == 3 and piece[1:].isalpha():
                 # a cut inside this ending leaves a quote and a letter
-                own[1] = own[0] + self.word(piece[1])[-1]
+                own = [own[0], own[0] + self.word(piece[1])[-1], own[2]]
             counts += [c + total for c in own] if total else own
             total += own[-1]
-        counts.append(total)
-        return total, array("i", counts).tobytes()
+        return total, packed(counts)
 
     # --- prefixes of a text --------------------------------------------------------
 
-    def plain(self, text: str) -> list[tuple[int, bytes]]:
+    def plain(self, text: str) -> list[tuple[int, Sequence[int]]]:
         """What is stored for each run between single spaces of a normalised text
         without special strings."""
         return list(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
 
     @staticmethod
     def normal(text: str) -> str:
-        if not ODD.search(text):
+        if text.isascii() or not ODD.search(text):
             return text.lower()
         return "".join(c.lower() for c in unicodedata.normalize("NFC", text))
 
@@ -278,27 +325,32 @@ class PrefixCounter:
             total = sum(map(itemgetter(0), before)) + 1
             # a cut inside the special string leaves ordinary text
             cut = Prefixes(self.plain(self.normal(text[at : m.end() - 1]))).counts()[1:]
-            runs.append((total, np.append(cut, total).astype(np.int32).tobytes()))
+            runs.append((total, packed(cut.tolist())))
             at = m.end()
         return Prefixes(runs + self.plain(self.normal(text[at:])))
 
 
 class Prefixes:
-    """Exact token counts of all prefixes of one text: per run of text, the tokens
-    before it and the counts of its own prefixes."""
+    """Exact token counts of all prefixes of one text: per run of text (all but the last
+    have a space behind them), its tokens and the counts of its own prefixes."""
 
-    def __init__(self, runs: list[tuple[int, bytes]]):
+    def __init__(self, runs: list[tuple[int, Sequence[int]]]):
         self.runs = runs
         self.ends = np.cumsum(np.fromiter(map(itemgetter(0), runs), np.int64, len(runs)))
         self.total = int(self.ends[-1])
 
     def counts(self) -> np.ndarray:
         """``counts()[i]`` = tokens of the first ``i`` code points."""
-        inside = np.frombuffer(b"".join(map(itemgetter(1), self.runs)), np.int32)
-        lengths = np.fromiter((len(r[1]) // 4 for r in self.runs), np.int64, len(self.runs))
-        before = self.ends - np.fromiter(map(itemgetter(0), self.runs), np.int64, len(self.runs))
-        # the last run has no space behind it
-        return np.append(0, inside + np.repeat(before, lengths))[:-1].astype(np.int32)
+        own = [r[1] for r in self.runs]
+        if all(type(c) is bytes for c in own):
+            inside = np.frombuffer(b"".join(own), np.uint8)
+        else:
+            inside = np.concatenate([np.frombuffer(c, np.uint8 if type(c) is bytes else np.int32) for c in own])
+        lengths = np.fromiter(map(len, own), np.int64, len(own))
+        before = self.ends - np.fromiter(map(itemgetter(0), self.runs), np.int64, len(own))
+        counts = inside + np.repeat(before, lengths)
+        # the empty prefix, and the space behind each run but the last
+        return np.insert(counts, np.append(0, np.cumsum(lengths)[:-1]), np.append(0, self.ends[:-1])).astype(np.int32)
 
     def longest_within(self, budget: int) -> int | None:
         """The longest prefix (code points) of at most ``budget`` tokens; None: all of it."""
@@ -306,9 +358,9 @@ class Prefixes:
             return None
         # runs that end within the budget, and the one that goes beyond it
         whole = int(np.searchsorted(self.ends, budget, "right"))
-        length = sum(len(r[1]) // 4 for r in self.runs[:whole])
+        length = sum(len(r[1]) + 1 for r in self.runs[:whole])
         before = int(self.ends[whole - 1]) if whole else 0
-        inside = np.frombuffer(self.runs[whole][1], np.int32)[:-1] + before
+        inside = np.array([*self.runs[whole][1]]) + before
         fits = np.flatnonzero(inside <= budget)
         return length + (int(fits[-1]) + 1 if len(fits) else 0)
 
